@@ -8,9 +8,27 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import (
+    DataType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    IntegerType,
+    StringType,
+    StructField,
+    StructType,
+)
+
+_TYPES: dict[str, DataType] = {
+    "string": StringType(),
+    "int": IntegerType(),
+    "double": DoubleType(),
+    "date": DateType(),
+    "decimal(15,2)": DecimalType(15, 2),
+}
 
-CLEAN_DDL: dict[str, str] = {
+# Column, type and "not null" where declared.
+CLEAN_COLUMNS: dict[str, str] = {
     "regions": """
         region_id string not null, state string not null, district string not null,
         block string, region_type string not null, latitude double, longitude double""",
@@ -164,7 +182,11 @@ STAR_EDGES: tuple[StarEdge, ...] = tuple(
 
 def clean_schema(table: str) -> StructType:
     """Typed schema of a cleaned table."""
-    return StructType.fromDDL(CLEAN_DDL[table])
+    fields = []
+    for declared in CLEAN_COLUMNS[table].replace("\n", " ").split(", "):
+        name, kind, *marks = declared.split()
+        fields.append(StructField(name, _TYPES[kind], nullable=not marks))
+    return StructType(fields)
 
 
 def raw_schema(table: str) -> StructType:

@@ -70,7 +70,7 @@ def check_table(df: DataFrame, table: str) -> DataFrame:
 
 
 def schema_check(tables: Mapping[str, DataFrame]) -> DataFrame:
-    known = [check_table(df, name) for name, df in tables.items() if name in model.CLEAN_DDL]
+    known = [check_table(df, name) for name, df in tables.items() if name in model.CLEAN_COLUMNS]
     return reduce(DataFrame.unionByName, known)
 
 

@@ -12,10 +12,15 @@ AUDIT_NAME = "cleaning_audit_report"
 
 def write_csv_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
     """Each table as ``<name>.csv``: a folder of part files with a header each."""
+    # Blanks around a value are data; the writer would trim them by default.
+    options = {
+        "header": True,
+        "escape": '"',
+        "ignoreLeadingWhiteSpace": False,
+        "ignoreTrailingWhiteSpace": False,
+    }
     for name, df in tables.items():
-        df.write.mode("overwrite").option("header", True).option("escape", '"').csv(
-            f"{folder.rstrip('/')}/{name}.csv"
-        )
+        df.write.mode("overwrite").options(**options).csv(f"{folder.rstrip('/')}/{name}.csv")
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
