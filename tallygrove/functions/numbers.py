@@ -43,8 +43,12 @@ def rounded_percent(part: Column, whole: Column, digits: int = 1) -> Column:
 
 
 def hundredths(amount: Column) -> Column:
-    """Money as a whole number of hundredths."""
-    return F.round(amount.cast("double") * 100.0).cast("bigint")
+    """Money as a whole number of hundredths.
+
+    ``floor`` stays on primitive doubles, where ``round`` would build a
+    BigDecimal per row.
+    """
+    return F.floor(amount.cast("double") * 100.0 + 0.5)
 
 
 def sum_money(amount: Column) -> Column:

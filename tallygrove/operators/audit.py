@@ -8,7 +8,7 @@ Fixed values: the step names and the wording of the details.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -64,7 +64,7 @@ class TableAudit:
     def __init__(self, table: str, raw: DataFrame, pk: str, rules: CleaningRules):
         self.table, self.raw, self.pk, self.rules = table, raw, pk, rules
         self.flags: list[str] = []
-        self.unmapped: DataFrame | None = None
+        self.unmapped: Callable[[], DataFrame] | None = None
         self.steps: list[tuple[str, Column, list[Column]]] = []
 
     def _count(self, edit: Edit, measure: str) -> Column:
@@ -81,7 +81,7 @@ class TableAudit:
         # This step reports columns, not rows.
         self.steps.append((standardise.DATES, F.lit(len(edits)).cast("bigint"), details))
 
-    def categories(self, edits: Sequence[Edit], unmapped: DataFrame) -> None:
+    def categories(self, edits: Sequence[Edit], unmapped: Callable[[], DataFrame]) -> None:
         self.unmapped = unmapped
         counts, details = [], []
         for e in edits:
@@ -142,7 +142,7 @@ class TableAudit:
             *[count_where(F.col(f)).alias(f) for f in dict.fromkeys(self.flags)],
         ).withColumn("__raw", raw_counts.scalar())
         if self.unmapped is not None:
-            packed = self.unmapped.select(
+            packed = self.unmapped().select(
                 "column_name", F.struct("n_unmapped", "sample").alias("found")
             )
             counts = counts.withColumn("__unmapped", as_map(packed, "found"))

@@ -194,17 +194,21 @@ def name_variants(
         match_key(F.col(name)).alias("spelling"),
     ).filter("spelling is not null")
     spellings = keyed.groupBy("block", "spelling").agg(F.min("record_id").alias("first_id"))
-    forms = spellings.withColumn("form", F.explode(_deletions(F.col("spelling"), distance)))
-    earlier = forms.select(
-        "block",
-        "form",
-        F.col("spelling").alias("near_spelling"),
-        F.col("first_id").alias("near_id"),
+    # Every spelling grows to some n*n/2 forms, so the (few) spellings are dealt
+    # out evenly first; adaptive coalescing would pack them by their small size.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    forms = (
+        spellings.repartition(tasks, "spelling")
+        .withColumn("form", F.explode(_deletions(F.col("spelling"), distance)))
+        # Equal hashes only propose a pair; the edit distance decides.
+        .select(F.xxhash64("block", "form").alias("form"), "block", "spelling", "first_id")
     )
+    # Renamed only: both sides of the join then share one shuffle.
+    earlier = forms.toDF("near_form", "near_block", "near_spelling", "near_id")
     near = F.levenshtein(F.col("spelling"), F.col("near_spelling"), distance)
     best = (
-        forms.join(earlier, ["block", "form"])
-        .filter("near_id < first_id")
+        forms.join(earlier, F.col("form") == F.col("near_form"))
+        .filter("block = near_block and near_id < first_id")
         .withColumn("edits", near)
         .filter(F.col("edits").between(1, distance))
         .groupBy("block", "spelling")

@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from functools import reduce
-from typing import NamedTuple
+from dataclasses import dataclass
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame
 
@@ -20,9 +20,17 @@ from tallygrove.rules import DEFAULT_RULES, CleaningRules
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
-class CleanResult(NamedTuple):
+@dataclass(frozen=True)
+class CleanResult:
+    """Clean tables, and the audit as a plan that is built when asked for."""
+
     tables: dict[str, DataFrame]
-    audit: DataFrame
+    audits: list[Callable[[], DataFrame]]
+
+    @property
+    def audit(self) -> DataFrame:
+        """One row per table and step."""
+        return reduce(DataFrame.unionByName, [rows() for rows in self.audits])
 
 
 def written_stage(folder: str) -> Stage:
@@ -52,8 +60,11 @@ def clean_table(
     rules: CleaningRules = DEFAULT_RULES,
     stage: Stage = _as_is,
     approximate: bool = False,
-) -> tuple[DataFrame, DataFrame]:
-    """Run all steps on one table; ``parents`` are already clean."""
+) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """Run all steps on one table; ``parents`` are already clean.
+
+    Returns the table and a function that gives its audit rows.
+    """
     pk = model.PRIMARY_KEY[table]
     types = {f.name: f.dataType for f in model.clean_schema(table)}
     log = auditing.TableAudit(table, raw, pk, rules)
@@ -68,7 +79,7 @@ def clean_table(
     df = apply_edits(df, categories, keep_flags=True)
     outliers = standardise.outlier_edits(df, rules)
     df = stage(apply_edits(df, outliers, keep_flags=True), f"{table}/standardised")
-    log.categories(categories, standardise.unmapped_values(df, table, rules))
+    log.categories(categories, partial(standardise.unmapped_values, df, table, rules))
     log.outliers(outliers)
 
     fills = fill_edits(df, rules.fill.get(table, {}), approximate)
@@ -90,7 +101,7 @@ def clean_table(
     casts = standardise.cast_edits(df, rules, types)
     df = apply_edits(df, casts)
     log.types(casts)
-    return drop_flags(df), log.rows(df)
+    return drop_flags(df), partial(log.rows, df)
 
 
 def clean(
@@ -107,7 +118,7 @@ def clean(
     """
     stage = written_stage(stage_dir) if stage_dir else _as_is
     cleaned: dict[str, DataFrame] = {}
-    audits: list[DataFrame] = []
+    audits: list[Callable[[], DataFrame]] = []
     for table in model.CLEANING_ORDER:
         if table not in tables:
             continue
@@ -118,4 +129,4 @@ def clean(
         raise ValueError("none of the known tables is present")
     if model.PASS_THROUGH in tables:
         cleaned[model.PASS_THROUGH] = tables[model.PASS_THROUGH]
-    return CleanResult(cleaned, reduce(DataFrame.unionByName, audits))
+    return CleanResult(cleaned, audits)

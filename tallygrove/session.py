@@ -20,6 +20,8 @@ def local_session(cores: str | int = "*", app: str = "tallygrove") -> SparkSessi
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # Plans have thousands of expressions; recording a call site for each is slow.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
