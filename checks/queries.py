@@ -356,12 +356,15 @@ def join_inner(spark, sf_dir):
 @query
 def join_left(spark, sf_dir):
     tables = clean_sample(spark, sf_dir)
-    dims = joins.broadcast_if_small({n: tables[n] for n in ("programs", "regions")})
-    return (
-        tables["beneficiaries"]
-        .join(dims["programs"].drop("region_id"), "program_id", "left")
-        .join(dims["regions"], "region_id", "left")
-        .select("beneficiary_id", "program_name", "state", "region_type")
+    sides = joins.measured(
+        {
+            "programs": tables["programs"].select(F.col("program_id").alias("p"), "program_name"),
+            "regions": tables["regions"].withColumnRenamed("region_id", "r"),
+        }
+    )
+    people = joins.join_dimension(tables["beneficiaries"], sides["programs"], "program_id", "p")
+    return joins.join_dimension(people, sides["regions"], "region_id", "r").select(
+        "beneficiary_id", "program_name", "state", "region_type"
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.functions.text import match_key
+from tallygrove.operators.joins import Side, lookup_join
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
 
@@ -56,9 +57,8 @@ def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFra
     """Rows beyond the first of their key: (primary key, first key of the group).
 
     The groups are reduced to (key, least primary key, rows) before anything
-    is joined, and only repeated keys take part in the join.  A hot key makes
-    the row side of that join uneven, which the adaptive skew join splits;
-    no window has to hold the group.
+    is joined, and only repeated keys take part in the join, which spreads the
+    rows of a hot key; no window has to hold the group.
     """
     names = [f"__k{i}" for i, _ in enumerate(_keys(df, match_columns))]
     if not names:
@@ -72,7 +72,7 @@ def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFra
     )
     same_key = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
     return (
-        keyed.join(firsts, same_key, "inner")
+        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner")
         .filter(F.col(pk) != F.col("first_id"))
         .select(pk, "first_id")
     )

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove import model
@@ -14,30 +15,81 @@ from tallygrove import model
 MAX_BROADCAST_ROWS = 200_000
 MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 
+LOOKUP_SALTS = 16
 
-def _size(df: DataFrame, name: str) -> DataFrame:
+
+def _rows(df: DataFrame, name: str) -> DataFrame:
+    return df.agg(F.lit(name).alias("name"), F.count("*").alias("size"))
+
+
+def _bytes(df: DataFrame, name: str) -> DataFrame:
     widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
-    return df.agg(
-        F.lit(name).alias("name"),
-        F.count("*").alias("n_rows"),
-        F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0)).alias("n_bytes"),
-    )
+    total = F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0))
+    return df.agg(F.lit(name).alias("name"), total.alias("size"))
+
+
+def _within(dims: Mapping[str, DataFrame], measure, limit: int) -> dict[str, DataFrame]:
+    if not dims:
+        return {}
+    sizes = reduce(DataFrame.unionByName, [measure(df, name) for name, df in dims.items()])
+    return {row.name: dims[row.name] for row in sizes.collect() if row.size <= limit}
+
+
+class Side(NamedTuple):
+    """The small side of a many-to-one join, with what was measured about it."""
 
+    df: DataFrame
+    small: bool
 
-def broadcast_if_small(dims: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
-    """Mark the dimensions that were measured and found small for broadcast.
 
-    One aggregate job measures all of them.  A dimension over either limit is
-    returned as it is: the join then goes by shuffle, with adaptive skew
-    handling.
+def measured(dims: Mapping[str, DataFrame]) -> dict[str, Side]:
+    """Measure which dimensions are small enough to broadcast.
+
+    Rows are counted first, which reads no columns; bytes are summed only
+    where there are few rows.
     """
-    sizes = reduce(DataFrame.unionByName, [_size(df, name) for name, df in dims.items()])
-    small = {
-        row.name
-        for row in sizes.collect()
-        if row.n_rows <= MAX_BROADCAST_ROWS and row.n_bytes <= MAX_BROADCAST_BYTES
-    }
-    return {name: F.broadcast(df) if name in small else df for name, df in dims.items()}
+    short = _within(dims, _rows, MAX_BROADCAST_ROWS)
+    small = _within(short, _bytes, MAX_BROADCAST_BYTES)
+    return {name: Side(df, name in small) for name, df in dims.items()}
+
+
+def join_dimension(
+    rows: DataFrame, side: Side, key: str, dim_key: str, how: str = "left"
+) -> DataFrame:
+    """Many-to-one join to a dimension whose key has another name.
+
+    A small side is broadcast.  Otherwise both sides are shuffled afresh on
+    the key and its hash: adaptive execution splits a hot key only where both
+    inputs of the join come straight from a shuffle, which a dimension that
+    was just aggregated by its key would not.
+    """
+    same = F.col(key) == F.col(dim_key)
+    if side.small:
+        return rows.join(F.broadcast(side.df), same, how)
+    return rows.join(side.df, same & (F.xxhash64(key) == F.xxhash64(dim_key)), how)
+
+
+def lookup_join(
+    rows: DataFrame,
+    side: Side,
+    same: Sequence[Column],
+    row_key: str,
+    how: str,
+    salts: int = LOOKUP_SALTS,
+) -> DataFrame:
+    """Join rows to the few keys that need attention, such as broken references.
+
+    A small side is broadcast.  Otherwise the rows of a key are dealt to
+    ``salts`` slots and the lookup is copied to each, so that a hot key is
+    spread even before adaptive execution splits it further.
+    """
+    if side.small:
+        return rows.join(F.broadcast(side.df), list(same), how)
+    slot = F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
+    meet = [*same, F.col("__slot") == F.col("__copy")]
+    joined = rows.withColumn("__slot", slot).join(side.df.withColumn("__copy", copies), meet, how)
+    return joined.drop("__slot", "__copy")
 
 
 def grid(left: DataFrame, right: DataFrame, left_key: str, slots: int = 64) -> DataFrame:
@@ -60,15 +112,18 @@ def star_join(tables: Mapping[str, DataFrame], fact: str) -> DataFrame:
     """
     df = tables[fact]
     edges = [e for e in model.star_edges_of(fact) if e.dimension in tables]
-    dims = broadcast_if_small({e.dimension: tables[e.dimension] for e in edges}) if edges else {}
+    dims = {}
     for edge in edges:
-        pk = model.PRIMARY_KEY[edge.dimension]
-        dim = dims[edge.dimension]
+        pk, dim = model.PRIMARY_KEY[edge.dimension], tables[edge.dimension]
         names = [
-            F.col(c).alias(edge.column if c == pk else f"{edge.dimension}_{c}")
+            F.col(c).alias(f"__{edge.dimension}_key" if c == pk else f"{edge.dimension}_{c}")
             for c in dim.columns
         ]
-        df = df.join(dim.select(*names), edge.column, edge.how)
+        dims[edge.dimension] = dim.select(*names)
+    sides = measured(dims)
+    for edge in edges:
+        dim_key = f"__{edge.dimension}_key"
+        df = join_dimension(df, sides[edge.dimension], edge.column, dim_key, edge.how).drop(dim_key)
     return df
 
 

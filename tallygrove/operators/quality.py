@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from tallygrove import model
 from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date
 from tallygrove.operators.dedup import drop_tagged, is_tagged, key_repeats
+from tallygrove.operators.joins import Side, lookup_join
 from tallygrove.operators.references import orphan_keys
 from tallygrove.operators.standardise import _outside
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
@@ -143,7 +144,8 @@ def orphan_issues(
     pk = model.PRIMARY_KEY[table]
     orphans = orphan_keys(child, column, parent, parent_pk)
     rows = child.select(F.col(pk), F.col(column).cast("string").alias("value"))
-    broken = rows.join(orphans, F.col("value") == F.col("orphan_key"), "inner")
+    same = [F.col("value") == F.col("orphan_key")]
+    broken = lookup_join(rows, Side(orphans, small=False), same, pk, "inner")
     text = F.concat(F.lit("No parent for '"), F.col("value"), F.lit("'"))
     return _issue_rows(broken, table, F.lit(column), ORPHAN, F.col(pk), text)
 
@@ -214,7 +216,9 @@ def name_variants(
         .groupBy("block", "spelling")
         .agg(F.min(F.struct("edits", "near_id", "near_spelling")).alias("best"))
     )
-    return keyed.join(best, ["block", "spelling"]).select(
+    found = best.toDF("near_block", "near_of", "best")
+    same = [F.col("block") == F.col("near_block"), F.col("spelling") == F.col("near_of")]
+    return lookup_join(keyed, Side(found, small=False), same, "record_id", "inner").select(
         "record_id",
         "block",
         "spelling",

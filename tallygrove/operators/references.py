@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallygrove.operators.joins import Side, lookup_join
+
 STEP = "referential_integrity"
 _NULL_SLICES = 256
 
@@ -37,19 +39,18 @@ def _spread_key(column: str, row_key: str) -> Column:
 
 
 def null_orphans(
-    child: DataFrame, column: str, orphans: DataFrame, row_key: str, flag: str | None = None
+    child: DataFrame, column: str, orphans: Side, row_key: str, flag: str | None = None
 ) -> DataFrame:
     """NULL the reference where its value is among ``orphans``.
 
-    The lookup holds the broken values only.  Catalyst broadcasts it when its
-    size is known to be small (a written table), and otherwise joins by
-    shuffle, where the adaptive skew join can split a hot value on the child
-    side.
+    The lookup holds the broken values only, so it is often small enough to
+    broadcast, in which case the child is not shuffled at all.
     """
     # Renamed per use: several references of one child have the same lookup shape.
     key = f"__orphan_{column}"
-    lookup = orphans.select(F.col("orphan_key").alias(key))
-    joined = child.join(lookup, _spread_key(column, row_key) == F.col(key), "left")
+    lookup = Side(orphans.df.select(F.col("orphan_key").alias(key)), orphans.small)
+    same = [_spread_key(column, row_key) == F.col(key)]
+    joined = lookup_join(child, lookup, same, row_key, "left")
     broken = F.col(key).isNotNull()
     columns = {column: F.when(~broken, F.col(column))}
     if flag:
@@ -61,4 +62,5 @@ def check_reference(
     child: DataFrame, column: str, parent: DataFrame, pk: str, row_key: str
 ) -> DataFrame:
     """Reference check of one column against one parent table."""
-    return null_orphans(child, column, orphan_keys(child, column, parent, pk), row_key)
+    orphans = Side(orphan_keys(child, column, parent, pk), small=False)
+    return null_orphans(child, column, orphans, row_key)

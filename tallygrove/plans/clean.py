@@ -14,6 +14,7 @@ from tallygrove.operators import standardise
 from tallygrove.operators.dedup import deduplicate
 from tallygrove.operators.edits import FLAG_PREFIX, apply_edits, drop_flags
 from tallygrove.operators.impute import fill_edits
+from tallygrove.operators.joins import Side, measured
 from tallygrove.operators.references import null_orphans, orphan_keys
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
@@ -38,7 +39,7 @@ def written_stage(folder: str) -> Stage:
 
     This cuts the lineage (a lost executor re-reads files instead of repeating
     the run), lets the clean table and its audit share one computation, and
-    gives Catalyst true sizes for its broadcast decision.
+    makes it cheap to measure what is about to be broadcast.
     """
 
     def stage(df: DataFrame, name: str) -> DataFrame:
@@ -94,8 +95,10 @@ def clean_table(
             orphan_keys(raw, ref.column, parents[ref.parent], model.PRIMARY_KEY[ref.parent]),
             f"{table}/orphans_{ref.column}",
         )
+        # Measuring runs the lookup, so it only pays where that has been written.
+        side = Side(orphans, False) if stage is _as_is else measured({"o": orphans})["o"]
         flag = f"{FLAG_PREFIX}orphan__{ref.column}"
-        df = null_orphans(df, ref.column, orphans, pk, flag)
+        df = null_orphans(df, ref.column, side, pk, flag)
         log.reference(ref.column, flag)
 
     casts = standardise.cast_edits(df, rules, types)

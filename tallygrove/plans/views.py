@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions import labels
 from tallygrove.functions.numbers import round_half_away, rounded_percent, sum_money, sum_money_when
-from tallygrove.operators.joins import broadcast_if_small, grid
+from tallygrove.operators.joins import grid, join_dimension, measured
 from tallygrove.plans import blocks
 from tallygrove.plans.blocks import Tables
 
@@ -40,19 +40,17 @@ def v_programme_progress(tables: Tables) -> DataFrame:
     )
 
 
-def _people_dimensions(tables: Tables) -> tuple[DataFrame, DataFrame]:
-    """Programs and regions for a join to rows of people, broadcast if small.
-
-    The program id is kept under another name: an unmatched program is NULL.
-    """
+def _with_dimensions(people: DataFrame, tables: Tables) -> DataFrame:
+    """People with their program and region; an unmatched program id is NULL."""
     programs = tables["programs"].select(
         F.col("program_id").alias("__program"), "program_id", "program_name", "sector"
     )
     regions = tables["regions"].select(
         F.col("region_id").alias("__region"), "state", "district", "region_type"
     )
-    dims = broadcast_if_small({"programs": programs, "regions": regions})
-    return dims["programs"], dims["regions"]
+    sides = measured({"programs": programs, "regions": regions})
+    joined = join_dimension(people, sides["programs"], "__person_program", "__program")
+    return join_dimension(joined, sides["regions"], "region_id", "__region")
 
 
 def v_beneficiary_360(tables: Tables) -> DataFrame:
@@ -63,15 +61,12 @@ def v_beneficiary_360(tables: Tables) -> DataFrame:
     people = tables["beneficiaries"].withColumnRenamed("program_id", "__person_program")
     if "registration_date" not in people.columns:
         people = people.withColumn("registration_date", F.lit(None).cast("date"))
-    programs, regions = _people_dimensions(tables)
     services = blocks.services_per_person(tables["service_delivery"])
     tests = blocks.assessments_per_person(tables["assessments"])
     zero = F.lit(0).cast("bigint")
+    counted = people.join(services, "beneficiary_id", "left").join(tests, "beneficiary_id", "left")
     return (
-        people.join(services, "beneficiary_id", "left")
-        .join(tests, "beneficiary_id", "left")
-        .join(programs, F.col("__person_program") == F.col("__program"), "left")
-        .join(regions, F.col("region_id") == F.col("__region"), "left")
+        _with_dimensions(counted, tables)
         .select(
             "beneficiary_id",
             "full_name",
@@ -104,12 +99,9 @@ def v_outcome_effectiveness(tables: Tables) -> DataFrame:
         "beneficiary_id", "full_name", "gender", "age", "income_bracket", "is_disabled",
         "region_id", F.col("program_id").alias("__person_program"),
     )
-    programs, regions = _people_dimensions(tables)
+    pairs = blocks.matched_pairs(tables["assessments"]).join(people, "beneficiary_id")
     return (
-        blocks.matched_pairs(tables["assessments"])
-        .join(people, "beneficiary_id")
-        .join(programs, F.col("__person_program") == F.col("__program"), "left")
-        .join(regions, F.col("region_id") == F.col("__region"), "left")
+        _with_dimensions(pairs, tables)
         .select(
             "beneficiary_id",
             "full_name",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, DataFrameWriter
 
 PARTITION_COLUMN = "fiscal_year"
 AUDIT_NAME = "cleaning_audit_report"
@@ -23,26 +23,29 @@ def write_csv_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
         df.write.mode("overwrite").options(**options).csv(f"{folder.rstrip('/')}/{name}.csv")
 
 
-def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Each table as Parquet; those with a fiscal year are partitioned by it.
+def _writer(df: DataFrame) -> DataFrameWriter:
+    """An overwriting writer, partitioned by fiscal year where there is one.
 
-    Rows are not gathered per year first: a year may hold most of a table, and
-    every task can write its own file per year.
+    Without care every task would write a small file for every year.  The
+    rebalance hint brings the rows of a year together, and adaptive execution
+    splits a year that holds a large share of the table over many tasks.
     """
+    if PARTITION_COLUMN not in df.columns:
+        return df.write.mode("overwrite")
+    balanced = df.hint("rebalance", PARTITION_COLUMN)
+    return balanced.write.mode("overwrite").partitionBy(PARTITION_COLUMN)
+
+
+def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
+    """Each table as Parquet; those with a fiscal year are partitioned by it."""
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
-        if PARTITION_COLUMN in df.columns:
-            writer = writer.partitionBy(PARTITION_COLUMN)
-        writer.parquet(f"{folder.rstrip('/')}/{name}")
+        _writer(df).parquet(f"{folder.rstrip('/')}/{name}")
 
 
 def save_tables(tables: Mapping[str, DataFrame], database: str) -> None:
     """Each table as a managed table of ``database``, replacing what is there."""
     for name, df in tables.items():
-        writer = df.write.mode("overwrite")
-        if PARTITION_COLUMN in df.columns:
-            writer = writer.partitionBy(PARTITION_COLUMN)
-        writer.saveAsTable(f"{database}.{name}")
+        _writer(df).saveAsTable(f"{database}.{name}")
 
 
 def write_audit(audit: DataFrame, folder: str) -> None:

@@ -84,10 +84,12 @@ def test_grid_is_complete(spark):
 
 
 def test_broadcast_only_what_was_measured_small(spark, monkeypatch):
-    df = spark.range(1000)
-    assert "broadcast" in plan_of(df.join(joins.broadcast_if_small({"d": df})["d"], "id")).lower()
+    dims = {"d": spark.range(1000)}
+    assert joins.measured(dims)["d"].small
+    monkeypatch.setattr(joins, "MAX_BROADCAST_BYTES", 100)
+    assert not joins.measured(dims)["d"].small
     monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 999)
-    assert joins.broadcast_if_small({"d": df})["d"] is df
+    assert not joins.measured(dims)["d"].small
 
 
 def test_detail_pages_by_number_and_by_last_row(sample):
