@@ -404,7 +404,7 @@ ORACLE["dash_trend_top5"] = from_progress(
       {light(pct('sum(actual_value)', 'sum(target_value)'), 90, 70)} rag_status
     from v_programme_progress v left join (
       select program_name from v_programme_progress group by program_name
-      order by sum(actual_value) desc, program_name limit 5) b on v.program_name=b.program_name
+      order by sum(actual_value) desc, sum(target_value), program_name limit 5) b on v.program_name=b.program_name
     group by coalesce(b.program_name,'Other'), fiscal_year, quarter_num, reporting_period"""
 )
 _SHARE = " union all ".join(
@@ -1100,7 +1100,7 @@ def issue(table: str, column: str | None, pk: str, kind: str, text: str, source:
 
 
 _PRESENT = {
-    "beneficiaries": ("phone", "age", "education_level", "household_size"),
+    "beneficiaries": ("phone", "age", "education_level"),
     "service_delivery": ("dosage",),
     "assessments": ("score",),
 }

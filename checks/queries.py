@@ -25,6 +25,7 @@ from tallygrove.functions.numbers import (
 from tallygrove.functions.text import match_key
 from tallygrove.operators import dedup, impute, joins, quality, references, standardise
 from tallygrove.operators.audit import summarise
+from tallygrove.operators.dimensions import one_dimension_totals
 from tallygrove.operators.schema_check import schema_check
 from tallygrove.plans import blocks, clean, dashboard, kpis, views
 from tallygrove.rules import DEFAULT_RULES
@@ -82,7 +83,8 @@ def sink_tables(spark, sf_dir):
 
 
 def _cleaned(spark, sf_dir) -> clean.CleanResult:
-    return clean.clean(dirty_sample(spark, sf_dir).all())
+    stage_dir = scratch_path(spark, "clean")
+    return clean.clean(dirty_sample(spark, sf_dir).all(), stage_dir=stage_dir)
 
 
 _AUDIT_COUNTS = ("table_name", "step_no", "step", "rows_before", "rows_after", "rows_affected")
@@ -495,8 +497,6 @@ def agg_group_by_expr(spark, sf_dir):
 @query
 def agg_multi_dimension(spark, sf_dir):
     people = clean_sample(spark, sf_dir)["beneficiaries"].withColumn("n", F.lit(1).cast("bigint"))
-    from tallygrove.operators.dimensions import one_dimension_totals
-
     dims = {"Gender": "gender", "Income Bracket": "income_bracket", "Disability": "is_disabled"}
     return one_dimension_totals(people, dims, ["n", "household_size"])
 

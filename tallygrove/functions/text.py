@@ -51,13 +51,20 @@ def parse_date(value: Column) -> Column:
     numeric dates with the year last and ``-``, ``/`` or ``.``, and
     ``d-Mon-yy``.  A year-last date is read day first, and month first only
     where that is impossible.  Each shape is rewritten to ISO and cast, which
-    is cheaper per row than trying one date pattern after another.
+    is cheaper per row than trying one date pattern after another; texts that
+    have the ISO shape already, as most do, meet no pattern at all.
     """
     text = strip(value)
+    iso_shape = (
+        (F.length(text) == 10)
+        & (F.substring(text, 5, 1) == "-")
+        & (F.substring(text, 8, 1) == "-")
+    )
     day_first = F.regexp_replace(text, _YEAR_LAST, "$4-$3-$1").try_cast("date")
     month_first = F.regexp_replace(text, _YEAR_LAST, "$4-$1-$3").try_cast("date")
     return (
-        F.when(
+        F.when(iso_shape, text.try_cast("date"))
+        .when(
             text.rlike(_YEAR_FIRST),
             F.regexp_replace(text, _YEAR_FIRST, "$1-$3-$4").try_cast("date"),
         )

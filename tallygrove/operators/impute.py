@@ -25,89 +25,100 @@ def _slice(value: Column) -> Column:
 
 
 def _cells(df: DataFrame, columns: Sequence[str], number: bool) -> DataFrame:
+    """(column_name, value, gap) per cell that has a value or is missing.
+
+    A text that is no number has no value, yet is not a gap.
+    """
     cells = [
         F.struct(
             F.lit(c).alias("column_name"),
             (number_of(df, c) if number else F.col(c).cast("string")).alias("value"),
+            F.col(c).isNull().alias("gap"),
         )
         for c in columns
     ]
-    return df.select(F.inline(F.array(*cells))).filter("value is not null")
+    return df.select(F.inline(F.array(*cells))).filter("gap or value is not null")
+
+
+def _value_counts(df: DataFrame, columns: Sequence[str], number: bool) -> DataFrame:
+    """Rows per (column_name, value); the gaps of a column are a row without value."""
+    return (
+        _cells(df, columns, number)
+        .groupBy("column_name", "value")
+        .agg(F.count("value").alias("n"), F.bool_or("gap").alias("gap"))
+    )
 
 
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column_name, median) with the exact mean of the middle two values.
+    """(column_name, median, has_gap) with the exact mean of the middle two values.
 
     Rows are first reduced to (value, rows).  A count per slice of the number
     line, whose length does not grow with the data, shows which slice holds
     the middle; only the distinct values of that slice are put in order.
     """
-    counts = _cells(df, columns, number=True).groupBy("column_name", "value").agg(
-        F.count("*").alias("n")
-    )
-    # The filter drops nothing; stated here, it keeps both uses of the counts
-    # alike, so that they share one shuffle.
-    counts = counts.withColumn("slice", _slice(F.col("value"))).filter("slice is not null")
-    per_slice = counts.groupBy("column_name", "slice").agg(F.sum("n").alias("n"))
-    in_column = Window.partitionBy("column_name")
-    upto = in_column.orderBy("slice").rowsBetween(Window.unboundedPreceding, 0)
+    counts = _value_counts(df, columns, number=True).withColumn("slice", _slice(F.col("value")))
+    per_slice = counts.groupBy(
+        F.col("column_name").alias("of_column"), F.col("slice").alias("of_slice")
+    ).agg(F.sum("n").alias("here"), F.bool_or("gap").alias("gap_here"))
+    in_column = Window.partitionBy("of_column")
+    upto = in_column.orderBy("of_slice").rowsBetween(Window.unboundedPreceding, 0)
     middle = (
         per_slice.select(
-            "column_name",
-            "slice",
-            "n",
-            (F.sum("n").over(upto) - F.col("n")).alias("before"),
-            F.sum("n").over(in_column).alias("total"),
+            "of_column",
+            "of_slice",
+            "here",
+            (F.sum("here").over(upto) - F.col("here")).alias("before"),
+            F.sum("here").over(in_column).alias("total"),
+            F.bool_or("gap_here").over(in_column).alias("has_gap"),
         )
         .withColumn("low_rank", F.expr("(total + 1) div 2"))
         .withColumn("high_rank", F.expr("(total + 2) div 2"))
-        .filter("before < high_rank and before + n >= low_rank")
-        .drop("n", "total")
+        .filter("before < high_rank and before + here >= low_rank")
     )
     in_slice = Window.partitionBy("column_name", "slice").orderBy("value")
-    # At most two slices per column hold the middle, whatever the data.
-    ranked = counts.join(F.broadcast(middle), ["column_name", "slice"]).withColumn(
+    # At most two slices per column hold the middle, whatever the data.  The
+    # NULL-safe comparison keeps the optimizer from adding a filter to one of
+    # the two uses of the counts, and both use all their columns, so that they
+    # share one shuffle.
+    same = (F.col("column_name") == F.col("of_column")) & F.col("slice").eqNullSafe(
+        F.col("of_slice")
+    )
+    ranked = counts.join(F.broadcast(middle), same).withColumn(
         "last_rank",
-        F.col("before")
-        + F.sum("n").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
+        F.col("before") + F.sum("n").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
     )
     low = F.min(F.when(F.col("last_rank") >= F.col("low_rank"), F.col("value")))
     high = F.min(F.when(F.col("last_rank") >= F.col("high_rank"), F.col("value")))
-    return ranked.groupBy("column_name").agg(((low + high) / 2.0).alias("median"))
+    return ranked.groupBy("column_name").agg(
+        ((low + high) / 2.0).alias("median"),
+        F.bool_or(F.col("has_gap") | F.col("gap")).alias("has_gap"),
+    )
 
 
 def approximate_medians(
     df: DataFrame, columns: Sequence[str], accuracy: int = 10_000
 ) -> DataFrame:
-    """(column_name, median) by one mergeable sketch per column, in one pass."""
+    """(column_name, median, has_gap) by one mergeable sketch per column, in one pass."""
     return (
         _cells(df, columns, number=True)
         .groupBy("column_name")
-        .agg(F.approx_percentile("value", 0.5, accuracy).alias("median"))
+        .agg(
+            F.approx_percentile("value", 0.5, accuracy).alias("median"),
+            F.bool_or("gap").alias("has_gap"),
+        )
     )
 
 
 def exact_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, mode): the most frequent value, ties to the smallest."""
     return (
-        _cells(df, columns, number=False)
-        .groupBy("column_name", "value")
-        .agg(F.count("*").alias("n"))
+        _value_counts(df, columns, number=False)
+        .filter("value is not null")
         .groupBy("column_name")
         .agg(F.min_by("value", F.struct(-F.col("n"), F.col("value"))).alias("mode"))
     )
 
 
-def columns_with_gaps(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Names of the columns that hold at least one NULL."""
-    gaps = [F.when(F.col(c).isNull(), F.lit(c)) for c in columns]
-    return (
-        df.select(F.explode(F.array(*gaps)).alias("column_name"))
-        .filter("column_name is not null")
-        .distinct()
-    )
-
-
 def as_map(df: DataFrame, value: str) -> Column:
     """The few (column_name, value) rows as one map, by a scalar subquery.
 
@@ -129,10 +140,7 @@ def fill_edits(
     if medians:
         find = approximate_medians if approximate else exact_medians
         # A column without a gap gets no fill, so its unreadable texts stay NULL.
-        needed = find(df, medians).join(
-            columns_with_gaps(df, medians), "column_name", "left_semi"
-        )
-        median_of = as_map(needed, "median")
+        median_of = as_map(find(df, medians).filter("has_gap"), "median")
     if modes:
         mode_of = as_map(exact_modes(df, modes), "mode")
     edits = []

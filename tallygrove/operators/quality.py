@@ -20,7 +20,7 @@ from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date
 from tallygrove.operators.dedup import drop_tagged, is_tagged, key_repeats
 from tallygrove.operators.joins import Side, lookup_join
 from tallygrove.operators.references import orphan_keys
-from tallygrove.operators.standardise import _outside
+from tallygrove.operators.standardise import outside_bounds
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
 MISSING = "missing_value"
@@ -71,7 +71,7 @@ def _row_issues(
         for c in rules.bounds:
             if c in df.columns:
                 text = F.concat(F.lit("Value out of range: "), F.col(c).cast("string"))
-                issues.append(_found(_outside(df, c, rules), c, OUTLIER, text))
+                issues.append(_found(outside_bounds(df, c, rules), c, OUTLIER, text))
     return issues
 
 

@@ -32,7 +32,7 @@ def orphan_keys(child: DataFrame, column: str, parent: DataFrame, pk: str) -> Da
     return used.join(keys, used.orphan_key == keys.parent_key, "left_anti")
 
 
-def _spread_key(column: str, row_key: str) -> Column:
+def spread_key(column: str, row_key: str) -> Column:
     """The reference as join key; NULLs are spread over keys that match nothing."""
     slot = F.pmod(F.xxhash64(F.col(row_key)), F.lit(_NULL_SLICES)).cast("string")
     return F.coalesce(F.col(column).cast("string"), F.concat(F.lit("\0"), slot))
@@ -49,7 +49,7 @@ def null_orphans(
     # Renamed per use: several references of one child have the same lookup shape.
     key = f"__orphan_{column}"
     lookup = Side(orphans.df.select(F.col("orphan_key").alias(key)), orphans.small)
-    same = [_spread_key(column, row_key) == F.col(key)]
+    same = [spread_key(column, row_key) == F.col(key)]
     joined = lookup_join(child, lookup, same, row_key, "left")
     broken = F.col(key).isNotNull()
     columns = {column: F.when(~broken, F.col(column))}

@@ -131,7 +131,7 @@ def unmapped_values(
 # -- bounds ------------------------------------------------------------------
 
 
-def _outside(df: DataFrame, column: str, rules: CleaningRules, sibling: bool = True) -> Column:
+def outside_bounds(df: DataFrame, column: str, rules: CleaningRules, sibling: bool = True) -> Column:
     number = number_of(df, column)
     low, high = rules.bounds[column]
     outside = F.lit(False)
@@ -149,7 +149,7 @@ def outlier_edits(df: DataFrame, rules: CleaningRules, sibling: bool = True) ->
     edits = []
     for column in rules.bounds:
         if column in df.columns:
-            outside = _outside(df, column, rules, sibling)
+            outside = outside_bounds(df, column, rules, sibling)
             edits.append(
                 Edit(OUTLIERS, column, F.when(~outside, F.col(column)), {"outside": outside})
             )

@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 from functools import partial, reduce
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tallygrove import model
+from tallygrove.functions.text import strip
 from tallygrove.operators import audit as auditing
 from tallygrove.operators import standardise
 from tallygrove.operators.dedup import deduplicate
@@ -21,6 +24,14 @@ from tallygrove.rules import DEFAULT_RULES, CleaningRules
 Stage = Callable[[DataFrame, str], DataFrame]
 
 
+class CleanTable(NamedTuple):
+    df: DataFrame
+    # The primary keys alone, without the work of the later steps: what the
+    # reference checks of other tables need.
+    keys: DataFrame
+    audit: Callable[[], DataFrame]
+
+
 @dataclass(frozen=True)
 class CleanResult:
     """Clean tables, and the audit as a plan that is built when asked for."""
@@ -61,11 +72,8 @@ def clean_table(
     rules: CleaningRules = DEFAULT_RULES,
     stage: Stage = _as_is,
     approximate: bool = False,
-) -> tuple[DataFrame, Callable[[], DataFrame]]:
-    """Run all steps on one table; ``parents`` are already clean.
-
-    Returns the table and a function that gives its audit rows.
-    """
+) -> CleanTable:
+    """Run all steps on one table; ``parents`` give the keys of clean parents."""
     pk = model.PRIMARY_KEY[table]
     types = {f.name: f.dataType for f in model.clean_schema(table)}
     log = auditing.TableAudit(table, raw, pk, rules)
@@ -79,11 +87,16 @@ def clean_table(
     categories = standardise.category_edits(df, table, rules)
     df = apply_edits(df, categories, keep_flags=True)
     outliers = standardise.outlier_edits(df, rules)
-    df = stage(apply_edits(df, outliers, keep_flags=True), f"{table}/standardised")
+    df = apply_edits(df, outliers, keep_flags=True)
+    strategies = rules.fill.get(table, {})
+    if table in rules.match_keys or {"median", "mode"} & set(strategies.values()):
+        # What comes next would otherwise repeat a shuffle.
+        df = stage(df, f"{table}/standardised")
     log.categories(categories, partial(standardise.unmapped_values, df, table, rules))
     log.outliers(outliers)
+    keys = df.select(strip(F.col(pk)).alias(pk))
 
-    fills = fill_edits(df, rules.fill.get(table, {}), approximate)
+    fills = fill_edits(df, strategies, approximate)
     df = apply_edits(df, fills, keep_flags=True)
     log.fills(fills)
 
@@ -104,7 +117,7 @@ def clean_table(
     casts = standardise.cast_edits(df, rules, types)
     df = apply_edits(df, casts)
     log.types(casts)
-    return drop_flags(df), partial(log.rows, df)
+    return CleanTable(drop_flags(df), keys, partial(log.rows, df))
 
 
 def clean(
@@ -120,16 +133,14 @@ def clean(
     which is the way to run large inputs.
     """
     stage = written_stage(stage_dir) if stage_dir else _as_is
-    cleaned: dict[str, DataFrame] = {}
-    audits: list[Callable[[], DataFrame]] = []
+    done: dict[str, CleanTable] = {}
     for table in model.CLEANING_ORDER:
-        if table not in tables:
-            continue
-        df, audit = clean_table(table, tables[table], cleaned, rules, stage, approximate)
-        cleaned[table] = df
-        audits.append(audit)
-    if not audits:
+        if table in tables:
+            parents = {name: parent.keys for name, parent in done.items()}
+            done[table] = clean_table(table, tables[table], parents, rules, stage, approximate)
+    if not done:
         raise ValueError("none of the known tables is present")
+    cleaned = {name: result.df for name, result in done.items()}
     if model.PASS_THROUGH in tables:
         cleaned[model.PASS_THROUGH] = tables[model.PASS_THROUGH]
-    return CleanResult(cleaned, audits)
+    return CleanResult(cleaned, [result.audit for result in done.values()])

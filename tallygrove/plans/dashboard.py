@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from tallygrove.functions import labels
 from tallygrove.functions.numbers import (
     count_where,
+    hundredths,
     mean_of_tenths,
     percent_of,
     round_half_away,
@@ -177,9 +178,10 @@ def cost_bars(cost: DataFrame) -> DataFrame:
         F.sum("total_target").alias("total_target"),
     )
     spend, actual = F.col("total_spend_inr"), F.col("total_actual")
-    portfolio = by_program.agg(
-        round_half_away(safe_ratio(sum_money(spend), F.sum(actual)), 2).alias("mean")
-    ).scalar()
+    # One row per program is left here; a second aggregate would run the view again.
+    everything = Window.partitionBy()
+    all_spend = F.sum(hundredths(spend)).over(everything) / 100.0
+    portfolio = round_half_away(safe_ratio(all_spend, F.sum(actual).over(everything)), 2)
     return by_program.select(
         "program_name",
         "sector",
@@ -194,16 +196,18 @@ def cost_bars(cost: DataFrame) -> DataFrame:
 def trend_top(progress: DataFrame, top: int = TOP_PROGRAMS) -> DataFrame:
     """Achievement by quarter for the largest programs, the rest as 'Other'.
 
-    Rows are summed by program and quarter first.  The lookup holds ``top``
-    rows, so it is broadcast whatever the size of the data.
+    Rows are summed by program and quarter first.  Ties in the actual total go
+    to the lower target, then to the name.  The lookup holds ``top`` rows, so
+    it is broadcast whatever the size of the data; as it uses all that the
+    sums hold, both uses of them share one shuffle.
     """
     quarters = progress.groupBy(
         "program_name", "fiscal_year", "quarter_num", "reporting_period"
     ).agg(F.sum("actual_value").alias("actual"), F.sum("target_value").alias("target"))
     largest = (
         quarters.groupBy("program_name")
-        .agg(F.sum("actual").alias("all_actual"))
-        .orderBy(F.desc("all_actual"), "program_name")
+        .agg(F.sum("actual").alias("all_actual"), F.sum("target").alias("all_target"))
+        .orderBy(F.desc("all_actual"), "all_target", "program_name")
         .limit(top)
         .select("program_name", F.col("program_name").alias("top_name"))
     )

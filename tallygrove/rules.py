@@ -124,7 +124,7 @@ DUPLICATE_TAG = "-DUP"
 
 # Columns watched by the issue log, per table.
 MONITORED_NULLS = {
-    "beneficiaries": ("phone", "age", "income_bracket", "education_level", "household_size"),
+    "beneficiaries": ("phone", "age", "income_bracket", "education_level"),
     "service_delivery": ("dosage", "notes"),
     "assessments": ("score", "remarks"),
     "funding": ("grant_type",),

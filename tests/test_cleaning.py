@@ -193,7 +193,8 @@ def test_one_table_end_to_end(spark):
     raw = spark.createDataFrame(FUNDING, model.raw_schema("funding"))
     donors = spark.createDataFrame([("D1",)], "donor_id string")
     programs = spark.createDataFrame([("P1",)], "program_id string")
-    out, audit = clean_table("funding", raw, {"donors": donors, "programs": programs})
+    out, keys, audit = clean_table("funding", raw, {"donors": donors, "programs": programs})
+    assert sorted(values(keys, "funding_id")) == ["F1", "F2"]
     assert [f.dataType for f in out.schema] == [f.dataType for f in model.clean_schema("funding")]
     rows = {r.funding_id: r for r in out.collect()}
     # F3 repeats F1 once blanks around the key are gone.
@@ -217,7 +218,7 @@ def test_one_table_end_to_end(spark):
 
 def test_empty_table(spark):
     raw = spark.createDataFrame([], model.raw_schema("beneficiaries"))
-    out, audit = clean_table("beneficiaries", raw, {})
+    out, _, audit = clean_table("beneficiaries", raw, {})
     assert out.count() == 0
     assert all(r.rows_before == 0 and r.rows_after == 0 for r in audit().collect())
 

@@ -194,3 +194,12 @@ def test_tables_are_partitioned_by_year(spark, sample, tmp_path):
 def test_scans_read_only_what_is_used(spark, sample):
     plan = plan_of(blocks.program_spend(sample["expenses"]))
     assert "l_tax" not in plan and "l_comment" not in plan
+
+
+def test_managed_tables(spark, sample, tmp_path):
+    spark.sql(f"create database if not exists grove location '{tmp_path}'")
+    try:
+        sinks.save_tables({"funding": sample["funding"]}, "grove")
+        assert spark.table("grove.funding").count() == sample["funding"].count()
+    finally:
+        spark.sql("drop database grove cascade")

@@ -61,7 +61,7 @@ def test_hot_broken_reference_is_split(spark, tmp_path, shuffled):
 
 def test_null_references_are_spread(spark, tmp_path, shuffled):
     rows = hot_rows(spark, tmp_path).withColumn("key", F.when(F.col("key") != "hot", F.col("key")))
-    spread = rows.select(references._spread_key("key", "row_id").alias("k")).filter("k like '\0%'")
+    spread = rows.select(references.spread_key("key", "row_id").alias("k")).filter("k like '\0%'")
     assert spread.groupBy("k").count().count() == 256
     out = references.check_reference(rows, "key", rows.select("key"), "key", "row_id")
     assert out.filter("key is null").count() == ROWS // 3
