@@ -175,20 +175,89 @@ def _deletions(text: Column, distance: int) -> Column:
     return levels
 
 
+def _piece(text: Column, length: Column, i: Column, pieces: int, shift: Column) -> Column:
+    """Hash of piece ``i`` of a text of that length cut evenly, read ``shift`` further on."""
+    start = (length * i / pieces).cast("int")
+    size = (length * (i + 1) / pieces).cast("int") - start
+    return F.xxhash64(length, i, F.substr(text, start + 1 + shift, size))
+
+
+def _own_pieces(text: Column, distance: int) -> Column:
+    at = F.sequence(F.lit(0), F.lit(distance))
+    return F.transform(at, lambda i: _piece(text, F.length(text), i, distance + 1, F.lit(0)))
+
+
+def _pieces_looked_for(text: Column, distance: int) -> Column:
+    """Pieces that a text within ``distance`` edits may have, wherever they moved to."""
+    around = F.sequence(F.lit(-distance), F.lit(distance))
+    at = F.sequence(F.lit(0), F.lit(distance))
+
+    def for_length(longer: Column) -> Column:
+        length = F.length(text) + longer
+
+        def for_piece(i: Column) -> Column:
+            return F.transform(around, lambda shift: _piece(text, length, i, distance + 1, shift))
+
+        return F.flatten(F.transform(at, for_piece))
+
+    return F.array_distinct(F.flatten(F.transform(around, for_length)))
+
+
+# Declared width of a name.
+FORMS_UP_TO = 128
+
+
+def _candidates(spellings: DataFrame, distance: int, forms_up_to: int) -> DataFrame:
+    """Pairs of a spelling and an earlier one that may be near, within a block.
+
+    Up to the declared width, two texts within ``distance`` edits share a form
+    with at most that many characters left out.  How many spellings share a
+    form depends on the alphabet and the length of the name, not on how often
+    a name occurs.  The number of forms grows with the square of the length,
+    so over-long texts are cut in ``distance + 1`` pieces instead, one of which
+    must be untouched.  Both keys are hashes: they only propose a pair.
+    """
+    def keyed(df: DataFrame, keys: Column) -> DataFrame:
+        # Every spelling grows to many keys, so the (few) spellings are dealt out
+        # evenly first; adaptive coalescing would pack them by their small size.
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        return df.repartition(tasks, "spelling").select(
+            F.explode(keys).alias("key"), "block", "spelling", "first_id"
+        ).withColumn("key", F.xxhash64("block", "key"))
+
+    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+        # Catalyst does not see how far the keys multiply; the hint keeps it from
+        # broadcasting them.
+        earlier = right.toDF("near_key", "near_block", "near_spelling", "near_id").hint("merge")
+        return left.join(earlier, F.col("key") == F.col("near_key")).filter(
+            "block = near_block and near_id < first_id"
+        )
+
+    text = F.col("spelling")
+    short = spellings.filter(F.length(text) <= forms_up_to)
+    forms = keyed(short, _deletions(text, distance))
+    # Shorter ones by up to ``distance`` may be near to one that is over-long.
+    long = spellings.filter(F.length(text) > forms_up_to - distance)
+    looked_for = keyed(long, _pieces_looked_for(text, distance))
+    return paired(forms, forms).unionByName(
+        paired(looked_for, keyed(long, _own_pieces(text, distance)))
+    )
+
+
 def name_variants(
-    df: DataFrame, pk: str, name: str, block: str, distance: int = 2
+    df: DataFrame,
+    pk: str,
+    name: str,
+    block: str,
+    distance: int = 2,
+    forms_up_to: int = FORMS_UP_TO,
 ) -> DataFrame:
     """Records whose name is nearly that of an earlier record in their block.
 
     "Earlier" is by the least primary key that carries a spelling; a name is
     reported once per record with its nearest earlier spelling (ties to the
-    earliest), never once per pair of records.
-
-    Equal names are reduced to one row per (block, spelling).  Two spellings
-    within ``distance`` edits share a form with at most that many characters
-    left out, so candidates come from an equality join on such forms instead
-    of all pairs of a block.  How many spellings share a form depends on the
-    alphabet and the length of the name, not on how often a name occurs.
+    earliest), never once per pair of records.  Equal names are reduced to one
+    row per (block, spelling) before anything is compared.
     """
     keyed = df.select(
         F.col(pk).cast("string").alias("record_id"),
@@ -196,21 +265,9 @@ def name_variants(
         match_key(F.col(name)).alias("spelling"),
     ).filter("spelling is not null")
     spellings = keyed.groupBy("block", "spelling").agg(F.min("record_id").alias("first_id"))
-    # Every spelling grows to some n*n/2 forms, so the (few) spellings are dealt
-    # out evenly first; adaptive coalescing would pack them by their small size.
-    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    forms = (
-        spellings.repartition(tasks, "spelling")
-        .withColumn("form", F.explode(_deletions(F.col("spelling"), distance)))
-        # Equal hashes only propose a pair; the edit distance decides.
-        .select(F.xxhash64("block", "form").alias("form"), "block", "spelling", "first_id")
-    )
-    # Renamed only: both sides of the join then share one shuffle.
-    earlier = forms.toDF("near_form", "near_block", "near_spelling", "near_id")
     near = F.levenshtein(F.col("spelling"), F.col("near_spelling"), distance)
     best = (
-        forms.join(earlier, F.col("form") == F.col("near_form"))
-        .filter("block = near_block and near_id < first_id")
+        _candidates(spellings, distance, forms_up_to)
         .withColumn("edits", near)
         .filter(F.col("edits").between(1, distance))
         .groupBy("block", "spelling")

@@ -126,13 +126,14 @@ def _distance(a, b):
     return row[-1]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_name_variants_against_all_pairs(spark, seed):
+@pytest.mark.parametrize("seed, forms_up_to", [(0, 128), (1, 128), (2, 5), (3, 0), (4, 8)])
+def test_name_variants_against_all_pairs(spark, seed, forms_up_to):
     rng = random.Random(seed)
     names = ["asha", "ashaa", "", "a", "kumar", "kumer", "kumaar", "singh", "sing", "sigh", "ravi"]
     rows = [(f"B{i:03d}", rng.choice(names) + rng.choice(["", "x", "yz"]), rng.choice(["1", "2", None])) for i in range(60)]
     df = spark.createDataFrame(rows, "id string, name string, region string")
-    got = {r.record_id: (r.edits, r.near_id, r.near_spelling) for r in quality.name_variants(df, "id", "name", "region").collect()}
+    found = quality.name_variants(df, "id", "name", "region", forms_up_to=forms_up_to).collect()
+    got = {r.record_id: (r.edits, r.near_id, r.near_spelling) for r in found}
     first = {}
     for key, name, region in rows:
         first.setdefault((region, name), key)
@@ -148,6 +149,15 @@ def test_name_variants_against_all_pairs(spark, seed):
     assert got == want
 
 
+def test_very_long_names(spark):
+    rng = random.Random(5)
+    text = "".join(rng.choice("abcdefgh ") for _ in range(5000))
+    rows = [("1", text), ("2", text[:2000] + "x" + text[2000:]), ("3", text[1:-1]), ("4", "q" + text[3:])]
+    df = spark.createDataFrame([(*r, "1") for r in rows], "id string, name string, region string")
+    got = {r.record_id: (r.near_id, r.edits) for r in quality.name_variants(df, "id", "name", "region").collect()}
+    assert got == {"2": ("1", 1), "3": ("1", 2)}
+
+
 def test_hot_name_does_not_multiply(spark):
     df = spark.range(3000).select(
         F.format_string("%05d", "id").alias("id"),
