@@ -361,9 +361,9 @@ ORACLE["dash_card_cost"] = from_cost(
 _QUARTERS = """(select fiscal_year, quarter_num, reporting_period, sum(actual_value) a,
   sum(target_value) t from v_programme_progress group by fiscal_year, quarter_num, reporting_period)"""
 ORACLE["dash_card_achievement"] = from_progress(
-    f"""select reporting_period, {R('s', 1)} achievement_pct, {R('(s-prior)', 1)} change_pp,
-      {light('s', 90, 70)} rag_status
-    from (select reporting_period, s, lag(s) over (order by fiscal_year, quarter_num) prior from (
+    f"""select fiscal_year, reporting_period, {R('s', 1)} achievement_pct,
+      {R('(s-prior)', 1)} change_pp, {light('s', 90, 70)} rag_status
+    from (select fiscal_year, reporting_period, s, lag(s) over (order by fiscal_year, quarter_num) prior from (
       select *, coalesce({pct('a', 't')},0.0) s from {_QUARTERS} q) x) y"""
 )
 ORACLE["dash_card_reach"] = from_people(
@@ -380,7 +380,7 @@ ORACLE["dash_card_improved"] = from_pairs(
       from v_outcome_effectiveness) x) y"""
 )
 ORACLE["dash_qoq"] = from_progress(
-    f"""select reporting_period, a total_actual, prior prior_actual,
+    f"""select fiscal_year, reporting_period, a total_actual, prior prior_actual,
       {R(pct('(a-prior)', 'prior'), 1)} qoq_growth_pct
     from (select *, lag(a) over (order by fiscal_year, quarter_num) prior from {_QUARTERS} q) x"""
 )

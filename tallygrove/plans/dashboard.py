@@ -26,6 +26,8 @@ from tallygrove.functions.numbers import (
     tenths,
 )
 from tallygrove.operators.dimensions import one_dimension_totals
+from tallygrove.plans import views
+from tallygrove.plans.blocks import Tables
 
 LATEST = "latest"
 TOP_PROGRAMS = 5
@@ -101,6 +103,7 @@ def card_achievement(progress: DataFrame) -> DataFrame:
     share = F.coalesce(percent_of(F.col("total_actual"), F.col("total_target")), F.lit(0.0))
     quarters = _by_quarter(progress).withColumn("share", share)
     return quarters.withColumn("prior", F.lag("share").over(_in_time())).select(
+        "fiscal_year",
         "reporting_period",
         round_half_away(F.col("share"), 1).alias("achievement_pct"),
         round_half_away(F.col("share") - F.col("prior"), 1).alias("change_pp"),
@@ -145,6 +148,7 @@ def quarter_growth(progress: DataFrame) -> DataFrame:
         _by_quarter(progress)
         .withColumn("prior", F.lag("total_actual").over(_in_time()))
         .select(
+            "fiscal_year",
             "reporting_period",
             "total_actual",
             prior.alias("prior_actual"),
@@ -334,3 +338,47 @@ def activation_distinct(people: DataFrame) -> DataFrame:
         "people",
         safe_ratio(F.col("active_people"), F.col("people")).alias("activation"),
     )
+
+
+# -- all of it ---------------------------------------------------------------
+
+
+def datasets(
+    tables: Tables,
+    fiscal_year: str | None = LATEST,
+    programs: Sequence[str] | None = None,
+    state: str | None = None,
+    sector: str | None = None,
+) -> dict[str, DataFrame]:
+    """Every card, chart and table of the dashboard under one set of filters.
+
+    Cards that compare with the period before are computed over all years and
+    then cut to the chosen one; otherwise the first period would have nothing
+    to compare with.
+    """
+    flat = views.build_views(tables)
+    years = flat["v_cost_per_impact"]
+
+    def chosen_year(df: DataFrame) -> DataFrame:
+        return apply_filters(df, fiscal_year=fiscal_year, year_source=years)
+
+    everywhere = {
+        name: apply_filters(df, programs=programs, state=state, sector=sector)
+        for name, df in flat.items()
+    }
+    cost, progress = everywhere["v_cost_per_impact"], everywhere["v_programme_progress"]
+    people, pairs = everywhere["v_beneficiary_360"], everywhere["v_outcome_effectiveness"]
+    return {
+        "card_cost": chosen_year(card_cost(cost)),
+        "card_achievement": chosen_year(card_achievement(progress)),
+        "card_reach": card_reach(people),
+        "card_improved": card_improved(pairs),
+        "quarter_growth": chosen_year(quarter_growth(progress)),
+        "burn_rate": burn_rate(chosen_year(everywhere["v_financial_overview"])),
+        "cost_bars": cost_bars(chosen_year(cost)),
+        "trend_top": trend_top(chosen_year(progress)),
+        "demographic_share": demographic_share(people),
+        "outcome_heatmap": outcome_heatmap(pairs),
+        "detail_page": detail_page(people),
+        "activation_distinct": activation_distinct(people),
+    }

@@ -6,7 +6,6 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove import model
 from tallygrove.rules import MISSING_MARKS
 
 _STEM = r"([^/]+)\.csv(/[^/]*)?$"
@@ -26,28 +25,27 @@ def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(row.stem for row in stems.collect())
 
 
-def read_csv(spark: SparkSession, path: str, table: str) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
     """One raw table, every column as text, missing marks as NULL.
 
     Columns are matched by the header, so a file may leave some out or order
-    them in its own way.
+    them in its own way.  ``multi_line`` reads line breaks inside quotes; such
+    files cannot be split, so it is off by default.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
-    reader = reader.option("multiLine", False).option("escape", '"').option("mode", "PERMISSIVE")
-    df = reader.csv(path)
+    df = reader.option("multiLine", multi_line).option("escape", '"').csv(path)
+    columns = {c: F.col(f"`{c}`") for c in df.columns}
     return df.select(
-        *[F.when(~F.col(f"`{c}`").isin(list(MISSING_MARKS)), F.col(f"`{c}`")).alias(c) for c in df.columns]
+        *[F.when(~value.isin(list(MISSING_MARKS)), value).alias(c) for c, value in columns.items()]
     )
 
 
-def load_csv_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+def load_csv_tables(
+    spark: SparkSession, folder: str, multi_line: bool = False
+) -> dict[str, DataFrame]:
     """Every ``*.csv`` of a folder as a raw table named after its file."""
     names = csv_table_names(spark, folder)
     if not names:
         raise ValueError(f"No CSV files found in: {folder}")
     base = folder.rstrip("/")
-    return {name: read_csv(spark, f"{base}/{name}.csv", name) for name in names}
-
-
-def known_tables(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    return {name: df for name, df in tables.items() if name in model.PRIMARY_KEY}
+    return {name: read_csv(spark, f"{base}/{name}.csv", multi_line) for name in names}

@@ -213,3 +213,34 @@ def test_managed_tables(spark, sample, tmp_path):
         assert spark.table("grove.funding").count() == sample["funding"].count()
     finally:
         spark.sql("drop database grove cascade")
+
+
+def test_all_dashboard_data(sample):
+    data = dashboard.datasets(sample, fiscal_year="FY1996-97", sector="Sector 3")
+    counts = {name: df.count() for name, df in data.items()}
+    assert counts["card_cost"] == counts["card_reach"] == counts["burn_rate"] == 1
+    assert counts["card_achievement"] == counts["quarter_growth"] == 4
+    # The first quarter of the year still has one before it.
+    assert data["card_achievement"].filter("change_pp is null").count() == 0
+    assert data["cost_bars"].select("sector").distinct().count() == 1
+
+
+def test_star_join_by_declared_kind(spark):
+    tables = {
+        "interventions": spark.createDataFrame(
+            [("I1", "P1", "S1"), ("I2", "P1", None), ("I3", "P9", "S1"), ("I4", None, "S9")],
+            "intervention_id string, program_id string, staff_id string",
+        ),
+        "programs": spark.createDataFrame([("P1", "One")], "program_id string, program_name string"),
+        "staff": spark.createDataFrame([("S1", "Asha")], "staff_id string, full_name string"),
+    }
+    out = joins.star_join(tables, "interventions").orderBy("intervention_id").collect()
+    assert [tuple(r) for r in out] == [("I1", "P1", "S1", "One", "Asha"), ("I2", "P1", None, "One", None)]
+    assert joins.star_join({"regions": tables["staff"]}, "regions") is tables["staff"]
+
+
+def test_declared_ddl(spark):
+    from tallygrove.operators.schema_check import declared_ddl
+
+    assert declared_ddl("expenses").startswith("expense_id STRING NOT NULL")
+    assert "amount_inr DECIMAL(15,2) NOT NULL" in declared_ddl("expenses")
