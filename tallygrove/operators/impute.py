@@ -14,9 +14,10 @@ from tallygrove.rules import DEFAULT_RULES, CleaningRules
 STEP = "imputation"
 UNKNOWN = "Unknown"
 
-# Slices per e-fold of the magnitude.  A double spans about 745 e-folds below
-# and 710 above 1 and has two signs, so there are at most some 92,000 slices.
-_SLICES = 64
+# Slices per e-fold of the magnitude.  A double has some 710 e-folds above 1 (all
+# below share the first) and two signs, so the number of slices is bounded; data
+# that spans six orders of magnitude fills about 14,000 of them.
+_SLICES = 1024
 
 
 def _slice(value: Column) -> Column:

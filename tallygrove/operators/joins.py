@@ -36,7 +36,10 @@ def _within(dims: Mapping[str, DataFrame], measure, limit: int) -> dict[str, Dat
 
 
 class Side(NamedTuple):
-    """The small side of a many-to-one join, with what was measured about it."""
+    """The one-side of a many-to-one join; ``small`` only if it was measured so.
+
+    Where it was not measured, Catalyst decides by the size it knows.
+    """
 
     df: DataFrame
     small: bool

@@ -21,6 +21,7 @@ from tallygrove.functions.numbers import (
     tenths,
 )
 from tallygrove.functions.periods import period_fiscal_year, period_quarter
+from tallygrove.operators.joins import Side, join_dimension
 
 Tables = Mapping[str, DataFrame]
 
@@ -108,23 +109,18 @@ def quarter_rows(tables: Tables) -> DataFrame:
     """Reported quarters with program, indicator, trend and recency.
 
     A window group is one program and indicator; by the grain of the table it
-    holds one row per quarter.  The outcome id settles ties.
+    holds one row per quarter.  The outcome id settles ties.  The windows come
+    before the joins: those keep or drop whole groups, so the result is the
+    same, and only the columns of the fact are shuffled for the windows.
     """
     pair = Window.partitionBy("program_id", "indicator_id")
     forward = pair.orderBy("fiscal_year", "quarter_num", "outcome_id")
     upto = forward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    programs = tables["programs"].withColumnRenamed("status", "program_status")
-    indicators = tables["impact_indicators"].select(
-        "indicator_id",
-        "iris_id",
-        "indicator_name",
-        F.col("category").alias("indicator_category"),
-    )
     period = F.col("reporting_period")
     actual, target = F.col("actual_value"), F.col("target_value")
-    reported = (
+    trends = (
         tables["outcome_tracking"]
-        .filter("actual_value is not null")
+        .filter("actual_value is not null and program_id is not null and indicator_id is not null")
         .withColumns(
             {"quarter_num": period_quarter(period), "fiscal_year": period_fiscal_year(period)}
         )
@@ -132,21 +128,46 @@ def quarter_rows(tables: Tables) -> DataFrame:
             "outcome_id", "program_id", "indicator_id", "reporting_period", "quarter_num",
             "fiscal_year", "target_value", "actual_value", "data_source", "verified_by",
         )
+        .withColumns(
+            {
+                "prev_quarter_actual": F.lag("actual_value").over(forward),
+                "cumulative_actual": F.sum("actual_value").over(upto),
+                "cumulative_target": F.sum("target_value").over(upto),
+                # The forward order read backwards, so that one sort serves all.
+                "recency_rank": (
+                    F.count("*").over(pair) - F.row_number().over(forward) + 1
+                ).cast("int"),
+            }
+        )
+    )
+    programs = tables["programs"].select(
+        F.col("program_id").alias("__program"),
+        "program_name",
+        "sector",
+        "region_id",
+        F.col("status").alias("program_status"),
     )
-    known = reported.join(programs, "program_id").join(indicators, "indicator_id")
-    return known.withColumns(
-        {
-            "prev_quarter_actual": F.lag("actual_value").over(forward),
-            "cumulative_actual": F.sum("actual_value").over(upto),
-            "cumulative_target": F.sum("target_value").over(upto),
-            # The forward order read backwards, so that one sort serves all.
-            "recency_rank": (F.count("*").over(pair) - F.row_number().over(forward) + 1).cast(
-                "int"
-            ),
-            "achievement_pct": rounded_percent(actual, target),
-            "rag_status": labels.achievement_light(actual, target),
-            "verification_status": labels.verification_status(F.col("verified_by")),
-        }
+    indicators = tables["impact_indicators"].select(
+        F.col("indicator_id").alias("__indicator"),
+        "iris_id",
+        "indicator_name",
+        F.col("category").alias("indicator_category"),
+    )
+    with_program = join_dimension(
+        trends, Side(programs, small=False), "program_id", "__program", "inner"
+    )
+    return (
+        join_dimension(
+            with_program, Side(indicators, small=False), "indicator_id", "__indicator", "inner"
+        )
+        .drop("__program", "__indicator")
+        .withColumns(
+            {
+                "achievement_pct": rounded_percent(actual, target),
+                "rag_status": labels.achievement_light(actual, target),
+                "verification_status": labels.verification_status(F.col("verified_by")),
+            }
+        )
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions import labels
 from tallygrove.functions.numbers import round_half_away, rounded_percent, sum_money, sum_money_when
-from tallygrove.operators.joins import grid, join_dimension, measured
+from tallygrove.operators.joins import Side, grid, join_dimension, measured
 from tallygrove.plans import blocks
 from tallygrove.plans.blocks import Tables
 
@@ -30,8 +30,9 @@ def v_cost_per_impact(tables: Tables) -> DataFrame:
 
 def v_programme_progress(tables: Tables) -> DataFrame:
     """One row per program, indicator and reported quarter."""
-    regions = tables["regions"].select("region_id", "state", "region_type")
-    return blocks.quarter_rows(tables).join(regions, "region_id", "left").select(
+    regions = tables["regions"].select(F.col("region_id").alias("__region"), "state", "region_type")
+    rows = blocks.quarter_rows(tables)
+    return join_dimension(rows, Side(regions, small=False), "region_id", "__region").select(
         "outcome_id", "program_id", "program_name", "sector", "program_status", "state",
         "region_type", "iris_id", "indicator_name", "indicator_category",
         "reporting_period", "quarter_num", "fiscal_year", "target_value", "actual_value",
