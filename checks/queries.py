@@ -27,6 +27,7 @@ from tallygrove.operators import dedup, impute, joins, quality, references, stan
 from tallygrove.operators.audit import summarise
 from tallygrove.operators.dimensions import one_dimension_totals
 from tallygrove.operators.schema_check import schema_check
+from tallygrove.operators.staging import written_stage
 from tallygrove.plans import blocks, clean, dashboard, kpis, views
 from tallygrove.rules import DEFAULT_RULES
 from tallygrove.session import scratch_path
@@ -241,7 +242,8 @@ def clean_fk(spark, sf_dir):
     tables = dirty_sample(spark, sf_dir)
     parents = dedup.deduplicate(tables["beneficiaries"], "beneficiaries", "beneficiary_id")
     return references.check_reference(
-        tables["service_delivery"], "beneficiary_id", parents, "beneficiary_id", "delivery_id"
+        tables["service_delivery"], "beneficiary_id", parents, "beneficiary_id", "delivery_id",
+        stage=written_stage(scratch_path(spark, "clean_fk")),
     ).select("delivery_id", "beneficiary_id")
 
 

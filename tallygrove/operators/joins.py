@@ -18,21 +18,23 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 LOOKUP_SALTS = 16
 
 
-def _rows(df: DataFrame, name: str) -> DataFrame:
-    return df.agg(F.lit(name).alias("name"), F.count("*").alias("size"))
-
-
-def _bytes(df: DataFrame, name: str) -> DataFrame:
-    widths = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8 for c in df.columns]
-    total = F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), F.lit(0))
-    return df.agg(F.lit(name).alias("name"), total.alias("size"))
-
-
-def _within(dims: Mapping[str, DataFrame], measure, limit: int) -> dict[str, DataFrame]:
+def _sizes(dims: Mapping[str, DataFrame], bytes_too: bool) -> dict[str, tuple[int, int]]:
+    """(rows, bytes) per dimension, from one job; bytes are 0 unless asked for."""
     if not dims:
         return {}
-    sizes = reduce(DataFrame.unionByName, [measure(df, name) for name, df in dims.items()])
-    return {row.name: dims[row.name] for row in sizes.collect() if row.size <= limit}
+    parts = []
+    for name, df in dims.items():
+        total = F.lit(0).cast("bigint")
+        if bytes_too:
+            widths = [
+                F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 8
+                for c in df.columns
+            ]
+            total = F.coalesce(F.sum(reduce(lambda a, b: a + b, widths)), total)
+        parts.append(
+            df.agg(F.lit(name).alias("name"), F.count("*").alias("n"), total.alias("size"))
+        )
+    return {row.name: (row.n, row.size) for row in reduce(DataFrame.unionByName, parts).collect()}
 
 
 class Side(NamedTuple):
@@ -45,14 +47,22 @@ class Side(NamedTuple):
     small: bool
 
 
-def measured(dims: Mapping[str, DataFrame]) -> dict[str, Side]:
+def measured(dims: Mapping[str, DataFrame], at_once: bool = False) -> dict[str, Side]:
     """Measure which dimensions are small enough to broadcast.
 
     Rows are counted first, which reads no columns; bytes are summed only
-    where there are few rows.
+    where there are few rows.  ``at_once`` takes both from one job, for narrow
+    tables that have been written.
     """
-    short = _within(dims, _rows, MAX_BROADCAST_ROWS)
-    small = _within(short, _bytes, MAX_BROADCAST_BYTES)
+    short = dims
+    if not at_once:
+        rows = _sizes(dims, bytes_too=False)
+        short = {name: dims[name] for name, (n, _) in rows.items() if n <= MAX_BROADCAST_ROWS}
+    small = {
+        name
+        for name, (n, size) in _sizes(short, bytes_too=True).items()
+        if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+    }
     return {name: Side(df, name in small) for name, df in dims.items()}
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.operators.joins import Side, lookup_join
+from tallygrove.operators.joins import Side, lookup_join, measured
+from tallygrove.operators.staging import Stage, as_is
 
 STEP = "referential_integrity"
 _NULL_SLICES = 256
@@ -58,9 +59,29 @@ def null_orphans(
     return joined.withColumns(columns).drop(key)
 
 
+def orphan_side(orphans: DataFrame, stage: Stage, name: str) -> Side:
+    """The broken values as lookup; measured where they have been written.
+
+    Measuring runs the search for them, so without staging it would run twice.
+    """
+    written = stage(orphans, name)
+    if written is orphans:
+        return Side(orphans, small=False)
+    return measured({name: written}, at_once=True)[name]
+
+
 def check_reference(
-    child: DataFrame, column: str, parent: DataFrame, pk: str, row_key: str
+    child: DataFrame,
+    column: str,
+    parent: DataFrame,
+    pk: str,
+    row_key: str,
+    stage: Stage = as_is,
 ) -> DataFrame:
-    """Reference check of one column against one parent table."""
-    orphans = Side(orphan_keys(child, column, parent, pk), small=False)
-    return null_orphans(child, column, orphans, row_key)
+    """Reference check of one column against one parent table.
+
+    With staging only distinct keys are shuffled as long as the broken values
+    are few; without, the rows of the child are.
+    """
+    orphans = orphan_keys(child, column, parent, pk)
+    return null_orphans(child, column, orphan_side(orphans, stage, f"orphans_{column}"), row_key)

@@ -17,13 +17,10 @@ from tallygrove.operators import standardise
 from tallygrove.operators.dedup import deduplicate
 from tallygrove.operators.edits import FLAG_PREFIX, apply_edits, drop_flags
 from tallygrove.operators.impute import fill_edits
-from tallygrove.operators.joins import Side, measured
-from tallygrove.operators.references import null_orphans, orphan_keys
+from tallygrove.operators.references import null_orphans, orphan_keys, orphan_side
+from tallygrove.operators.staging import Stage, as_is, written_stage
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
-Stage = Callable[[DataFrame, str], DataFrame]
-
-
 class CleanTable(NamedTuple):
     df: DataFrame
     # The primary keys alone, without the work of the later steps: what the
@@ -45,32 +42,12 @@ class CleanResult:
         return reduce(DataFrame.unionByName, [rows() for rows in self.audits])
 
 
-def written_stage(folder: str) -> Stage:
-    """Write an intermediate table below ``folder`` and go on from the files.
-
-    This cuts the lineage (a lost executor re-reads files instead of repeating
-    the run), lets the clean table and its audit share one computation, and
-    makes it cheap to measure what is about to be broadcast.
-    """
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        path = f"{folder.rstrip('/')}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return df.sparkSession.read.schema(df.schema).parquet(path)
-
-    return stage
-
-
-def _as_is(df: DataFrame, name: str) -> DataFrame:
-    return df
-
-
 def clean_table(
     table: str,
     raw: DataFrame,
     parents: Mapping[str, DataFrame],
     rules: CleaningRules = DEFAULT_RULES,
-    stage: Stage = _as_is,
+    stage: Stage = as_is,
     approximate: bool = False,
 ) -> CleanTable:
     """Run all steps on one table; ``parents`` give the keys of clean parents."""
@@ -104,12 +81,10 @@ def clean_table(
         if ref.parent not in parents or ref.column not in raw.columns:
             continue
         # The raw table has every value the cleaned one has, at the cost of one column.
-        orphans = stage(
-            orphan_keys(raw, ref.column, parents[ref.parent], model.PRIMARY_KEY[ref.parent]),
-            f"{table}/orphans_{ref.column}",
+        orphans = orphan_keys(
+            raw, ref.column, parents[ref.parent], model.PRIMARY_KEY[ref.parent]
         )
-        # Measuring runs the lookup, so it only pays where that has been written.
-        side = Side(orphans, False) if stage is _as_is else measured({"o": orphans})["o"]
+        side = orphan_side(orphans, stage, f"{table}/orphans_{ref.column}")
         flag = f"{FLAG_PREFIX}orphan__{ref.column}"
         df = null_orphans(df, ref.column, side, pk, flag)
         log.reference(ref.column, flag)
@@ -132,7 +107,7 @@ def clean(
     every executor can reach) each table is written after its row-wise steps,
     which is the way to run large inputs.
     """
-    stage = written_stage(stage_dir) if stage_dir else _as_is
+    stage = written_stage(stage_dir) if stage_dir else as_is
     done: dict[str, CleanTable] = {}
     for table in model.CLEANING_ORDER:
         if table in tables:
