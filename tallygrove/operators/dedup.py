@@ -72,7 +72,8 @@ def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFra
     )
     same_key = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
     return (
-        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner")
+        # Repeated keys may be many, so few copies; adaptive execution splits on.
+        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner", salts=4)
         .filter(F.col(pk) != F.col("first_id"))
         .select(pk, "first_id")
     )
