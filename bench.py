@@ -18,7 +18,7 @@ HEADLINE = (
     "kpi1_cost_per_impact", "kpi2_programme_progress", "kpi3_demographic_reach",
     "kpi4_outcome_effectiveness", "v_cost_per_impact", "v_programme_progress",
     "v_beneficiary_360", "v_outcome_effectiveness", "v_financial_overview",
-    "clean_dates", "clean_dedup_keys", "impute_median", "clean_fk", "clean_pipeline",
+    "clean_dates", "clean_dedup_keys", "impute_median", "clean_fk", "clean_all_tables",
     "clean_audit", "dash_card_cost", "dash_trend_top5", "dash_demographic_share",
     "dash_detail_page", "dq_log",
 )

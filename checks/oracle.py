@@ -898,7 +898,7 @@ _STEPS = (
         coalesce(beneficiary_id not in (select beneficiary_id from people_c), false) orphan
       from assessments_dirty_d)""".replace("assessments_dirty_d", "tests_d"),
 )
-ORACLE["clean_pipeline"] = with_views(
+ORACLE["clean_all_tables"] = with_views(
     _DIRTY,
     f"""select 'beneficiaries' table_name, beneficiary_id record_id, region_id reference,
       gender category, cast(age as double) number, full_name, registration_date, education_level,

@@ -266,7 +266,7 @@ def clean_summary(spark, sf_dir):
 
 
 @query
-def clean_pipeline(spark, sf_dir):
+def clean_all_tables(spark, sf_dir):
     tables = _cleaned(spark, sf_dir).tables
     people = tables["beneficiaries"].select(
         F.lit("beneficiaries").alias("table_name"),
