@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove.operators.joins import join_dimension, measured
-from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of
+from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of, without
 
 WINDOW = 13
 GRAM = 5
@@ -273,3 +273,11 @@ def contamination(
         "key", "id", "n_words", n_hit.alias("n_hit"), F.size(found_items).cast("bigint").alias("n_items"),
         found_items.alias("items"), ((n_hit > 0) & (20 * n_hit >= F.col("n_words"))).alias("contaminated"),
     )
+
+
+def keep_clean(
+    docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options
+) -> DataFrame:
+    """The documents without the contaminated ones; columns and texts stay."""
+    found = contamination(docs, benchmark, id_col, text_col, **options)
+    return without(docs, found.filter("contaminated").select("key"), id_col, text_col)

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.llm.shared import WORD, look_up, row_key, staged, text_of
+from tallygrove.operators.joins import join_dimension, measured
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -109,3 +110,26 @@ def mix(
     return summed.select(
         "key", "id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken")
     )
+
+
+def mix_documents(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options
+) -> DataFrame:
+    """The documents of which the mix takes words, with size, source_size, target and taken.
+
+    A document taken more than once appears once; ``taken`` counts repeats.
+    Columns of those four names are replaced.
+    """
+    made = ("size", "source_size", "target", "taken")
+    mixed = staged(mix(docs, id_col, text_col, source_col, **options).select("key", *made), "mixed")
+    whole = F.struct(*(docs[c] for c in docs.columns if c not in made))
+    rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
+    # Rows equal in id and text are interchangeable: one of them stands for every place they hold.
+    repeated = staged(mixed.groupBy("key").count().filter("count > 1").select("key"), "repeated")
+    if not repeated.isEmpty():
+        side = measured({"repeated": repeated}, at_once=True)["repeated"]
+        once = join_dimension(rows, side, "__key", "key", "left_semi")
+        once = once.groupBy("__key").agg(F.first("__row").alias("__row"))
+        rows = join_dimension(rows, side, "__key", "key", "left_anti").unionAll(once)
+    side = measured({"mixed": mixed.filter("taken > 0")}, at_once=True)["mixed"]
+    return join_dimension(rows, side, "__key", "key", "inner").select("__row.*", *made)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.llm import decontaminate, line_dedup, mixing, quality_rules, simhash_dedup
+from tallygrove.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, simhash_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -35,6 +35,13 @@ def op3_mixing(spark, sf_dir):
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op5_quality_classifier(spark, sf_dir):
+    docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
+    scored = quality_classifier.classify(docs, labels)
+    return scored.select(F.col("id").alias("doc_id"), "held_out", "score", "predicted")
+
+
 @query
 def op6_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))

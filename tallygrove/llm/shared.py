@@ -10,7 +10,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.operators.joins import lookup_join, measured
+from tallygrove.operators.joins import join_dimension, lookup_join, measured
 from tallygrove.session import scratch_path
 
 # Fixed by the contract: what separates words.
@@ -64,6 +64,15 @@ def look_up(rows: DataFrame, keys: DataFrame, on: list[str], spread_by: str, how
     return joined.drop(*(f"__k_{c}" for c in on))
 
 
+def without(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The documents whose ``row_key`` is not among the ``key`` column of ``keys``."""
+    dropped = staged(keys.select(F.col("key").alias("__of")).distinct(), "dropped")
+    side = measured({"dropped": dropped}, at_once=True)["dropped"]
+    whole = F.struct(*(docs[c] for c in docs.columns))
+    rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
+    return join_dimension(rows, side, "__key", "__of", "left_anti").select("__row.*")
+
+
 def in_pieces(
     batches: Iterator[pa.RecordBatch], column: int, limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:

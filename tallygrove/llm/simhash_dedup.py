@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygrove.llm.components import components
-from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of
+from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of, without
 from tallygrove.operators.joins import join_dimension, measured
 
 SEED = 42
@@ -204,16 +204,13 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     firsts = marked.groupBy("label").agg(F.min(rank)["key"].alias("kept"), F.count("*").alias("n"))
     several = staged(firsts.filter("n > 1").drop("n"), "several")
     beside = look_up(marked, several, ["label"], "key", "inner")
-    dropped = staged(beside.filter("key != kept").select(F.col("key").alias("__of")).distinct(), "dropped")
-    equal = beside.filter("key = kept").groupBy("key").count().filter("count > 1")
-    equal = staged(equal.select(F.col("key").alias("__of")), "equal")
+    rest = without(docs, beside.filter("key != kept").select("key"), id_col, text_col)
+    equal = staged(beside.filter("key = kept").groupBy("key").count().filter("count > 1").select("key"), "equal")
+    if equal.isEmpty():
+        return rest
+    side = measured({"equal": equal}, at_once=True)["equal"]
     whole = F.struct(*(docs[c] for c in docs.columns))
     rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
-    sides = measured({"dropped": dropped, "equal": equal}, at_once=True)
-    kept = join_dimension(rows, sides["dropped"], "__key", "__of", "left_anti")
-    if equal.isEmpty():
-        return kept.select("__row.*")
-    once = join_dimension(rows, sides["equal"], "__key", "__of", "left_semi")
+    once = join_dimension(rows, side, "__key", "key", "left_semi")
     once = once.groupBy("__key").agg(F.first("__row").alias("__row"))
-    kept = join_dimension(kept, sides["equal"], "__key", "__of", "left_anti")
-    return kept.unionAll(once).select("__row.*")
+    return without(rest, equal, id_col, text_col).unionAll(once.select("__row.*"))
