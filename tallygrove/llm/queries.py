@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallygrove.llm import decontaminate, line_dedup, mixing, quality_classifier, quality_rules, simhash_dedup
+from tallygrove.llm import (
+    decontaminate,
+    html_extract,
+    line_dedup,
+    mixing,
+    pii,
+    quality_classifier,
+    quality_rules,
+    secret_scan,
+    simhash_dedup,
+    url_filter,
+)
+from tallygrove.llm.shared import joined_spans
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,12 +41,38 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(docs.select("doc_id", "text"))
 
 
+def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
+    """Counts per base kind, the digest of the base spans, and all spans."""
+
+    def base(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("bigint")
+
+    return found.select(
+        F.col("id").alias("doc_id"),
+        *(base(k).alias(f"n_{k}") for k in kinds),
+        F.sha2(joined_spans(F.filter("spans", lambda s: s["base"])), 256).alias("base_sha256"),
+        joined_spans(F.col("spans")).alias("spans"),
+    )
+
+
+@query
+def op2_secret_scan(spark, sf_dir):
+    found = secret_scan.scan_secrets(_table(spark, sf_dir, "documents"))
+    return _span_digest(found, ("assign", "access", "hex"))
+
+
 @query
 def op3_mixing(spark, sf_dir):
     mixed = mixing.mix(_table(spark, sf_dir, "documents"))
     return mixed.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 
+@query
+def op4_html_extract(spark, sf_dir):
+    texts = html_extract.extract_pages(_table(spark, sf_dir, "pages"))
+    return texts.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @query
 def op5_quality_classifier(spark, sf_dir):
     docs, labels = (_table(spark, sf_dir, t) for t in ("documents", "labels"))
@@ -47,6 +85,18 @@ def op6_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(_table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_pii(spark, sf_dir):
+    found = pii.find_personal_data(_table(spark, sf_dir, "documents"))
+    return _span_digest(found, ("email", "ip", "card", "phone"))
+
+
+@query
+def op8_url_filter(spark, sf_dir):
+    judged = url_filter.judge(_table(spark, sf_dir, "pages"))
+    return judged.select(F.col("id").alias("page_id"), "host", "path", "rule", "verdict", "score")
+
+
 @query
 def op9_quality_rules(spark, sf_dir):
     entries = quality_rules.ledger(_table(spark, sf_dir, "documents"))

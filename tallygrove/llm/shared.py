@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from bisect import bisect_left
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -90,3 +91,67 @@ def in_pieces(
 
 def type_of(df: DataFrame, column: str) -> str:
     return df.schema[column].dataType.simpleString()
+
+
+Span = tuple[str, int, int, bool]
+
+SPANS = "array<struct<kind:string,start:bigint,end:bigint,base:boolean>>"
+
+
+def scan(
+    docs: DataFrame,
+    find: Callable[[list[str]], list[list[Span]]],
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """``id`` and ``spans`` of every document; ``find`` maps texts to (kind, start, end, base).
+
+    Starts and ends count code points, ends are exclusive.
+    """
+    item = pa.struct(
+        [("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in in_pieces(batches, 1):
+            found = find(piece.column(1).to_pylist())
+            flat = [dict(zip(("kind", "start", "end", "base"), s, strict=True)) for row in found for s in row]
+            ends = pa.array(np.cumsum([0] + [len(row) for row in found]).astype(np.int32))
+            lists = pa.ListArray.from_arrays(ends, pa.array(flat, item))
+            yield pa.RecordBatch.from_arrays([piece.column(0), lists], ["id", "spans"])
+
+    rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
+    return rows.mapInArrow(run, f"id {type_of(docs, id_col)}, spans {SPANS}")
+
+
+def joined_spans(spans: Column) -> Column:
+    """``kind:start:end`` of each span, comma-joined."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def merged(spans: Iterable[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The spans in order, overlapping ones made one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted(spans):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
+    return out
+
+
+def touches(spans: list[tuple[int, int]], start: int, end: int) -> bool:
+    """Whether [start, end) overlaps one of the merged spans."""
+    i = bisect_left(spans, (end,)) - 1
+    return i >= 0 and spans[i][1] > start
+
+
+def host_of(url: Column) -> Column:
+    """After the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z lower-cased; else empty."""
+    host = F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://([^/?#]*)", 1)
+    return F.translate(host, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def path_of(url: Column) -> Column:
+    """What follows the host up to ``?``, ``#`` or the end; else empty."""
+    return F.regexp_extract(F.coalesce(url, F.lit("")), r"(?s)^.*?://[^/?#]*([^?#]*)", 1)

@@ -141,3 +141,59 @@ def contamination(docs, items, size=13):
 
 def held_out(doc_id):
     return crc32(str(doc_id).encode()) % 4 == 2
+
+
+def _spans(kind, pattern, text, good):
+    return [(m.start(), kind, m.end()) for m in re.finditer(pattern, text) if good(m)]
+
+
+def _digest(found, kinds):
+    found.sort(key=lambda s: (s[0], kinds.index(s[1])))
+    counts = tuple(sum(k == kind for _, k, _ in found) for kind in kinds)
+    return *counts, sha(",".join(f"{k}:{s}:{e}" for s, k, e in found))
+
+
+def secrets(text):
+    text = text or ""
+    assign = (
+        r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+    )
+    found = _spans("assign", re.compile(assign, re.ASCII), text, lambda m: len(m[2]) >= 8)
+    found += _spans("access", "AKIA[A-Z0-9]+", text, lambda m: len(m[0]) >= 16)
+    found += _spans("hex", "[0-9a-f]+", text, lambda m: len(m[0]) >= 32)
+    return _digest(found, ("assign", "access", "hex"))
+
+
+def _luhn(number):
+    digits = [int(c) for c in number if c.isdigit()]
+    doubled = [sum(divmod(2 * d, 10)) if i % 2 else d for i, d in enumerate(reversed(digits))]
+    return 14 <= len(digits) <= 19 and sum(doubled) % 10 == 0
+
+
+def personal(text):
+    text = text or ""
+    found = _spans("email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text, bool)
+    ip = r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)"
+    found += _spans("ip", ip, text, lambda m: all(int(p) <= 255 for p in m[0].split(".")))
+    found += _spans("card", r"[0-9]([\x20-]?[0-9])+", text, lambda m: _luhn(m[0]))
+    phone = r"\+[0-9][\x20().0-9-]+[0-9]"
+    found += _spans("phone", phone, text, lambda m: 10 <= sum(c.isdigit() for c in m[0]) <= 15)
+    return _digest(found, ("email", "ip", "card", "phone"))
+
+
+RULES = {"com/": "allow", "example.com/en/": "block", "www.example.com/en/": "allow", "net/es/": "block", "net/fr/": "block"}
+
+
+def url_rule(url):
+    """(host, path, rule)"""
+    if not url or "://" not in url:
+        return "", "", None
+    rest = re.split("[?#]", url.split("://", 1)[1])[0]
+    host, slash, tail = rest.partition("/")
+    host, path = ascii_lower(host), slash + tail
+    fits = []
+    for rule in RULES:
+        of, _, under = rule.partition("/")
+        if (host == of or host.endswith("." + of)) and path.startswith("/" + under):
+            fits.append(rule)
+    return host, path, max(fits, key=len, default=None)
