@@ -129,9 +129,10 @@ def _counts(taught: DataFrame) -> dict[str, np.ndarray]:
 
 
 def _threshold(ratio: np.ndarray, kept: DataFrame) -> float:
-    """The cut between thousandths of the score that separates held-out verdicts best.
+    """The score that separates held-out verdicts best, by thousandths.
 
-    Both verdicts weigh the same; the lowest of equally good cuts is taken.
+    Both verdicts weigh the same; the lowest of equally good cuts is taken, in
+    the middle of the gap between the scores on its sides.
     """
     model = Model(ratio, 0.0)
 
@@ -151,7 +152,9 @@ def _threshold(ratio: np.ndarray, kept: DataFrame) -> float:
     below_allow = np.concatenate([[0], np.cumsum(allow)]) / allow.sum()
     below_block = np.concatenate([[0], np.cumsum(block)]) / block.sum()
     cut = int(np.argmax(below_block - below_allow))
-    return (rows[cut].bin if cut < len(rows) else rows[-1].bin + 1) / 1000
+    above = rows[cut].bin if cut < len(rows) else rows[-1].bin + 1
+    below = rows[cut - 1].bin + 1 if cut else above
+    return (above + below) / 2000
 
 
 def train(judged: DataFrame) -> Model | None:
