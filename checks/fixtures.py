@@ -91,7 +91,8 @@ VIEWS: dict[str, str] = {
           o_orderkey%150 intervention_id, cast(o_orderdate as date) delivery_date
         from {orders} where o_orderstatus='F'""",
     "assessments": """
-        select event_id assessment_id, user_id beneficiary_id,
+        select event_id assessment_id,
+          case when event_id%53=0 then null else user_id end beneficiary_id,
           case event_type when 'view' then 'Pre-Test' when 'purchase' then 'Post-Test'
             else 'Spot Check' end assessment_type,
           cast(ts as date) assessment_date, value score, cast(500 as double) max_score
@@ -123,6 +124,10 @@ VIEWS: dict[str, str] = {
             'BEN-'||cast(c_custkey as string)||'-DUP', c_name
           from {{customer}} c where c_custkey%33=0
           union all
+          select c.*, {_YEAR}, {_MONTH}, {_DAY},
+            'BEN-'||cast(c_custkey as string)||'-DUP', c_name
+          from {{customer}} c where c_custkey%99=0
+          union all
           select c.*, {_YEAR}, {_MONTH}, {_DAY},
             'BEN-'||cast(c_custkey+1000000 as string), ' '||upper(c_name)
           from {{customer}} c where c_custkey%50=4) x""",

@@ -930,8 +930,8 @@ def _audit(table: str, raw: str, done: str, pk: str, keys: tuple[str, ...], step
     first = (
         f"{total}-{after}",
         [
-            say(tagged, "Removed # synthetic duplicates (ID contains '-DUP')"),
-            say(f"({total}-{tagged}-{after})", f"Removed # fuzzy duplicates on columns: {listed}"),
+            say(tagged, "# rows dropped whose key has the duplicate tag"),
+            say(f"({total}-{tagged}-{after})", f"# rows dropped that repeat the key of an earlier one: {listed}"),
         ],
         "deduplication",
         total,
@@ -952,15 +952,15 @@ def _audit(table: str, raw: str, done: str, pk: str, keys: tuple[str, ...], step
 def median_text(column: str, x: str, table: str) -> str:
     n = n_if(f"{x} is null", table)
     value = f"(select printf('%.1f', median({is_number(x)})) from {table})"
-    return f"case when {n}>0 then 'Column ''{column}'': '||{n}||' NULLs filled with median ('||{value}||')' end"
+    return f"case when {n}>0 then '{column}: '||{n}||' gaps got the median '||{value} end"
 
 
 def fill_text(column: str, x: str, table: str, tail: str) -> str:
-    return say(n_if(f"{x} is null", table), f"Column '{column}': # NULLs {tail}")
+    return say(n_if(f"{x} is null", table), f"{column}: # gaps {tail}")
 
 
 _P, _S, _A = "people_s", "services_s", "tests_s"
-_UNKNOWN, _SKIP = "filled with 'Unknown'", "intentionally preserved (skip)"
+_UNKNOWN, _SKIP = "got the text Unknown", "left as they are"
 _AUDIT_SQL = " union all ".join(
     (
         _audit(
@@ -971,28 +971,28 @@ _AUDIT_SQL = " union all ".join(
                     [
                         say(
                             n_if("registration_date is not null and dt is null", _P),
-                            "Column 'registration_date': # unparseable dates coerced to NaT",
+                            "registration_date: # texts are no date, now NULL",
                         ),
                         say(
                             n_if("dt is not null", _P),
-                            "Column 'registration_date': # dates normalised to ISO 8601",
+                            "registration_date: # values are dates now",
                         ),
                     ],
                 ),
                 (
                     n_if("g_changed", _P),
                     [
-                        say(n_if("g_changed", _P), "Column 'gender': # values standardised"),
-                        "'Column ''gender'': 1 unmapped values: [''other'']'",
+                        say(n_if("g_changed", _P), "gender: # spellings replaced"),
+                        "'gender: 1 texts have no standard spelling: [''other'']'",
                     ],
                 ),
                 (
                     f"{n_if('a_out', _P)}+{n_if('h_out', _P)}",
                     [
-                        say(n_if("a_out", _P), "Column 'age': # outliers nullified (valid range: [0, 110])"),
+                        say(n_if("a_out", _P), "age: # values outside 0 to 110, now NULL"),
                         say(
                             n_if("h_out", _P),
-                            "Column 'household_size': # outliers nullified (valid range: [1, 20])",
+                            "household_size: # values outside 1 to 20, now NULL",
                         ),
                     ],
                 ),
@@ -1009,11 +1009,11 @@ _AUDIT_SQL = " union all ".join(
                 ),
                 (
                     n_if("orphan", _P),
-                    [say(n_if("orphan", _P), "Column 'region_id': # orphan references nullified")],
+                    [say(n_if("orphan", _P), "region_id: # references without a parent, now NULL")],
                 ),
                 (
                     "2",
-                    ["'Column ''age'': cast to Int64'", "'Column ''household_size'': cast to Int64'"],
+                    ["'age: now bigint'", "'household_size: now bigint'"],
                 ),
             ),
         ),
@@ -1024,20 +1024,20 @@ _AUDIT_SQL = " union all ".join(
                 (
                     n_if("st_changed", _S),
                     [
-                        say(n_if("st_changed", _S), "Column 'status': # values standardised"),
-                        "'Column ''status'': 1 unmapped values: [''P'']'",
+                        say(n_if("st_changed", _S), "status: # spellings replaced"),
+                        "'status: 1 texts have no standard spelling: [''P'']'",
                     ],
                 ),
                 (
                     n_if("d_out", _S),
-                    [say(n_if("d_out", _S), "Column 'dosage': # outliers nullified (valid range: [0, 50])")],
+                    [say(n_if("d_out", _S), "dosage: # values outside 0 to 50, now NULL")],
                 ),
                 (n_if("d is null", _S), [median_text("dosage", "d", _S)]),
                 (
                     n_if("orphan", _S),
-                    [say(n_if("orphan", _S), "Column 'beneficiary_id': # orphan references nullified")],
+                    [say(n_if("orphan", _S), "beneficiary_id: # references without a parent, now NULL")],
                 ),
-                ("1", ["'Column ''dosage'': cast to Int64'"]),
+                ("1", ["'dosage: now bigint'"]),
             ),
         ),
         _audit(
@@ -1047,25 +1047,25 @@ _AUDIT_SQL = " union all ".join(
                 (
                     n_if("ty_changed", _A),
                     [
-                        say(n_if("ty_changed", _A), "Column 'assessment_type': # values standardised"),
-                        "'Column ''assessment_type'': 1 unmapped values: [''P'']'",
+                        say(n_if("ty_changed", _A), "assessment_type: # spellings replaced"),
+                        "'assessment_type: 1 texts have no standard spelling: [''P'']'",
                     ],
                 ),
                 (
                     n_if("s_out", _A),
-                    [say(n_if("s_out", _A), "Column 'score': # outliers nullified (valid range: [0.0, inf])")],
+                    [say(n_if("s_out", _A), "score: # values outside 0.0 to inf, now NULL")],
                 ),
                 (
                     "0",
-                    [say(n_if("score is null or s_out", _A), f"Column 'score': # NULLs {_SKIP}")],
+                    [say(n_if("score is null or s_out", _A), f"score: # gaps {_SKIP}")],
                 ),
                 (
                     n_if("orphan", _A),
-                    [say(n_if("orphan", _A), "Column 'beneficiary_id': # orphan references nullified")],
+                    [say(n_if("orphan", _A), "beneficiary_id: # references without a parent, now NULL")],
                 ),
                 (
                     "2",
-                    ["'Column ''score'': cast to float64'", "'Column ''max_score'': cast to float64'"],
+                    ["'score: now double'", "'max_score: now double'"],
                 ),
             ),
         ),
@@ -1154,14 +1154,15 @@ _DUPLICATE = duplicates("beneficiaries", "beneficiary_id", MATCH_KEYS["beneficia
 def orphan(table: str, pk: str, column: str, parent: str, parent_pk: str) -> str:
     return issue(
         table, column, pk, "orphan_reference", f"'No parent for '''||{column}||''''", f"{table}_dirty",
-        f"{column} is not null and {column} not in (select {parent_pk} from {parent}_dirty)",
+        f"{column} is not null and {column} not in (select trim({parent_pk}) from {parent})",
     )
 
 
 _ORPHAN = " union all ".join(
     (
-        orphan("service_delivery", "delivery_id", "beneficiary_id", "beneficiaries", "beneficiary_id"),
-        orphan("beneficiaries", "beneficiary_id", "region_id", "regions", "region_id"),
+        orphan("service_delivery", "delivery_id", "beneficiary_id", "people_d", "beneficiary_id"),
+        orphan("beneficiaries", "beneficiary_id", "region_id", "regions_dirty", "region_id"),
+        orphan("assessments", "assessment_id", "beneficiary_id", "people_d", "beneficiary_id"),
     )
 )
 _NAMES = """keyed as (select beneficiary_id record_id, coalesce(region_id,'') block,
@@ -1180,7 +1181,7 @@ ORACLE["dq_date_format"] = with_views(_DIRTY, _DATE_FORMAT)
 ORACLE["dq_casing"] = with_views(_DIRTY, _CASING)
 ORACLE["dq_outlier"] = with_views(_DIRTY, _OUTLIER)
 ORACLE["dq_duplicate"] = with_views(_DIRTY, _DUPLICATE)
-ORACLE["dq_orphan"] = with_views(_DIRTY, _ORPHAN)
+ORACLE["dq_orphan"] = with_views(_DIRTY, _ORPHAN, _PEOPLE_D)
 ORACLE["dq_name_variant"] = with_views(_DIRTY, "select * from variants", _NAMES)
 _NAME_ISSUES = issue(
     "beneficiaries", "full_name", "record_id", "transliteration_variant",
@@ -1192,15 +1193,16 @@ _ALL = " union all ".join(
         duplicates("service_delivery", "delivery_id", ("beneficiary_id",)),
         duplicates("assessments", "assessment_id", ("beneficiary_id", "assessment_type")),
         _ORPHAN,
-        orphan("assessments", "assessment_id", "beneficiary_id", "beneficiaries", "beneficiary_id"),
         _NAME_ISSUES,
     )
 )
 ORACLE["dq_log"] = with_views(
     _DIRTY,
-    f"""select 'DQL-'||substr(sha256(concat_ws('|', table_name, coalesce(column_name,''),
-        coalesce(record_id,''), issue_type, description)),1,16) log_id,
+    f"""select 'DQL-'||sha256(concat_ws('|', table_name, coalesce(column_name,''),
+        coalesce(record_id,''), issue_type, description, cast(row_number() over (partition by
+        table_name, column_name, record_id, issue_type, description) as varchar))) log_id,
       table_name, column_name, record_id, issue_type, description,
       date '2025-06-12' detected_date, cast(0 as int) resolved from ({_ALL}) x""",
     _NAMES,
+    _PEOPLE_D,
 )

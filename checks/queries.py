@@ -917,11 +917,16 @@ def dq_duplicate(spark, sf_dir):
 @query
 def dq_orphan(spark, sf_dir):
     tables = dirty_sample(spark, sf_dir)
-    people, services = tables["beneficiaries"], tables["service_delivery"]
-    return quality.orphan_issues(
-        services, "service_delivery", "beneficiary_id", people, "beneficiary_id"
-    ).unionByName(
-        quality.orphan_issues(people, "beneficiaries", "region_id", tables["regions"], "region_id")
+    people, keys = tables["beneficiaries"], quality.surviving_keys
+    people_keys, region_keys = keys(people, "beneficiaries"), keys(tables["regions"], "regions")
+    return union_all(
+        (
+            quality.orphan_issues(people, "beneficiaries", "region_id", region_keys, "region_id"),
+            *(
+                quality.orphan_issues(tables[t], t, "beneficiary_id", people_keys, "beneficiary_id")
+                for t in ("service_delivery", "assessments")
+            ),
+        )
     )
 
 
@@ -933,4 +938,5 @@ def dq_name_variant(spark, sf_dir):
 
 @query
 def dq_log(spark, sf_dir):
-    return quality.issue_log(dirty_sample(spark, sf_dir).all(), dt.date(2025, 6, 12))
+    stage = written_stage(scratch_path(spark, "dq_log"))
+    return quality.issue_log(dirty_sample(spark, sf_dir).all(), dt.date(2025, 6, 12), stage=stage)

@@ -14,12 +14,17 @@ NUMERIC_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def to_number(value: Column) -> Column:
-    """Text to double; anything that is not a plain decimal number is NULL.
+    """Text to double; anything that is not a plain, finite decimal number is NULL.
 
     The pattern keeps out texts such as ``5d`` or ``NaN`` that the JVM parser
     would accept.
     """
-    return F.when(value.rlike(NUMERIC_TEXT), value.try_cast("double"))
+    return finite(F.when(value.rlike(NUMERIC_TEXT), value.try_cast("double")))
+
+
+def finite(number: Column) -> Column:
+    """The number, or NULL where it is infinite or not a number."""
+    return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 
 def round_half_away(value: Column, digits: int) -> Column:
@@ -61,6 +66,11 @@ def sum_money_when(condition: Column, amount: Column) -> Column:
     return F.sum(F.when(condition, hundredths(amount)).otherwise(0)) / 100.0
 
 
+def exact_sum(value: Column) -> Column:
+    """Sum of a measure to six decimals, as double; does not depend on task order."""
+    return F.sum(value.cast("decimal(28,6)")).cast("double")
+
+
 def tenths(value: Column) -> Column:
     """A value rounded to one decimal, as a whole number of tenths."""
     return (F.signum(value) * F.floor(F.abs(value) * 10.0 + 0.5)).cast("bigint")

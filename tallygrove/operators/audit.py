@@ -3,7 +3,7 @@
 Each step leaves yes/no columns behind (see :mod:`.edits`).  One aggregate
 without grouping counts them all, and its single row is spread into step rows.
 
-Fixed values: the step names and the wording of the details.
+Fixed values: the step names.
 """
 
 from __future__ import annotations
@@ -23,21 +23,21 @@ from tallygrove.rules import CleaningRules
 DEDUP = "deduplication"
 
 TEXTS = {
-    "tagged": "Removed %d synthetic duplicates (ID contains '-DUP')",
-    "repeated": "Removed %d fuzzy duplicates on columns: ",
-    "failed": "Column '{c}': %d unparseable dates coerced to NaT",
-    "parsed": "Column '{c}': %d dates normalised to ISO 8601",
-    "changed": "Column '{c}': %d values standardised",
-    "unmapped": "Column '{c}': %d unmapped values: %s",
-    "outside": "Column '{c}': %d outliers nullified (valid range: [{low}, {high}])",
-    "median": "Column '{c}': %d NULLs filled with median (%s)",
-    "mode": "Column '{c}': %d NULLs filled with mode ('%s')",
-    "unknown": "Column '{c}': %d NULLs filled with 'Unknown'",
-    "zero": "Column '{c}': %d NULLs filled with 0",
-    "skip": "Column '{c}': %d NULLs intentionally preserved (skip)",
-    "orphan": "Column '{c}': %d orphan references nullified",
-    "int": "Column '{c}': cast to Int64",
-    "float": "Column '{c}': cast to float64",
+    "tagged": "%d rows dropped whose key has the duplicate tag",
+    "repeated": "%d rows dropped that repeat the key of an earlier one: ",
+    "failed": "{c}: %d texts are no date, now NULL",
+    "parsed": "{c}: %d values are dates now",
+    "changed": "{c}: %d spellings replaced",
+    "unmapped": "{c}: %d texts have no standard spelling: %s",
+    "outside": "{c}: %d values outside {low} to {high}, now NULL",
+    "median": "{c}: %d gaps got the median %s",
+    "mode": "{c}: %d gaps got the most frequent value '%s'",
+    "unknown": "{c}: %d gaps got the text Unknown",
+    "zero": "{c}: %d gaps got 0",
+    "skip": "{c}: %d gaps left as they are",
+    "orphan": "{c}: %d references without a parent, now NULL",
+    "int": "{c}: now bigint",
+    "float": "{c}: now double",
 }
 
 AUDIT_SCHEMA = (

@@ -16,10 +16,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallygrove import model
-from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date
-from tallygrove.operators.dedup import drop_tagged, is_tagged, key_repeats
+from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date, strip
+from tallygrove.operators.dedup import deduplicate, drop_tagged, is_tagged, key_repeats
 from tallygrove.operators.joins import Side, lookup_join
 from tallygrove.operators.references import orphan_keys
+from tallygrove.operators.staging import Stage, as_is
 from tallygrove.operators.standardise import outside_bounds
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
@@ -136,9 +137,9 @@ def duplicate_issues(
 def orphan_issues(
     child: DataFrame, table: str, column: str, parent: DataFrame, parent_pk: str
 ) -> DataFrame:
-    """Rows whose reference has no parent.
+    """Rows whose reference has no parent among those that cleaning leaves.
 
-    The broken values are found on distinct values first; the rows then meet
+    ``parent`` holds these keys (see :func:`surviving_keys`).  The broken values are found on distinct values first; the rows then meet
     only those.
     """
     pk = model.PRIMARY_KEY[table]
@@ -295,8 +296,30 @@ def name_issues(df: DataFrame, table: str, rules: CleaningRules = DEFAULT_RULES)
 # -- log ---------------------------------------------------------------------
 
 
-def all_issues(tables: Mapping[str, DataFrame], rules: CleaningRules = DEFAULT_RULES) -> DataFrame:
-    """Issues of every kind in every table, without log columns."""
+def surviving_keys(
+    parent: DataFrame, table: str, rules: CleaningRules = DEFAULT_RULES
+) -> DataFrame:
+    """The primary keys that cleaning leaves: without duplicates, stripped of blanks."""
+    pk = model.PRIMARY_KEY[table]
+    needed = dict.fromkeys((pk, *rules.match_keys.get(table, ())))
+    rows = parent.select(*(c for c in needed if c in parent.columns))
+    return deduplicate(rows, table, pk, rules).select(strip(F.col(pk)).alias(pk))
+
+
+def all_issues(
+    tables: Mapping[str, DataFrame], rules: CleaningRules = DEFAULT_RULES, stage: Stage = as_is
+) -> DataFrame:
+    """Issues of every kind in every table, without log columns.
+
+    ``stage`` may write each table once, so that the detectors do not read a
+    raw text file again and again.
+    """
+    tables = {
+        name: stage(df, f"issues/{name}")
+        for name, df in tables.items()
+        if name in model.CLEANING_ORDER
+    }
+    keys = {name: surviving_keys(df, name, rules) for name, df in tables.items()}
     parts: list[DataFrame] = []
     for table in model.CLEANING_ORDER:
         if table not in tables:
@@ -307,10 +330,8 @@ def all_issues(tables: Mapping[str, DataFrame], rules: CleaningRules = DEFAULT_R
         parts.append(duplicate_issues(df, table, rules))
         for ref in model.references_of(table):
             if ref.parent in tables and ref.column in df.columns:
-                parent = tables[ref.parent]
-                parts.append(
-                    orphan_issues(df, table, ref.column, parent, model.PRIMARY_KEY[ref.parent])
-                )
+                parent_pk = model.PRIMARY_KEY[ref.parent]
+                parts.append(orphan_issues(df, table, ref.column, keys[ref.parent], parent_pk))
         if set(rules.name_columns.get(table, ("\0",))) <= set(df.columns):
             parts.append(name_issues(df, table, rules))
     return reduce(DataFrame.unionByName, parts)
@@ -320,12 +341,16 @@ def issue_log(
     tables: Mapping[str, DataFrame],
     detected: dt.date,
     rules: CleaningRules = DEFAULT_RULES,
+    stage: Stage = as_is,
 ) -> DataFrame:
-    """All issues as log rows.
+    """All issues as log rows, each with an id of its own.
 
-    The id is a hash of what the row says, so it needs no global numbering and
-    stays the same when a task or the whole run is repeated.
+    The id is a hash of what the row says and of its number among rows that say
+    the same, as repeated keys make them.  Such rows are reduced to one with a
+    count and spread again, so they need no window, no global numbering, and
+    get the same ids when a task or the whole run is repeated.
     """
+    columns = ("table_name", "column_name", "record_id", "issue_type", "description")
     place = F.concat_ws(
         "|",
         F.col("table_name"),
@@ -333,9 +358,12 @@ def issue_log(
         F.coalesce("record_id", F.lit("")),
         F.col("issue_type"),
         F.col("description"),
+        F.col("copy"),
     )
-    return all_issues(tables, rules).select(
-        F.concat(F.lit("DQL-"), F.substring(F.sha2(place, 256), 1, 16)).alias("log_id"),
+    counted = all_issues(tables, rules, stage).groupBy(*columns).agg(F.count("*").alias("n"))
+    each = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
+    return each.select(
+        F.concat(F.lit("DQL-"), F.sha2(place, 256)).alias("log_id"),
         "table_name",
         "column_name",
         "record_id",

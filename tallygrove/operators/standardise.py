@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, StringType, TimestampNTZType, TimestampType
 
-from tallygrove.functions.numbers import to_number
+from tallygrove.functions.numbers import finite, to_number
 from tallygrove.functions.text import canonical, parse_date, strip
 from tallygrove.operators.edits import Edit, apply_edits
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
@@ -27,7 +27,7 @@ def number_of(df: DataFrame, column: str) -> Column:
     """A column as double, whether it arrives as text or as a number."""
     if _is_text(df, column):
         return to_number(F.col(column))
-    return F.col(column).cast("double")
+    return finite(F.col(column).cast("double"))
 
 
 def _date_of(df: DataFrame, column: str) -> Column:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.functions import labels
 from tallygrove.functions.numbers import (
+    exact_sum,
     rounded_percent,
     round_half_away,
     safe_ratio,
@@ -57,8 +58,8 @@ def program_outcomes(outcomes: DataFrame) -> DataFrame:
             period_fiscal_year(F.col("reporting_period")).alias("fiscal_year"),
         )
         .agg(
-            F.sum("target_value").alias("total_target"),
-            F.sum("actual_value").alias("total_actual"),
+            exact_sum(F.col("target_value")).alias("total_target"),
+            exact_sum(F.col("actual_value")).alias("total_actual"),
         )
         .withColumn(
             "achievement_pct", rounded_percent(F.col("total_actual"), F.col("total_target"))
@@ -221,12 +222,13 @@ def matched_pairs(assessments: DataFrame) -> DataFrame:
     One aggregate finds both tests: the least struct led by the date, or by
     the negated date, with the assessment id settling ties.  It combines on
     the map side, so a person with very many tests costs one row per task.
-    Scores are held in tenths of a percent.
+    Scores are held in tenths of a percent.  Tests of nobody make no pair.
     """
     kind, day = F.col("assessment_type"), F.col("assessment_date").cast("date")
     tests = (
         assessments.filter(
-            kind.isin("Pre-Test", "Post-Test")
+            F.col("beneficiary_id").isNotNull()
+            & kind.isin("Pre-Test", "Post-Test")
             & F.col("score").isNotNull()
             & (F.col("max_score") > 0)
         )

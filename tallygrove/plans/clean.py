@@ -52,6 +52,8 @@ def clean_table(
 ) -> CleanTable:
     """Run all steps on one table; ``parents`` give the keys of clean parents."""
     pk = model.PRIMARY_KEY[table]
+    # Raw text is parsed once; the audit counts and the references read what was written.
+    raw = stage(raw, f"{table}/raw")
     types = {f.name: f.dataType for f in model.clean_schema(table)}
     log = auditing.TableAudit(table, raw, pk, rules)
 
@@ -80,7 +82,7 @@ def clean_table(
     for ref in model.references_of(table):
         if ref.parent not in parents or ref.column not in raw.columns:
             continue
-        # The raw table has every value the cleaned one has, at the cost of one column.
+        # The raw table has every value the cleaned one has, at the cost of one column of it.
         orphans = orphan_keys(
             raw, ref.column, parents[ref.parent], model.PRIMARY_KEY[ref.parent]
         )
@@ -90,7 +92,8 @@ def clean_table(
         log.reference(ref.column, flag)
 
     casts = standardise.cast_edits(df, rules, types)
-    df = apply_edits(df, casts)
+    # Rows and audit come from the same files.
+    df = stage(apply_edits(df, casts), f"{table}/traced")
     log.types(casts)
     return CleanTable(drop_flags(df), keys, partial(log.rows, df))
 
@@ -104,8 +107,9 @@ def clean(
     """Clean every known table that is there, parents before children.
 
     Without ``stage_dir`` everything stays one lazy plan.  With it (a folder
-    every executor can reach) each table is written after its row-wise steps,
-    which is the way to run large inputs.
+    every executor can reach) each table is written as it came, where medians
+    and modes need it after its row-wise steps, and with its flags at the end:
+    every input is read once, and rows and audit come from the same files.
     """
     stage = written_stage(stage_dir) if stage_dir else as_is
     done: dict[str, CleanTable] = {}

@@ -182,11 +182,14 @@ def cost_bars(cost: DataFrame) -> DataFrame:
         F.sum("total_target").alias("total_target"),
     )
     spend, actual = F.col("total_spend_inr"), F.col("total_actual")
-    # One row per program is left here; a second aggregate would run the view again.
-    everything = Window.partitionBy()
-    all_spend = F.sum(hundredths(spend)).over(everything) / 100.0
-    portfolio = round_half_away(safe_ratio(all_spend, F.sum(actual).over(everything)), 2)
-    return by_program.select(
+    # One row; its condition uses all that the sums hold, so that both uses share one shuffle.
+    total = by_program.agg(
+        (F.sum(hundredths(spend)) / 100.0).alias("all_spend"),
+        F.sum("total_actual").alias("all_actual"),
+        F.count_if(F.hash("program_name", "sector", "total_target") == 0).alias("n"),
+    ).filter("n >= 0")
+    portfolio = round_half_away(safe_ratio(F.col("all_spend"), F.col("all_actual")), 2)
+    return by_program.join(F.broadcast(total)).select(
         "program_name",
         "sector",
         "total_spend_inr",

@@ -30,7 +30,7 @@ def cost_per_impact(tables: Tables) -> DataFrame:
             "total_spend_inr", "cost_per_unit_inr", "personnel_pct", "me_investment_pct",
             "efficiency_rank",
         )
-        .orderBy("iris_id", "efficiency_rank", "fiscal_year")
+        .orderBy("iris_id", "efficiency_rank", "fiscal_year", "program_name", "indicator_name")
     )
 
 
@@ -56,7 +56,7 @@ def programme_progress(tables: Tables) -> DataFrame:
             "qoq_growth_pct", "momentum", "rag_status", "verification_status",
             "data_source", "recency_rank",
         )
-        .orderBy("program_name", "iris_id", "fiscal_year", "quarter_num")
+        .orderBy("program_name", "iris_id", "fiscal_year", "quarter_num", "indicator_name")
     )
 
 
@@ -135,7 +135,7 @@ def demographic_reach(tables: Tables) -> DataFrame:
             "avg_unique_interventions"
         ),
         rounded_percent(registered, F.sum(registered).over(per_dimension)).alias("pct_of_total"),
-    ).orderBy("dimension", F.desc("total_registered"))
+    ).orderBy("dimension", F.desc("total_registered"), "dimension_value")
 
 
 def outcome_effectiveness(tables: Tables) -> DataFrame:
@@ -196,4 +196,6 @@ def outcome_effectiveness(tables: Tables) -> DataFrame:
         F.col("female").alias("female_count"),
         F.col("pwd").alias("pwd_count"),
         F.col("bpl").alias("bpl_count"),
-    ).orderBy(F.desc("matched_pairs_count"), F.desc("avg_improvement_pct"))
+    ).orderBy(
+        F.desc("matched_pairs_count"), F.desc("avg_improvement_pct"), "program_name", "sector"
+    )

@@ -136,6 +136,17 @@ def fiscal_years(tables: Tables) -> DataFrame:
     )
 
 
+def _years_of(sums: DataFrame) -> DataFrame:
+    """The fiscal years of sums per program and year.
+
+    A condition that always holds keeps every column of the sums in use, so
+    that this and their join to the grid share one scan and shuffle.
+    """
+    others = [c for c in sums.columns if c != "fiscal_year"]
+    counted = sums.groupBy("fiscal_year").agg(F.count_if(F.hash(*others) == 0).alias("n"))
+    return counted.filter("n >= 0").select("fiscal_year")
+
+
 def v_financial_overview(tables: Tables) -> DataFrame:
     """Funding, spend and balance for every program in every fiscal year seen."""
     amount, category = F.col("amount_inr"), F.col("category")
@@ -154,10 +165,20 @@ def v_financial_overview(tables: Tables) -> DataFrame:
     programs = tables["programs"].join(regions, "region_id", "left")
     none = F.lit(0.0)
     funded, spent = F.coalesce("funded", none), F.coalesce("spent", none)
+
+    def beside(rows: DataFrame, sums: DataFrame) -> DataFrame:
+        # NULL-safe, so that the optimizer adds no filter to one of the two uses of
+        # the sums; money without a year still belongs to no year of the grid.
+        right = sums.withColumnsRenamed({"program_id": "__program", "fiscal_year": "__year"})
+        values = [c for c in right.columns if not c.startswith("__")]
+        same = F.col("program_id").eqNullSafe(F.col("__program"))
+        same &= F.col("fiscal_year").eqNullSafe(F.col("__year"))
+        dated = {c: F.when(F.col("fiscal_year").isNotNull(), F.col(c)) for c in values}
+        return rows.join(right, same, "left").drop("__program", "__year").withColumns(dated)
+
+    years = _years_of(funding).union(_years_of(spend)).distinct()
     return (
-        grid(programs, fiscal_years(tables), "program_id")
-        .join(funding, ["program_id", "fiscal_year"], "left")
-        .join(spend, ["program_id", "fiscal_year"], "left")
+        beside(beside(grid(programs, years, "program_id"), funding), spend)
         .select(
             "program_id",
             "program_name",

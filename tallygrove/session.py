@@ -28,14 +28,22 @@ def local_session(cores: str | int = "*", app: str = "tallygrove") -> SparkSessi
     return spark
 
 
+def _one_process(master: str) -> bool:
+    return master == "local" or master.startswith("local[")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where that setting is missing (single-machine runs) a local temporary
-    folder takes its place.
+    Where that setting is missing, a local temporary folder takes its place if
+    driver and executors are one process; on a cluster it is an error.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir"
-    )
-    base = shared or tempfile.mkdtemp(prefix="tallygrove-")
+    settings = spark.sparkContext.getConf()
+    base = spark.conf.get("spark.checkpoint.dir", None) or settings.get("spark.checkpoint.dir")
+    if not base:
+        if not _one_process(settings.get("spark.master", "")):
+            raise ValueError(
+                "set spark.checkpoint.dir to a folder that the driver and all executors reach"
+            )
+        base = tempfile.mkdtemp(prefix="tallygrove-")
     return f"{base.rstrip('/')}/tallygrove/{name}-{uuid.uuid4().hex}"

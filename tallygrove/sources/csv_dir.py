@@ -12,11 +12,16 @@ _STEM = r"([^/]+)\.csv(/[^/]*)?$"
 
 
 def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
-    """Stems of the ``*.csv`` files (or ``*.csv`` folders of part files)."""
+    """Stems of the ``*.csv`` files (or ``*.csv`` folders of part files) right in the folder."""
+    lister = spark.read.format("binaryFile")
     try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-    except AnalysisException as error:
-        raise FileNotFoundError(f"Input directory not found: {folder}") from error
+        files = lister.load(f"{folder.rstrip('/')}/*.csv")
+    except AnalysisException:
+        try:
+            lister.load(folder)
+        except AnalysisException as error:
+            raise FileNotFoundError(f"Input directory not found: {folder}") from error
+        return []
     stems = (
         files.select(F.regexp_extract("path", _STEM, 1).alias("stem"))
         .filter("stem <> ''")
@@ -25,12 +30,13 @@ def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(row.stem for row in stems.collect())
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One raw table, every column as text, missing marks as NULL.
 
     Columns are matched by the header, so a file may leave some out or order
-    them in its own way.  ``multi_line`` reads line breaks inside quotes; such
-    files cannot be split, so it is off by default.
+    them in its own way.  Quoted values may hold line breaks, so a file is read
+    as a whole by one task; ``multi_line=False`` splits files that are known to
+    hold none.
     """
     reader = spark.read.option("header", True).option("enforceSchema", False)
     df = reader.option("multiLine", multi_line).option("escape", '"').csv(path)
@@ -41,7 +47,7 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = False) -> DataFr
 
 
 def load_csv_tables(
-    spark: SparkSession, folder: str, multi_line: bool = False
+    spark: SparkSession, folder: str, multi_line: bool = True
 ) -> dict[str, DataFrame]:
     """Every ``*.csv`` of a folder as a raw table named after its file."""
     names = csv_table_names(spark, folder)

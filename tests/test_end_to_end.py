@@ -158,3 +158,37 @@ def test_dashboard_and_sinks(spark, result, tmp_path):
     sinks.write_tables(result.tables, str(tmp_path / "tables"))
     for name, df in result.tables.items():
         assert spark.read.parquet(str(tmp_path / "tables" / name)).count() == df.count()
+
+
+def test_csv_with_line_breaks_comes_back(spark, tmp_path):
+    rows = [("S1", "two\nlines, one \"cell\""), ("S2", None), ("S3", " blanks ")]
+    table = spark.createDataFrame(rows, "delivery_id string, remarks string")
+    sinks.write_csv_tables({"service_delivery": table}, str(tmp_path))
+    back = csv_dir.load_csv_tables(spark, str(tmp_path))["service_delivery"].collect()
+    assert sorted((r.delivery_id, r.remarks) for r in back) == rows
+
+
+def test_only_the_top_level_is_loaded(spark, tmp_path):
+    (tmp_path / "sub").mkdir()
+    for name in ("donors.csv", "sub/old.csv"):
+        (tmp_path / name).write_text("donor_id\nD1\n")
+    assert list(csv_dir.load_csv_tables(spark, str(tmp_path))) == ["donors"]
+    with pytest.raises(FileNotFoundError):
+        csv_dir.load_csv_tables(spark, str(tmp_path / "none"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from tallygrove.session import scratch_path
+
+    def session(**settings):
+        get = lambda key, default=None: settings.get(key, default)
+        conf = SimpleNamespace(get=get)
+        return SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(getConf=lambda: conf))
+
+    with pytest.raises(ValueError, match="checkpoint"):
+        scratch_path(session(**{"spark.master": "spark://host:7077"}), "x")
+    shared = {"spark.master": "yarn", "spark.checkpoint.dir": "hdfs://shared/"}
+    assert scratch_path(session(**shared), "x").startswith("hdfs://shared/tallygrove/x-")
+    assert scratch_path(session(**{"spark.master": "local[2]"}), "x")

@@ -25,6 +25,12 @@ def test_trend_lines_share_the_quarter_sums(sample):
 
 
 def test_cost_bars_run_the_view_once(sample):
-    plan = plan_of(dashboard.cost_bars(views.v_cost_per_impact(sample)))
-    assert "Subquer" not in plan
+    plan = final_plan(dashboard.cost_bars(views.v_cost_per_impact(sample)))
+    assert "Subquer" not in plan and "Window [sum" not in plan
     assert plan.count("lineitem.parquet") == 2  # outcomes and expenses, once each
+
+
+def test_financial_overview_reads_each_fact_once(sample):
+    plan = final_plan(views.v_financial_overview(sample))
+    assert plan.count("lineitem.parquet") == 1
+    assert plan.count("orders.parquet") == 1
