@@ -32,6 +32,12 @@ _YEAR = "cast(2021+c_custkey%4 as string)"
 _MONTH = "lpad(cast(1+c_custkey%12 as string),2,'0')"
 _DAY = "lpad(cast(1+c_custkey%28 as string),2,'0')"
 
+# Nine letters for each month.
+_MONTH_NAME = (
+    "trim(substr('January  February March    April    May      June     July     August   "
+    "SeptemberOctober  November December ',cast(mm as int)*9-8,9))"
+)
+
 VIEWS: dict[str, str] = {
     "regions": """
         select n_nationkey region_id, r_name state, n_name district,
@@ -111,7 +117,10 @@ VIEWS: dict[str, str] = {
             when 2 then dd||'-'||substr('JanFebMarAprMayJunJulAugSepOctNovDec',
               cast(mm as int)*3-2,3)||'-'||substr(yy,3,2)
             when 3 then mm||'-'||dd||'-'||yy when 4 then dd||'.'||mm||'.'||yy
-            when 5 then yy||'/'||mm||'/'||dd when 6 then 'not a date'
+            when 5 then yy||'/'||mm||'/'||dd when 6 then
+              case c_custkey%5 when 0 then 'not a date' when 1 then yy||mm||dd
+                when 2 then dd||' '||{_MONTH_NAME}||' '||yy
+                when 3 then {_MONTH_NAME}||' '||dd||', '||yy else yy||'.'||mm||'.'||dd end
             else null end registration_date,
           case when c_custkey%23=0 then '0' when c_custkey%29=0 then '40'
             when c_custkey%31=0 then null else cast(c_custkey%9+1 as string) end household_size,

@@ -687,7 +687,7 @@ def mapped(x: str, mapping: dict[str, str]) -> str:
 
 DATE_FORMATS = (
     "%Y-%m-%d", "%Y/%m/%d", "%d/%m/%Y", "%d-%m-%Y", "%d.%m.%Y", "%d-%b-%y", "%m-%d-%Y",
-    "%m/%d/%Y", "%m.%d.%Y",
+    "%m/%d/%Y", "%m.%d.%Y", "%Y%m%d", "%d %B %Y", "%B %d, %Y", "%Y.%m.%d",
 )
 
 

@@ -12,9 +12,18 @@ BLANKS = " \t\n\r\x0b\x0c"
 MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec")
 
 ISO_DATE = r"^\d{4}-\d{2}-\d{2}$"
-_YEAR_FIRST = r"^(\d{4})([-/])(\d{1,2})\2(\d{1,2})([T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?)?$"
-_YEAR_LAST = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})$"
-_NAMED_MONTH = r"^(\d{1,2})([- ])([A-Za-z]{3})\2(\d{4}|\d{2})$"
+# A time of day, with seconds, half-day mark or zone, may follow any spelling.
+_TIME = r"(?:[T ]+\d{1,2}:\d{2}(?::\d{2}(?:\.\d+)?)?(?: ?(?:[AaPp][Mm]|Z|UTC|[+-]\d{2}:?\d{2}))?)?$"
+_YEAR_FIRST = r"^(\d{4})([-/.])(\d{1,2})\2(\d{1,2})" + _TIME
+_COMPACT = r"^(\d{4})(\d{2})(\d{2})$"
+_YEAR_LAST = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4}|\d{2})" + _TIME
+_MONTH = (
+    r"(jan(?:uary)?|feb(?:ruary)?|mar(?:ch)?|apr(?:il)?|may|june?|july?|aug(?:ust)?"
+    r"|sept?(?:ember)?|oct(?:ober)?|nov(?:ember)?|dec(?:ember)?)"
+)
+_DAY = r"(\d{1,2})(?:st|nd|rd|th)?"
+_DAY_MONTH = rf"(?i)^{_DAY}[-/ .,]+{_MONTH}[-/ .,]+(\d{{4}}|\d{{2}}){_TIME}"
+_MONTH_DAY = rf"(?i)^{_MONTH}[-/ .]+{_DAY}[-/ ,]+(\d{{4}}|\d{{2}}){_TIME}"
 
 
 def strip(value: Column) -> Column:
@@ -32,27 +41,37 @@ def canonical(value: Column, mapping: Mapping[str, str]) -> Column:
     return F.try_element_at(F.create_map(*pairs), match_key(value))
 
 
-def _named_month_date(text: Column) -> Column:
-    month = F.array_position(
-        F.lit(list(MONTHS)), F.lower(F.regexp_extract(text, _NAMED_MONTH, 3))
-    )
-    digits = F.regexp_extract(text, _NAMED_MONTH, 4)
-    # Two-digit years: 69-99 belong to the last century, 00-68 to this one.
-    century = F.when(F.length(digits) == 4, "").when(digits >= "69", "19").otherwise("20")
+def _four_digits(year: Column) -> Column:
+    """Two-digit years: 69-99 belong to the last century, 00-68 to this one."""
+    century = F.when(F.length(year) == 4, "").when(year >= "69", "19").otherwise("20")
+    return F.concat(century, year)
+
+
+def _numeric_date(text: Column, day: int, month: int) -> Column:
+    part = [F.regexp_extract(text, _YEAR_LAST, i) for i in range(5)]
+    return F.concat_ws("-", _four_digits(part[4]), part[month], part[day]).try_cast("date")
+
+
+def _named_month_date(text: Column, pattern: str, day: int, month: int) -> Column:
+    name = F.lower(F.substring(F.regexp_extract(text, pattern, month), 1, 3))
+    number = F.array_position(F.lit(list(MONTHS)), name)
+    year = _four_digits(F.regexp_extract(text, pattern, 3))
     return F.concat_ws(
-        "-", F.concat(century, digits), month.cast("string"), F.regexp_extract(text, _NAMED_MONTH, 1)
+        "-", year, number.cast("string"), F.regexp_extract(text, pattern, day)
     ).try_cast("date")
 
 
 def parse_date(value: Column) -> Column:
     """Read a date in any of the accepted spellings, day first; else NULL.
 
-    Accepted are year-first dates with ``-`` or ``/`` (with or without a time),
-    numeric dates with the year last and ``-``, ``/`` or ``.``, and
-    ``d-Mon-yy``.  A year-last date is read day first, and month first only
-    where that is impossible.  Each shape is rewritten to ISO and cast, which
-    is cheaper per row than trying one date pattern after another; texts that
-    have the ISO shape already, as most do, meet no pattern at all.
+    Accepted are year-first dates with ``-``, ``/`` or ``.`` or in eight
+    digits, numeric dates with the year last, and dates with a month's name,
+    short or in full, before or after the day.  Years may have two digits where
+    they come last, and a time with or without a zone may follow; the date is
+    the one written.  A numeric year-last date is read day first, and month
+    first only where that is impossible.  Each shape is rewritten to ISO and
+    cast, which is cheaper per row than trying one date pattern after another;
+    texts that have the ISO shape already, as most do, meet no pattern at all.
     """
     text = strip(value)
     iso_shape = (
@@ -60,14 +79,19 @@ def parse_date(value: Column) -> Column:
         & (F.substring(text, 5, 1) == "-")
         & (F.substring(text, 8, 1) == "-")
     )
-    day_first = F.regexp_replace(text, _YEAR_LAST, "$4-$3-$1").try_cast("date")
-    month_first = F.regexp_replace(text, _YEAR_LAST, "$4-$1-$3").try_cast("date")
     return (
         F.when(iso_shape, text.try_cast("date"))
         .when(
             text.rlike(_YEAR_FIRST),
             F.regexp_replace(text, _YEAR_FIRST, "$1-$3-$4").try_cast("date"),
         )
-        .when(text.rlike(_YEAR_LAST), F.coalesce(day_first, month_first))
-        .when(text.rlike(_NAMED_MONTH), _named_month_date(text))
+        .when(
+            text.rlike(_YEAR_LAST),
+            F.coalesce(_numeric_date(text, 1, 3), _numeric_date(text, 3, 1)),
+        )
+        .when(text.rlike(_DAY_MONTH), _named_month_date(text, _DAY_MONTH, 1, 2))
+        .when(text.rlike(_MONTH_DAY), _named_month_date(text, _MONTH_DAY, 2, 1))
+        .when(
+            text.rlike(_COMPACT), F.regexp_replace(text, _COMPACT, "$1-$2-$3").try_cast("date")
+        )
     )

@@ -35,6 +35,22 @@ DATES = {
     " 2023-05-06 ": dt.date(2023, 5, 6),
     "2023-05-06 10:11:12": dt.date(2023, 5, 6),
     "2023-05-06T10:11:12": dt.date(2023, 5, 6),
+    "5 June 2023": dt.date(2023, 6, 5),
+    "5th of June 2023": None,
+    "5th June 2023": dt.date(2023, 6, 5),
+    "June 5, 2023": dt.date(2023, 6, 5),
+    "Sept. 5th, 2023": dt.date(2023, 9, 5),
+    "05/06/23": dt.date(2023, 6, 5),
+    "05/25/99": dt.date(1999, 5, 25),
+    "20230605": dt.date(2023, 6, 5),
+    "20231305": None,
+    "2023.06.05": dt.date(2023, 6, 5),
+    "5/6/2023 10:00": dt.date(2023, 6, 5),
+    "5/6/2023 9:05 PM": dt.date(2023, 6, 5),
+    "2023-06-05T10:00:00Z": dt.date(2023, 6, 5),
+    "2023-06-05 10:00:00.5+05:30": dt.date(2023, 6, 5),
+    "June 31, 2023": None,
+    "Juneau 5, 2023": None,
     "31/02/2023": None,
     "2023-13-01": None,
     "05/06-2023": None,
