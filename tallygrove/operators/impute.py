@@ -18,6 +18,8 @@ UNKNOWN = "Unknown"
 # below share the first) and two signs, so the number of slices is bounded; data
 # that spans six orders of magnitude fills about 14,000 of them.
 _SLICES = 1024
+# Even pieces of a middle slice.
+_PIECES = 1 << 16
 
 
 def _slice(value: Column) -> Column:
@@ -50,43 +52,86 @@ def _value_counts(df: DataFrame, columns: Sequence[str], number: bool) -> DataFr
     )
 
 
+def _middle(per_slice: DataFrame, low_rank: Column, high_rank: Column) -> DataFrame:
+    """The slices that hold the ranks; ``before`` counts the rows below a slice.
+
+    ``per_slice`` has ``of_column``, ``of_slice``, ``here`` and ``base``, the
+    rows below all slices given.
+    """
+    in_column = Window.partitionBy("of_column")
+    upto = in_column.orderBy("of_slice").rowsBetween(Window.unboundedPreceding, 0)
+    before = F.col("base") + F.sum("here").over(upto) - F.col("here")
+    return (
+        per_slice.withColumn("before", before)
+        .withColumn("low_rank", low_rank)
+        .withColumn("high_rank", high_rank)
+        .filter("before < high_rank and before + here >= low_rank")
+    )
+
+
+def _inside(counts: DataFrame, middle: DataFrame) -> DataFrame:
+    """The counts in the middle slices, beside what is known of these.
+
+    At most two slices per column hold the middle, whatever the data.  The
+    NULL-safe comparison keeps the optimizer from adding a filter to one of
+    the two uses of the counts, and both use all their columns, so that they
+    share one shuffle.
+    """
+    same = (F.col("column_name") == F.col("of_column")) & F.col("slice").eqNullSafe(
+        F.col("of_slice")
+    )
+    return counts.join(F.broadcast(middle), same)
+
+
 def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """(column_name, median, has_gap) with the exact mean of the middle two values.
 
     Rows are first reduced to (value, rows).  A count per slice of the number
     line, whose length does not grow with the data, shows which slice holds
-    the middle; only the distinct values of that slice are put in order.
+    the middle; that slice is cut anew into even pieces between its least and
+    greatest value; only the distinct values of the middle piece are ordered.
     """
     counts = _value_counts(df, columns, number=True).withColumn("slice", _slice(F.col("value")))
+    in_column = Window.partitionBy("of_column")
     per_slice = counts.groupBy(
         F.col("column_name").alias("of_column"), F.col("slice").alias("of_slice")
-    ).agg(F.sum("n").alias("here"), F.bool_or("gap").alias("gap_here"))
-    in_column = Window.partitionBy("of_column")
-    upto = in_column.orderBy("of_slice").rowsBetween(Window.unboundedPreceding, 0)
-    middle = (
-        per_slice.select(
-            "of_column",
-            "of_slice",
-            "here",
-            (F.sum("here").over(upto) - F.col("here")).alias("before"),
-            F.sum("here").over(in_column).alias("total"),
-            F.bool_or("gap_here").over(in_column).alias("has_gap"),
-        )
-        .withColumn("low_rank", F.expr("(total + 1) div 2"))
-        .withColumn("high_rank", F.expr("(total + 2) div 2"))
-        .filter("before < high_rank and before + here >= low_rank")
+    ).agg(
+        F.sum("n").alias("here"),
+        F.bool_or("gap").alias("gap_here"),
+        F.min("value").alias("least"),
+        F.max("value").alias("most"),
     )
-    in_slice = Window.partitionBy("column_name", "slice").orderBy("value")
-    # At most two slices per column hold the middle, whatever the data.  The
-    # NULL-safe comparison keeps the optimizer from adding a filter to one of
-    # the two uses of the counts, and both use all their columns, so that they
-    # share one shuffle.
-    same = (F.col("column_name") == F.col("of_column")) & F.col("slice").eqNullSafe(
-        F.col("of_slice")
+    totals = per_slice.withColumns(
+        {
+            "base": F.lit(0).cast("bigint"),
+            "total": F.sum("here").over(in_column),
+            "has_gap": F.bool_or("gap_here").over(in_column),
+        }
+    ).drop("gap_here")
+    slices = _middle(totals, F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2"))
+
+    share = F.try_divide(F.col("value") - F.col("least"), F.col("most") - F.col("least"))
+    piece = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _PIECES), F.lit(_PIECES - 1))
+    cut = _inside(counts, slices).select(
+        "column_name", "value", "n", "gap", "has_gap", "low_rank", "high_rank",
+        F.col("before").alias("base"),
+        (F.col("slice").cast("bigint") * _PIECES + piece).alias("slice"),
+    )
+    # The base of the lower of two middle slices counts for both.
+    per_piece = cut.groupBy(
+        F.col("column_name").alias("of_column"), F.col("slice").alias("of_slice")
+    ).agg(
+        F.sum("n").alias("here"), F.min("base").alias("base"),
+        F.min("low_rank").alias("low"), F.min("high_rank").alias("high"),
+    )
+    lowest = F.min("base").over(in_column)
+    pieces = _middle(per_piece.withColumn("base", lowest), F.col("low"), F.col("high")).select(
+        "of_column", "of_slice", "before"
     )
-    ranked = counts.join(F.broadcast(middle), same).withColumn(
+    in_piece = Window.partitionBy("column_name", "slice").orderBy("value")
+    ranked = _inside(cut, pieces).withColumn(
         "last_rank",
-        F.col("before") + F.sum("n").over(in_slice.rowsBetween(Window.unboundedPreceding, 0)),
+        F.col("before") + F.sum("n").over(in_piece.rowsBetween(Window.unboundedPreceding, 0)),
     )
     low = F.min(F.when(F.col("last_rank") >= F.col("low_rank"), F.col("value")))
     high = F.min(F.when(F.col("last_rank") >= F.col("high_rank"), F.col("value")))

@@ -312,3 +312,19 @@ def test_orphans_of_the_log_are_those_of_the_cleaner(spark):
     tables = {"beneficiaries": people, "service_delivery": services}
     found = quality.all_issues(tables).filter(F.col("issue_type") == quality.ORPHAN).collect()
     assert [r.record_id for r in found] == ["S1"]
+
+
+def test_medians_of_values_in_one_slice(spark):
+    """Distinct values that share a slice are cut into pieces; the exact middle is found."""
+    for offset, step in ((0.0, 1e-12), (5000.0, 1e-6), (-5000.0, 1e-6)):
+        numbers = [offset + step * (i * 7919 % 20011) for i in range(20010)]
+        df = spark.createDataFrame([(x,) for x in numbers] + [(None,)], "age double")
+        (row,) = impute.exact_medians(df, ["age"]).collect()
+        assert row.median == statistics.median(numbers) and row.has_gap
+
+
+def test_medians_across_two_slices_and_of_nothing(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None), (90.0, None), (1000.0, None)], "a double, b double")
+    got = {r.column_name: r for r in impute.exact_medians(df, ["a", "b"]).collect()}
+    assert got["a"].median == 46.0 and not got["a"].has_gap
+    assert got["b"].median is None and got["b"].has_gap
