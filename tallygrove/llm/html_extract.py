@@ -52,7 +52,12 @@ _NOISE_WORDS = frozenset(
     "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe "
     "teaser toolbar topbar widget".split()
 )
-_CONTENT_WORDS = frozenset("article body content entry main page post story text wrapper container".split())
+_NOISE_STARTS = (
+    "advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "newsletter", "promo", "sidebar", "sponsor",
+)
+# Names such as "content-with-sidebar" tell of a layout, and "post-header" of a headline.
+_LAYOUT_WORDS = frozenset("with without has no".split())
+_CONTENT_WORDS = frozenset("article content entry post story".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NUMBERS = re.compile(r"[0-9]+")
 
@@ -77,18 +82,29 @@ class Page:
     blocks: list[tuple[int, str, int, bool]] = field(default_factory=list)  # node, text, link chars, heading
 
 
+def _noisy_name(name: str) -> bool:
+    """Whether a class or id names something beside the article."""
+    words = [w.lower() for w in _WORDS.findall(name)]
+    if not words or _LAYOUT_WORDS.intersection(words) or _headline(words):
+        return False
+    ends = {words[0], words[-1]}
+    return bool(_NOISE_WORDS & ends) or any(w.startswith(_NOISE_STARTS) for w in words)
+
+
+def _headline(words: list[str]) -> bool:
+    return words[-1] == "header" and bool(_CONTENT_WORDS.intersection(words[:-1]))
+
+
+def _names(attributes: dict[str, str]) -> list[str]:
+    return [*attributes.get("class", "").split(), attributes.get("id", "")]
+
+
 def _noisy(tag: str, attributes: dict[str, str]) -> bool:
     if tag in _NOISE_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
     if attributes.get("role", "") in _NOISE_ROLES or re.search(r"display\s*:\s*none", attributes.get("style", "")):
         return True
-    if tag in ("html", "body", "main"):
-        return False
-    for name in (*attributes.get("class", "").split(), attributes.get("id", "")):
-        words = [w.lower() for w in _WORDS.findall(name)]
-        if words and not _CONTENT_WORDS.intersection(words) and _NOISE_WORDS.intersection((words[0], words[-1])):
-            return True
-    return tag == "article" and "comment" in attributes.get("class", "")
+    return tag not in ("html", "body", "main") and any(map(_noisy_name, _names(attributes)))
 
 
 def parse(html: str) -> Page:
@@ -170,7 +186,8 @@ def parse(html: str) -> Page:
         label = ".".join([tag, *sorted(_NUMBERS.sub("", c).lower() for c in attributes.get("class", "").split())])
         noise = up.noise or _noisy(tag, attributes)
         inside = any(nodes[i].tag in ("article", "main") for i in stack[-8:])
-        soft = up.soft or (tag == "header" and not noise)
+        headline = tag == "header" or any(_headline([w.lower() for w in _WORDS.findall(x)] or [""]) for x in _names(attributes))
+        soft = up.soft or (headline and not noise)
         if tag == "header" and not inside:
             noise, soft = True, False
         nodes.append(Node(tag, stack[-1], label, noise, up.link or tag == "a", soft))

@@ -19,11 +19,13 @@ from tallygrove.llm import (
     simhash_dedup,
     url_filter,
 )
+from tallygrove.llm.oracle import ORACLE
 from tallygrove.llm.shared import joined_spans
 
+__all__ = ["ORACLE", "QUERIES"]
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
 
 
 def query(function: Query) -> Query:

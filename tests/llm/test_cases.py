@@ -322,3 +322,22 @@ def test_html_extract(spark):
     assert html_extract.extract_pages(pages_of(spark, [])).count() == 0
     winners = {r.host: r.path for r in html_extract.host_paths(pages_of(spark, rows[:2]).select(F.lit("h").alias("host"), "html")).collect()}
     assert winners == {"h": "div.content-"}
+
+
+@pytest.mark.parametrize(
+    ("name", "noise"),
+    [
+        ("ad", True), ("ad-1", True), ("adContainer", True), ("comment-body", True), ("commentlist", True),
+        ("page-footer", True), ("main-nav", True), ("post-comments", True), ("cookie_bar", True), ("sidebar2", True),
+        ("content", False), ("content-with-sidebar", False), ("post-header", False), ("headline", False),
+        ("article-body", False), ("shadow", False), ("no-ads", False), ("", False), ("main-text", False),
+    ],
+)
+def test_noisy_names(name, noise):
+    assert html_extract._noisy_name(name) is noise
+
+
+def test_headers_inside_the_article_keep_their_headings():
+    page = '<header>Site</header><article><header><h1>Head</h1><p>By someone</p></header><p>Text of it</p><div class="ad-box">Buy</div></article><section id="comments"><article>I liked it so much that I wrote it down here</article></section>'
+    assert html_extract.extract(page, None) == "Head\nText of it"
+    assert html_extract.extract(page, "article") == "Head\nText of it"
