@@ -47,8 +47,11 @@ for _row, _bytes in enumerate(
 
 
 def _share(part: float, whole: float) -> float:
-    """Arc-sine root of a share, with half a count added on both sides."""
-    return float(np.arcsin(np.sqrt((part + 0.5) / (whole + 1.0))))
+    """Arc-sine root of a share, with half a count added on both sides; 1 at most.
+
+    Marks are counted against words, so a part may exceed its whole.
+    """
+    return float(np.arcsin(np.sqrt(min(1.0, (part + 0.5) / (whole + 1.0)))))
 
 
 def statistics(text: str | None) -> list[float]:

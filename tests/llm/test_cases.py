@@ -164,6 +164,12 @@ def test_classifier(spark, odd, none, labels):
     assert quality_classifier.keep_accepted(odd, labels).columns == odd.columns
 
 
+@pytest.mark.parametrize("text", [None, "", " ", ".,.,.,", "\x00", "a", "-- -- --", "é" * 5000, "\n" * 99, LONG])
+def test_statistics_are_finite(text):
+    found = quality_classifier.statistics(text)
+    assert len(found) == len(quality_classifier.FEATURES) and np.isfinite(found).all()
+
+
 def test_quality_rules(spark, odd, none):
     entries = quality_rules.ledger(odd)
     got = entries.collect()
