@@ -46,12 +46,18 @@ for _row, _bytes in enumerate(
     _CLASS[_row, list(_bytes)] = 1
 
 
-def _share(part: float, whole: float) -> float:
-    """Arc-sine root of a share, with half a count added on both sides; 1 at most.
+# Every statistic is taken as if so many typical words were added, so that a short
+# text is not odd for being short.  The typical values are round figures.
+ADDED_WORDS = 20.0
+_ADDED_BYTES, _WORD_BYTES, _LINE_WORDS, _ENTROPY, _SPREAD = 5 * ADDED_WORDS, 5.0, 30.0, 2.9, 3.0
+
+
+def _share(part: float, whole: float, typical: float, added: float) -> float:
+    """Arc-sine root of a share, after ``added`` of the typical share; 1 at most.
 
     Marks are counted against words, so a part may exceed its whole.
     """
-    return float(np.arcsin(np.sqrt(min(1.0, (part + 0.5) / (whole + 1.0)))))
+    return float(np.arcsin(np.sqrt(min(1.0, (part + added * typical) / (whole + added)))))
 
 
 def statistics(text: str | None) -> list[float]:
@@ -69,22 +75,25 @@ def statistics(text: str | None) -> list[float]:
     doubled = np.count_nonzero(codes[1:] == codes[:-1])
     sizes = np.fromiter(map(len, words), np.float64, n)
     share = bytes_[bytes_ > 0] / max(1, len(data))
+    entropy = -(share * np.log(share)).sum() * len(data) + _ADDED_BYTES * _ENTROPY
+    spread = (sizes.std() * n if n else 0.0) + ADDED_WORDS * _SPREAD
+    total = n + ADDED_WORDS
     return [
         float(np.log1p(n)),
-        float(np.log1p(solid / max(1, n))),
-        _share(letters, solid),
-        _share(capitals, capitals + small),
-        _share(digits, solid),
-        _share(symbols, solid),
-        _share(marks, solid),
-        _share(stops, n),
-        float(np.log1p(n / max(1, lines))),
-        float(np.log1p(len(places)) / np.log1p(n + 1.0)),
-        _share(most, n),
-        _share(doubled, n),
-        float(-(share * np.log(share)).sum()) if len(data) else 0.0,
-        float(np.log1p(sizes.std())) if n else 0.0,
-        _share(np.count_nonzero(sizes <= 3), n),
+        float(np.log1p((solid + ADDED_WORDS * _WORD_BYTES) / total)),
+        _share(letters, solid, 0.95, _ADDED_BYTES),
+        _share(capitals, capitals + small, 0.05, _ADDED_BYTES),
+        _share(digits, solid, 0.01, _ADDED_BYTES),
+        _share(symbols, solid, 0.005, _ADDED_BYTES),
+        _share(marks, solid, 0.005, _ADDED_BYTES),
+        _share(stops, n, 0.15, ADDED_WORDS),
+        float(np.log1p(total / (max(1, lines) + ADDED_WORDS / _LINE_WORDS))),
+        float(np.log1p(len(places) + ADDED_WORDS) / np.log1p(total)),
+        _share(most, n, 0.06, ADDED_WORDS),
+        _share(doubled, n, 0.005, ADDED_WORDS),
+        float(entropy / (len(data) + _ADDED_BYTES)),
+        float(np.log1p(spread / total)),
+        _share(np.count_nonzero(sizes <= 3), n, 0.35, ADDED_WORDS),
     ]
 
 
