@@ -33,7 +33,7 @@ RULES: tuple[Rule, ...] = (
     Rule(1, "repeated_words", "100 * n_repeat_words > 30 * n_words"),
     Rule(2, "symbols", "n_symbols > n_words"),
     Rule(3, "word_length", "word_chars < 2 * n_words or word_chars > 15 * n_words"),
-    Rule(4, "repeated_lines", "10 * n_dup_lines > 3 * n_lines"),
+    Rule(4, "repeated_lines", "n_dup_lines >= 3 and 10 * n_dup_lines > 3 * n_lines"),
     Rule(5, "few_letters", "10 * n_letters < 6 * word_chars"),
     Rule(6, "capitals", "2 * n_upper > n_letters"),
     Rule(7, "lone_marks", "4 * n_lone_marks > n_words"),
