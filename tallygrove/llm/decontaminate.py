@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of, without
+from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, staged, text_of, type_of, without
 from tallygrove.operators.joins import join_dimension, measured
 
 WINDOW = 13
@@ -151,7 +151,8 @@ def _fingerprints(
                 ["key", "id", "n_words", "prints", "places", "lengths"],
             )
 
-    return texts.mapInArrow(
+    return map_texts(
+        texts,
         run,
         f"key string, id {type_of(texts, 'id')}, n_words bigint, prints array<bigint>, "
         "places array<int>, lengths array<int>",
@@ -189,7 +190,7 @@ def _windows_around(texts: DataFrame, gram: int) -> DataFrame:
                 ["key", "start", "length", "window"],
             )
 
-    return texts.mapInArrow(run, "key string, start bigint, length bigint, window string")
+    return map_texts(texts, run, "key string, start bigint, length bigint, window string")
 
 
 def _item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -207,7 +208,7 @@ def _item_windows(items: DataFrame, window: int) -> DataFrame:
                     windows.append(x.decode("utf-8", "surrogatepass"))
             yield pa.RecordBatch.from_arrays([pa.array(names, pa.string()), pa.array(windows, pa.string())], ["item", "window"])
 
-    return items.mapInArrow(run, "item string, window string").distinct()
+    return map_texts(items, run, "item string, window string").distinct()
 
 
 def _covered(hits: DataFrame) -> DataFrame:

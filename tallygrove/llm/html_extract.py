@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import host_of, in_pieces, look_up, staged, text_of, type_of
+from tallygrove.llm.shared import host_of, in_pieces, look_up, map_texts, staged, text_of, type_of
 
 _MARKUP = re.compile(
     r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -296,7 +296,7 @@ def host_paths(pages: DataFrame) -> DataFrame:
                 ["host", "path", "votes"],
             )
 
-    votes = pages.select("host", "html").mapInArrow(run, "host string, path string, votes bigint")
+    votes = map_texts(pages.select("host", "html"), run, "host string, path string, votes bigint")
     added = votes.groupBy("host", "path").agg(F.sum("votes").alias("votes"))
     return added.groupBy("host").agg(F.max_by("path", F.struct("votes", F.length("path"), "path")).alias("path"))
 
@@ -323,4 +323,4 @@ def extract_pages(
             texts = pa.array([extract(html, path) for html, path in both], pa.string())
             yield pa.RecordBatch.from_arrays([piece.column(0), piece.column(1), texts], ["id", "url", "text"])
 
-    return placed.mapInArrow(run, f"id {type_of(pages, id_col)}, url {type_of(pages, url_col)}, text string")
+    return map_texts(placed, run, f"id {type_of(pages, id_col)}, url {type_of(pages, url_col)}, text string")

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import in_pieces, row_key, staged, text_of, type_of, without
+from tallygrove.llm.shared import in_pieces, map_texts, row_key, staged, text_of, type_of, without
 
 ACCEPT = 0.7
 # Shrinkage of a class covariance: towards the pooled one, then towards the unit matrix.
@@ -181,7 +181,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     rows = docs.select(
         row_key(docs, id_col, text_col).alias("key"), docs[id_col].alias("id"), text_of(docs, text_col).alias("text")
     )
-    return rows.mapInArrow(run, f"key string, id {type_of(docs, id_col)}, x array<double>")
+    return map_texts(rows, run, f"key string, id {type_of(docs, id_col)}, x array<double>")
 
 
 def _matrix(lists: pa.Array) -> np.ndarray:

@@ -20,6 +20,9 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 # Bytes of text that a Python worker takes at once.
 PIECE_BYTES = 2 << 20
+# Rows with whole texts that Spark sends to a Python worker at once.
+TEXT_ROWS = 1000
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def text_of(df: DataFrame, column: str) -> Column:
@@ -74,6 +77,20 @@ def without(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> Dat
     return join_dimension(rows, side, "__key", "__of", "left_anti").select("__row.*")
 
 
+def map_texts(
+    rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str
+) -> DataFrame:
+    """``mapInArrow`` over rows with whole texts, in batches of few rows.
+
+    Spark bounds a batch by rows alone, and the default is meant for narrow
+    rows; the session's setting is lowered where it is higher.
+    """
+    conf = rows.sparkSession.conf
+    if int(conf.get(BATCH_ROWS)) > TEXT_ROWS:
+        conf.set(BATCH_ROWS, str(TEXT_ROWS))
+    return rows.mapInArrow(run, schema)
+
+
 def in_pieces(
     batches: Iterator[pa.RecordBatch], column: int, limit: int = PIECE_BYTES
 ) -> Iterator[pa.RecordBatch]:
@@ -121,7 +138,7 @@ def scan(
             yield pa.RecordBatch.from_arrays([piece.column(0), lists], ["id", "spans"])
 
     rows = docs.select(docs[id_col].alias("id"), text_of(docs, text_col).alias("text"))
-    return rows.mapInArrow(run, f"id {type_of(docs, id_col)}, spans {SPANS}")
+    return map_texts(rows, run, f"id {type_of(docs, id_col)}, spans {SPANS}")
 
 
 def joined_spans(spans: Column) -> Column:

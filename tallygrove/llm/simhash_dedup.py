@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygrove.llm.components import components
-from tallygrove.llm.shared import in_pieces, look_up, row_key, staged, text_of, type_of, without
+from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, staged, text_of, type_of, without
 from tallygrove.operators.joins import join_dimension, measured
 
 SEED = 42
@@ -59,7 +59,7 @@ def fingerprints(
     rows = docs.select(
         row_key(docs, id_col, text_col).alias("key"), docs[id_col].alias("id"), text_of(docs, text_col).alias("text")
     )
-    return rows.mapInArrow(run, f"key string, id {type_of(docs, id_col)}, fp bigint")
+    return map_texts(rows, run, f"key string, id {type_of(docs, id_col)}, fp bigint")
 
 
 def covering_masks(bits: list[int], radius: int = RADIUS) -> list[int]:
