@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from checks import whole
+
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
 )
@@ -163,6 +165,8 @@ VIEWS: dict[str, str] = {
         from {nation} join {region} on n_regionkey=r_regionkey""",
 }
 
+VIEWS |= {f"{name}_raw": text for name, text in whole.VIEWS.items()}
+
 CLEAN_TABLES = (
     "regions", "programs", "impact_indicators", "outcome_tracking", "expenses", "funding",
     "beneficiaries", "service_delivery", "assessments",
@@ -207,6 +211,11 @@ def dirty_sample(spark: SparkSession, sf_dir: str) -> Sample:
     return Sample(spark, sf_dir, "_dirty", DIRTY_TABLES)
 
 
+def raw_sample(spark: SparkSession, sf_dir: str) -> Sample:
+    """All twelve tables as text, with every declared column."""
+    return Sample(spark, sf_dir, "_raw", tuple(whole.VIEWS))
+
+
 def duckdb_views(names: list[str] | tuple[str, ...]) -> str:
     """The views as the CTE list of a DuckDB query."""
     tables = {t: t for t in BASE_TABLES}

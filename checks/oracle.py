@@ -6,6 +6,7 @@ self-joins, all pairs of a block) where the library takes the scalable one.
 
 from __future__ import annotations
 
+from checks import whole
 from checks.fixtures import CLEAN_TABLES, duckdb_views, fy, quarter
 from tallygrove import model
 from tallygrove.rules import (
@@ -911,6 +912,11 @@ ORACLE["clean_all_tables"] = with_views(
     *_STEPS,
 )
 
+_CELLS, _CELL_STEPS = whole.clean_sql(deduped, to_date, mapped)
+ORACLE["clean_whole_schema"] = with_views(
+    " ".join(f"{t}_raw" for t in whole.VIEWS), _CELLS, *_CELL_STEPS
+)
+
 
 def n_if(p: str, table: str) -> str:
     return f"(select count(*) from {table} where {p})"

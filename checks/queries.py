@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from checks.fixtures import base_table, clean_sample, dirty_sample
+from checks.fixtures import base_table, clean_sample, dirty_sample, raw_sample
 from tallygrove import model
 from tallygrove.functions import labels, periods
 from tallygrove.functions.numbers import (
@@ -296,6 +296,24 @@ def clean_all_tables(spark, sf_dir):
     return people.unionByName(services, True).unionByName(tests, True)
 
 
+@query
+def clean_whole_schema(spark, sf_dir):
+    """Every cell of all twelve cleaned tables."""
+    stage_dir = scratch_path(spark, "clean_whole_schema")
+    tables = clean.clean(raw_sample(spark, sf_dir).all(), stage_dir=stage_dir).tables
+
+    def cells(name: str) -> DataFrame:
+        df = tables[name]
+        pairs = [
+            F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+            for c in df.columns
+        ]
+        record = F.col(model.PRIMARY_KEY[name]).alias("record_id")
+        return df.select(F.lit(name).alias("table_name"), record, F.inline(F.array(*pairs)))
+
+    return union_all(cells(name) for name in model.CLEANING_ORDER)
+
+
 # -- relational constructs ---------------------------------------------------
 
 
