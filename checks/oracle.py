@@ -398,15 +398,19 @@ ORACLE["dash_cost_bars"] = from_cost(
     from (select program_name, sector, {money('total_spend_inr')} s, sum(total_actual) a,
       sum(total_target) t from v_cost_per_impact group by program_name, sector) x"""
 )
+_BEFORE = "lag(total_actual) over (partition by line order by fiscal_year, quarter_num)"
 ORACLE["dash_trend_top5"] = from_progress(
-    f"""select coalesce(b.program_name,'Other') line, fiscal_year, quarter_num, reporting_period,
+    f"""select *, {R(pct(f'(total_actual-{_BEFORE})', _BEFORE), 1)} qoq_growth_pct,
+      case when {_BEFORE} is null then 'N/A (First Quarter)' when total_actual>{_BEFORE} then '↑ Improving'
+        when total_actual={_BEFORE} then '→ Stable' else '↓ Declining' end momentum from (
+    select coalesce(b.program_name,'Other') line, fiscal_year, quarter_num, reporting_period,
       sum(actual_value) total_actual, sum(target_value) total_target,
       {R(pct('sum(actual_value)', 'sum(target_value)'), 1)} achievement_pct,
       {light(pct('sum(actual_value)', 'sum(target_value)'), 90, 70)} rag_status
     from v_programme_progress v left join (
       select program_name from v_programme_progress group by program_name
       order by sum(actual_value) desc, sum(target_value), program_name limit 5) b on v.program_name=b.program_name
-    group by coalesce(b.program_name,'Other'), fiscal_year, quarter_num, reporting_period"""
+    group by coalesce(b.program_name,'Other'), fiscal_year, quarter_num, reporting_period) x"""
 )
 _SHARE = " union all ".join(
     f"""select '{d}' dimension, coalesce({d},'Unknown') dimension_value, count(*) n,

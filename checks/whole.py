@@ -91,7 +91,7 @@ VIEWS: dict[str, str] = {
     "funding": _view("funding", _twice("orders", "o_orderkey", 101), {
         "funding_id": f"'FND-'||{_text('o_orderkey')}||tag", "donor_id": _ref("DON-", "o_custkey", 10),
         "program_id": _program("o_orderkey"),
-        "amount_inr": _pick("o_orderkey", [_text("o_orderkey*10"), "'99'", "'200000000'", "'12,5'", f"{_text('o_orderkey*3')}||'.505'"]),
+        "amount_inr": _pick("o_orderkey", [_text("o_orderkey*10"), "'99'", "'200000000'", "'12,5'", f"{_text('o_orderkey*3')}||'.25'"]),
         "currency": "'INR'", "disbursement_date": _date("o_orderkey"), "fiscal_year": "'FY2023-24'",
         "grant_type": _gap("o_orderkey", 6, "' Core'"),
     }),

@@ -1,8 +1,9 @@
 """Impact-measurement analytics as Spark DataFrame operations.
 
 Tables travel as ``dict[str, DataFrame]`` keyed by table name (see
-:mod:`tallygrove.model`).  Every public function is lazy and returns a
-DataFrame, so Catalyst sees one logical plan from the scan to the sink.
+:mod:`tallygrove.model`).  Functions return DataFrames and leave the
+plan to Catalyst; those that write intermediate tables or measure a dimension
+before they broadcast it run jobs of their own and say so.
 """
 
 __version__ = "0.1.0"

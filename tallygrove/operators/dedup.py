@@ -47,10 +47,16 @@ def first_per_key(
 
 
 def deduplicate(
-    df: DataFrame, table: str, pk: str, rules: CleaningRules = DEFAULT_RULES
+    df: DataFrame,
+    table: str,
+    pk: str,
+    rules: CleaningRules = DEFAULT_RULES,
+    arrival: Sequence[str] = (),
 ) -> DataFrame:
+    """Drop tagged rows, then rows that repeat a match key; ``arrival`` tells which is first."""
     untagged = drop_tagged(df, pk, rules.duplicate_tag)
-    return first_per_key(untagged, rules.match_keys.get(table, ()), pk)
+    known = [c for c in arrival if c in df.columns]
+    return first_per_key(untagged, rules.match_keys.get(table, ()), pk, known)
 
 
 def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFrame:
@@ -72,8 +78,7 @@ def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFra
     )
     same_key = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
     return (
-        # Repeated keys may be many, so few copies; adaptive execution splits on.
-        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner", salts=4)
+        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner")
         .filter(F.col(pk) != F.col("first_id"))
         .select(pk, "first_id")
     )

@@ -18,6 +18,12 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 LOOKUP_SALTS = 16
 
 
+def _slots(df: DataFrame, least: int, share: int) -> int:
+    """Slots for dealing rows: one for every ``share`` shuffle partitions, ``least`` at least."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return max(least, partitions // share)
+
+
 def _sizes(dims: Mapping[str, DataFrame], bytes_too: bool) -> dict[str, tuple[int, int]]:
     """(rows, bytes) per dimension, from one job; bytes are 0 unless asked for."""
     if not dims:
@@ -88,16 +94,18 @@ def lookup_join(
     same: Sequence[Column],
     row_key: str,
     how: str,
-    salts: int = LOOKUP_SALTS,
+    salts: int | None = None,
 ) -> DataFrame:
     """Join rows to the few keys that need attention, such as broken references.
 
     A small side is broadcast.  Otherwise the rows of a key are dealt to
     ``salts`` slots and the lookup is copied to each, so that a hot key is
-    spread even before adaptive execution splits it further.
+    spread even before adaptive execution splits it further.  By default the
+    slots follow the number of shuffle partitions.
     """
     if side.small:
         return rows.join(F.broadcast(side.df), list(same), how)
+    salts = salts or _slots(rows, LOOKUP_SALTS, 16)
     slot = F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     meet = [*same, F.col("__slot") == F.col("__copy")]
@@ -105,13 +113,16 @@ def lookup_join(
     return joined.drop("__slot", "__copy")
 
 
-def grid(left: DataFrame, right: DataFrame, left_key: str, slots: int = 64) -> DataFrame:
+def grid(
+    left: DataFrame, right: DataFrame, left_key: str, slots: int | None = None
+) -> DataFrame:
     """Every left row with every right row, as an equi-join.
 
     Left rows are dealt to ``slots`` by key, the (few) right rows are copied to
     every slot, and the two meet on the slot.  The work is spread over the
     slots and neither side passes through the driver or one task.
     """
+    slots = slots or _slots(left, 64, 1)
     dealt = left.withColumn("__slot", F.pmod(F.xxhash64(left_key), F.lit(slots)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
     copied = right.withColumn("__slot", copies)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import partial, reduce
 from typing import NamedTuple
@@ -49,15 +49,20 @@ def clean_table(
     rules: CleaningRules = DEFAULT_RULES,
     stage: Stage = as_is,
     approximate: bool = False,
+    arrival: Sequence[str] = (),
 ) -> CleanTable:
-    """Run all steps on one table; ``parents`` give the keys of clean parents."""
+    """Run all steps on one table; ``parents`` give the keys of clean parents.
+
+    ``arrival`` columns, where present, order the rows of a duplicate group and
+    are dropped then.
+    """
     pk = model.PRIMARY_KEY[table]
     # Raw text is parsed once; the audit counts and the references read what was written.
     raw = stage(raw, f"{table}/raw")
     types = {f.name: f.dataType for f in model.clean_schema(table)}
     log = auditing.TableAudit(table, raw, pk, rules)
 
-    df = deduplicate(raw, table, pk, rules)
+    df = deduplicate(raw, table, pk, rules, arrival).drop(*arrival)
 
     edits = standardise.date_edits(df, rules.date_columns.get(table, ()))
     df = apply_edits(df, edits, keep_flags=True)
@@ -103,6 +108,7 @@ def clean(
     rules: CleaningRules = DEFAULT_RULES,
     stage_dir: str | None = None,
     approximate: bool = False,
+    arrival: Sequence[str] = (),
 ) -> CleanResult:
     """Clean every known table that is there, parents before children.
 
@@ -110,13 +116,17 @@ def clean(
     every executor can reach) each table is written as it came, where medians
     and modes need it after its row-wise steps, and with its flags at the end:
     every input is read once, and rows and audit come from the same files.
+    ``arrival`` names columns that hold the order in which rows came (see
+    ``load_csv_tables(arrival=True)``); without, the primary key decides.
     """
     stage = written_stage(stage_dir) if stage_dir else as_is
     done: dict[str, CleanTable] = {}
     for table in model.CLEANING_ORDER:
         if table in tables:
             parents = {name: parent.keys for name, parent in done.items()}
-            done[table] = clean_table(table, tables[table], parents, rules, stage, approximate)
+            done[table] = clean_table(
+                table, tables[table], parents, rules, stage, approximate, arrival
+            )
     if not done:
         raise ValueError("none of the known tables is present")
     cleaned = {name: result.df for name, result in done.items()}

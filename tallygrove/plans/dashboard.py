@@ -218,6 +218,9 @@ def trend_top(progress: DataFrame, top: int = TOP_PROGRAMS) -> DataFrame:
         .limit(top)
         .select("program_name", F.col("program_name").alias("top_name"))
     )
+    # A line holds one row per quarter.
+    in_line = Window.partitionBy("line").orderBy("fiscal_year", "quarter_num")
+    previous = F.lag("total_actual").over(in_line)
     return (
         quarters.join(F.broadcast(largest), "program_name", "left")
         .groupBy(
@@ -238,6 +241,8 @@ def trend_top(progress: DataFrame, top: int = TOP_PROGRAMS) -> DataFrame:
             labels.achievement_light(F.col("total_actual"), F.col("total_target")).alias(
                 "rag_status"
             ),
+            rounded_percent(F.col("total_actual") - previous, previous).alias("qoq_growth_pct"),
+            labels.momentum(F.col("total_actual"), previous).alias("momentum"),
         )
     )
 

@@ -5,6 +5,7 @@ Fixed values: view and column names.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -41,22 +42,30 @@ def v_programme_progress(tables: Tables) -> DataFrame:
     )
 
 
-def _with_dimensions(people: DataFrame, tables: Tables) -> DataFrame:
-    """People with their program and region; an unmatched program id is NULL."""
+def dimension_sides(tables: Tables, measure: bool = True) -> dict[str, Side]:
+    """Programs and regions for joins to people; measured once, where asked for."""
     programs = tables["programs"].select(
         F.col("program_id").alias("__program"), "program_id", "program_name", "sector"
     )
     regions = tables["regions"].select(
         F.col("region_id").alias("__region"), "state", "district", "region_type"
     )
-    sides = measured({"programs": programs, "regions": regions})
+    dims = {"programs": programs, "regions": regions}
+    return measured(dims) if measure else {k: Side(df, small=False) for k, df in dims.items()}
+
+
+def _with_dimensions(people: DataFrame, sides: Mapping[str, Side]) -> DataFrame:
+    """People with their program and region; an unmatched program id is NULL."""
     joined = join_dimension(people, sides["programs"], "__person_program", "__program")
     return join_dimension(joined, sides["regions"], "region_id", "__region")
 
 
-def v_beneficiary_360(tables: Tables) -> DataFrame:
+def v_beneficiary_360(tables: Tables, sides: Mapping[str, Side] | None = None) -> DataFrame:
     """One row per person with service and assessment totals.
 
+    ``sides`` are those of :func:`dimension_sides`; without, dimensions are
+    measured now, which runs a small job.
+
     ``latest_score_pct`` is the best score; the name is part of the contract.
     """
     people = tables["beneficiaries"].withColumnRenamed("program_id", "__person_program")
@@ -67,7 +76,7 @@ def v_beneficiary_360(tables: Tables) -> DataFrame:
     zero = F.lit(0).cast("bigint")
     counted = people.join(services, "beneficiary_id", "left").join(tests, "beneficiary_id", "left")
     return (
-        _with_dimensions(counted, tables)
+        _with_dimensions(counted, sides or dimension_sides(tables))
         .select(
             "beneficiary_id",
             "full_name",
@@ -94,15 +103,17 @@ def v_beneficiary_360(tables: Tables) -> DataFrame:
     )
 
 
-def v_outcome_effectiveness(tables: Tables) -> DataFrame:
-    """One row per person with a matched pre and post test."""
+def v_outcome_effectiveness(
+    tables: Tables, sides: Mapping[str, Side] | None = None
+) -> DataFrame:
+    """One row per person with a matched pre and post test; ``sides`` as for people."""
     people = tables["beneficiaries"].select(
         "beneficiary_id", "full_name", "gender", "age", "income_bracket", "is_disabled",
         "region_id", F.col("program_id").alias("__person_program"),
     )
     pairs = blocks.matched_pairs(tables["assessments"]).join(people, "beneficiary_id")
     return (
-        _with_dimensions(pairs, tables)
+        _with_dimensions(pairs, sides or dimension_sides(tables))
         .select(
             "beneficiary_id",
             "full_name",
@@ -209,13 +220,19 @@ VIEWS = {
 }
 
 
-def build_views(tables: Tables) -> dict[str, DataFrame]:
-    return {name: build(tables) for name, build in VIEWS.items()}
+def build_views(tables: Tables, measure: bool = True) -> dict[str, DataFrame]:
+    """All five views; dimensions are measured once for all, or left to Catalyst."""
+    sides = dimension_sides(tables, measure)
+    people = ("v_beneficiary_360", "v_outcome_effectiveness")
+    return {name: build(tables, sides) if name in people else build(tables) for name, build in VIEWS.items()}
 
 
 def register_views(spark: SparkSession, tables: Tables) -> DataFrame:
-    """(Re)create the five temp views; report name, rows and columns of each."""
-    views = build_views(tables)
+    """(Re)create the five temp views; report name, rows and columns of each.
+
+    A view outlives what was measured, so it carries no broadcast hint.
+    """
+    views = build_views(tables, measure=False)
     for name, df in views.items():
         df.createOrReplaceTempView(name)
     return view_catalog(views)

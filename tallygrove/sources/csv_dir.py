@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tallygrove.rules import MISSING_MARKS
 
+ARRIVAL = ("__file", "__block", "__row")
 _STEM = r"([^/]+)\.csv(/[^/]*)?$"
 
 
@@ -30,7 +31,9 @@ def csv_table_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(row.stem for row in stems.collect())
 
 
-def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
+def read_csv(
+    spark: SparkSession, path: str, multi_line: bool = True, arrival: bool = False
+) -> DataFrame:
     """One raw table, every column as text, missing marks as NULL.
 
     Columns are matched by the header, so a file may leave some out or order
@@ -41,17 +44,24 @@ def read_csv(spark: SparkSession, path: str, multi_line: bool = True) -> DataFra
     reader = spark.read.option("header", True).option("enforceSchema", False)
     df = reader.option("multiLine", multi_line).option("escape", '"').csv(path)
     columns = {c: F.col(f"`{c}`") for c in df.columns}
+    # A task reads its part of a file from the top, so its row numbers follow the file.
+    order = (F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    places = [value.alias(name) for name, value in zip(ARRIVAL, order, strict=True)]
     return df.select(
+        *(places if arrival else ()),
         *[F.when(~value.isin(list(MISSING_MARKS)), value).alias(c) for c, value in columns.items()]
     )
 
 
 def load_csv_tables(
-    spark: SparkSession, folder: str, multi_line: bool = True
+    spark: SparkSession, folder: str, multi_line: bool = True, arrival: bool = False
 ) -> dict[str, DataFrame]:
-    """Every ``*.csv`` of a folder as a raw table named after its file."""
+    """Every ``*.csv`` of a folder as a raw table named after its file.
+
+    ``arrival`` adds the columns of ``ARRIVAL``: file and place in it.
+    """
     names = csv_table_names(spark, folder)
     if not names:
         raise ValueError(f"No CSV files found in: {folder}")
     base = folder.rstrip("/")
-    return {name: read_csv(spark, f"{base}/{name}.csv", multi_line) for name in names}
+    return {name: read_csv(spark, f"{base}/{name}.csv", multi_line, arrival) for name in names}

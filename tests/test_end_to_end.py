@@ -168,6 +168,17 @@ def test_csv_with_line_breaks_comes_back(spark, tmp_path):
     assert sorted((r.delivery_id, r.remarks) for r in back) == rows
 
 
+def test_first_of_a_duplicate_group_by_place_in_the_file(spark, tmp_path):
+    lines = ["staff_id,full_name,phone", "S9,Ana,1", "S10,Ana,1", "S8,Ana,1"]
+    (tmp_path / "staff.csv").write_text("\n".join(lines) + "\n")
+    raw = csv_dir.load_csv_tables(spark, str(tmp_path), arrival=True)
+    by_place = clean(raw, arrival=csv_dir.ARRIVAL).tables["staff"]
+    assert [r.staff_id for r in by_place.collect()] == ["S9"]
+    assert by_place.columns == ["staff_id", "full_name", "phone"]
+    plain = clean(csv_dir.load_csv_tables(spark, str(tmp_path))).tables["staff"]
+    assert [r.staff_id for r in plain.collect()] == ["S10"]
+
+
 def test_only_the_top_level_is_loaded(spark, tmp_path):
     (tmp_path / "sub").mkdir()
     for name in ("donors.csv", "sub/old.csv"):
