@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from tallygrove.llm.shared import host_of, in_pieces, look_up, map_texts, staged, text_of, type_of
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<[!?][^>]*(?:>|\Z)"
     r"|</?[a-zA-Z](?:[^<>\"']|\"[^\"<]*\"|'[^'<]*')*>|</?[a-zA-Z][^<>]*(?:>|\Z|(?=<))",
     re.DOTALL,
 )
@@ -30,7 +30,7 @@ _NAME = re.compile(r"</?([a-zA-Z][^\s/>]*)")
 _ATTRIBUTE = re.compile(r"""([a-zA-Z-]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+))?""")
 
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-_RAW = frozenset("script style textarea title noscript iframe template svg".split())
+_RAW = frozenset("script style textarea title iframe noembed noframes xmp".split())
 _BLOCKS = frozenset(
     "address article aside blockquote body center dd details dialog div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td "
@@ -44,7 +44,7 @@ _ENDS = {
     "th": {"td", "th"}, "option": {"option"},
 }
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
-_NOISE_TAGS = frozenset("nav footer aside form button select dialog menu search head".split()) | _RAW
+_NOISE_TAGS = _RAW.union("nav footer aside form button select dialog menu search head noscript template svg".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 _NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "

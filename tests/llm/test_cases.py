@@ -343,6 +343,23 @@ def test_noisy_names(name, noise):
     assert html_extract._noisy_name(name) is noise
 
 
+@pytest.mark.parametrize(
+    ("page", "text"),
+    [
+        ("<p>a<!-->b<!-- c --!>d<!-- e", "abd"),
+        ("<svg><text>no</text><p>a", ""),
+        ("<p>a<script>if (1 < 2) '</p>'</SCRIPT >b<style>c", "ab"),
+        ("<p title='x > y'>a &lt;b&gt; &amp;amp; c&nbsp; d", "a <b> &amp; c d"),
+        ("<p title=\"open>a<p>b", "a\nb"),
+        ("<table><tr><td>a<td>b<tr><td>c</table>", "a\nb\nc"),
+        ("a < b and c > d", "a < b and c > d"),
+        ("<div hidden>no</div><div style='display: none'>no</div><div role=navigation>no</div>yes", "yes"),
+    ],
+)
+def test_markup(page, text):
+    assert html_extract.extract(page, None) == text
+
+
 def test_headers_inside_the_article_keep_their_headings():
     page = '<header>Site</header><article><header><h1>Head</h1><p>By someone</p></header><p>Text of it</p><div class="ad-box">Buy</div></article><section id="comments"><article>I liked it so much that I wrote it down here</article></section>'
     assert html_extract.extract(page, None) == "Head\nText of it"
