@@ -108,29 +108,26 @@ class Reference(NamedTuple):
     parent: str
 
 
-REFERENCES: tuple[Reference, ...] = tuple(
-    Reference(*edge.split())
-    for edge in (
-        "programs region_id regions",
-        "staff region_id regions",
-        "funding donor_id donors",
-        "funding program_id programs",
-        "interventions program_id programs",
-        "interventions staff_id staff",
-        "interventions region_id regions",
-        "beneficiaries region_id regions",
-        "beneficiaries program_id programs",
-        "service_delivery beneficiary_id beneficiaries",
-        "service_delivery intervention_id interventions",
-        "assessments beneficiary_id beneficiaries",
-        "assessments intervention_id interventions",
-        "assessments assessor_staff_id staff",
-        "outcome_tracking program_id programs",
-        "outcome_tracking indicator_id impact_indicators",
-        "outcome_tracking verified_by staff",
-        "expenses program_id programs",
-        "expenses approved_by staff",
-    )
+REFERENCES: tuple[Reference, ...] = (
+    Reference("programs", "region_id", "regions"),
+    Reference("staff", "region_id", "regions"),
+    Reference("funding", "donor_id", "donors"),
+    Reference("funding", "program_id", "programs"),
+    Reference("interventions", "program_id", "programs"),
+    Reference("interventions", "staff_id", "staff"),
+    Reference("interventions", "region_id", "regions"),
+    Reference("beneficiaries", "region_id", "regions"),
+    Reference("beneficiaries", "program_id", "programs"),
+    Reference("service_delivery", "beneficiary_id", "beneficiaries"),
+    Reference("service_delivery", "intervention_id", "interventions"),
+    Reference("assessments", "beneficiary_id", "beneficiaries"),
+    Reference("assessments", "intervention_id", "interventions"),
+    Reference("assessments", "assessor_staff_id", "staff"),
+    Reference("outcome_tracking", "program_id", "programs"),
+    Reference("outcome_tracking", "indicator_id", "impact_indicators"),
+    Reference("outcome_tracking", "verified_by", "staff"),
+    Reference("expenses", "program_id", "programs"),
+    Reference("expenses", "approved_by", "staff"),
 )
 
 # Parents stand before their children; the issue log is copied, not cleaned.
@@ -159,24 +156,21 @@ class StarEdge(NamedTuple):
 
 
 # Dashboard relationships, all many-to-one.
-STAR_EDGES: tuple[StarEdge, ...] = tuple(
-    StarEdge(*edge.split())
-    for edge in (
-        "programs region_id regions left",
-        "staff region_id regions left",
-        "beneficiaries region_id regions left",
-        "beneficiaries program_id programs left",
-        "funding donor_id donors inner",
-        "funding program_id programs inner",
-        "expenses program_id programs inner",
-        "interventions program_id programs inner",
-        "interventions staff_id staff left",
-        "service_delivery beneficiary_id beneficiaries inner",
-        "service_delivery intervention_id interventions inner",
-        "assessments beneficiary_id beneficiaries inner",
-        "outcome_tracking program_id programs inner",
-        "outcome_tracking indicator_id impact_indicators inner",
-    )
+STAR_EDGES: tuple[StarEdge, ...] = (
+    StarEdge("programs", "region_id", "regions", "left"),
+    StarEdge("staff", "region_id", "regions", "left"),
+    StarEdge("beneficiaries", "region_id", "regions", "left"),
+    StarEdge("beneficiaries", "program_id", "programs", "left"),
+    StarEdge("funding", "donor_id", "donors", "inner"),
+    StarEdge("funding", "program_id", "programs", "inner"),
+    StarEdge("expenses", "program_id", "programs", "inner"),
+    StarEdge("interventions", "program_id", "programs", "inner"),
+    StarEdge("interventions", "staff_id", "staff", "left"),
+    StarEdge("service_delivery", "beneficiary_id", "beneficiaries", "inner"),
+    StarEdge("service_delivery", "intervention_id", "interventions", "inner"),
+    StarEdge("assessments", "beneficiary_id", "beneficiaries", "inner"),
+    StarEdge("outcome_tracking", "program_id", "programs", "inner"),
+    StarEdge("outcome_tracking", "indicator_id", "impact_indicators", "inner"),
 )
 
 

@@ -113,11 +113,29 @@ FILL = {
 }
 
 INTEGER_COLUMNS = frozenset(
-    "age household_size is_disabled is_active planned_attendance actual_attendance "
-    "dosage target_beneficiaries receipt_available resolved".split()
+    {
+        "age",
+        "household_size",
+        "is_disabled",
+        "is_active",
+        "planned_attendance",
+        "actual_attendance",
+        "dosage",
+        "target_beneficiaries",
+        "receipt_available",
+        "resolved",
+    }
 )
 FLOAT_COLUMNS = frozenset(
-    "score max_score target_value actual_value amount_inr latitude longitude".split()
+    {
+        "score",
+        "max_score",
+        "target_value",
+        "actual_value",
+        "amount_inr",
+        "latitude",
+        "longitude",
+    }
 )
 
 DUPLICATE_TAG = "-DUP"
