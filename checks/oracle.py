@@ -727,9 +727,10 @@ ORACLE["sink_tables"] = with_views(
 _DIRTY = "beneficiaries_dirty service_delivery_dirty assessments_dirty regions_dirty"
 
 
-def _schema_rows(table: str) -> str:
-    view = f"{table}_dirty"
-    present = {
+def _schema_rows(table: str, raw: bool = False) -> str:
+    view = f"{table}_raw" if raw else f"{table}_dirty"
+    is_number = whole.number if raw else globals()["is_number"]
+    present = [f.name for f in model.clean_schema(table)] if raw else {
         "beneficiaries": "beneficiary_id full_name age gender phone region_id registration_date "
         "household_size education_level",
         "service_delivery": "delivery_id beneficiary_id status dosage",
@@ -768,6 +769,12 @@ ORACLE["schema_check"] = with_views(
     _DIRTY,
     " union all ".join(_schema_rows(t) for t in ("beneficiaries", "service_delivery", "assessments")),
 )
+_WHOLE = " ".join(f"{t}_raw" for t in whole.VIEWS)
+ORACLE["schema_check_whole"] = with_views(
+    _WHOLE, " union all ".join(_schema_rows(t, raw=True) for t in whole.VIEWS)
+)
+ORACLE["star_keys_whole"] = with_views(_WHOLE, whole.keys_sql())
+ORACLE["star_join_whole"] = with_views(_WHOLE, whole.star_sql())
 ORACLE["clean_drop_tagged_dups"] = with_views(
     "beneficiaries_dirty",
     """select beneficiary_id, full_name, phone from beneficiaries_dirty
@@ -918,7 +925,7 @@ ORACLE["clean_all_tables"] = with_views(
 
 _CELLS, _CELL_STEPS = whole.clean_sql(deduped, to_date, mapped)
 ORACLE["clean_whole_schema"] = with_views(
-    " ".join(f"{t}_raw" for t in whole.VIEWS), _CELLS, *_CELL_STEPS
+    _WHOLE, _CELLS, *_CELL_STEPS
 )
 
 

@@ -9,6 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from checks import whole
 from checks.fixtures import base_table, clean_sample, dirty_sample, raw_sample
 from tallygrove import model
 from tallygrove.functions import labels, periods
@@ -116,6 +117,31 @@ def schema_report(spark, sf_dir):
 QUERIES["schema_check"] = QUERIES.pop("schema_report")
 
 
+@query
+def schema_check_whole(spark, sf_dir):
+    return schema_check(raw_sample(spark, sf_dir).all())
+
+
+@query
+def star_keys_whole(spark, sf_dir):
+    return joins.repeated_keys(raw_sample(spark, sf_dir).all())
+
+
+@query
+def star_join_whole(spark, sf_dir):
+    """Rows and matched dimension rows of every fact, over all declared relationships."""
+    tables = raw_sample(spark, sf_dir).all()
+
+    def counted(fact: str) -> DataFrame:
+        edges = model.star_edges_of(fact)
+        matched = [F.count(f"{e.dimension}_{whole.LABEL[e.dimension]}") for e in edges]
+        total = reduce(lambda a, b: a + b, matched)
+        joined = joins.star_join(tables, fact)
+        return joined.agg(F.lit(fact).alias("fact"), F.count("*").alias("n_rows"), total.alias("n_matched"))
+
+    return union_all(counted(f) for f in dict.fromkeys(e.fact for e in model.STAR_EDGES))
+
+
 # -- cleaning ----------------------------------------------------------------
 
 

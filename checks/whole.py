@@ -145,10 +145,42 @@ VIEWS: dict[str, str] = {
 }
 
 
+# A column of each dimension that is never missing.
+LABEL = {
+    "regions": "state", "programs": "program_name", "donors": "donor_name", "staff": "full_name",
+    "beneficiaries": "full_name", "interventions": "title", "impact_indicators": "indicator_name",
+}
+
+
+def star_sql() -> str:
+    """Rows and matched dimension rows of every fact."""
+    parts = []
+    for fact in dict.fromkeys(e.fact for e in model.STAR_EDGES):
+        edges = model.star_edges_of(fact)
+        joins = " ".join(
+            f"{e.how} join {e.dimension}_raw d{i} on f.{e.column} = d{i}.{model.PRIMARY_KEY[e.dimension]}"
+            for i, e in enumerate(edges)
+        )
+        matched = " + ".join(f"count(d{i}.{LABEL[e.dimension]})" for i, e in enumerate(edges))
+        parts.append(
+            f"select '{fact}' fact, count(*) n_rows, {matched} n_matched from {fact}_raw f {joins}"
+        )
+    return " union all ".join(parts)
+
+
+def keys_sql() -> str:
+    return " union all ".join(
+        f"""select '{t}' table_name, cast(sum(n) as bigint) n_rows, count(k) n_keys,
+          count(*) filter (where n > 1) n_repeated
+        from (select {model.PRIMARY_KEY[t]} k, count(*) n from {t}_raw group by 1) x"""
+        for t in VIEWS
+    )
+
+
 # -- the cleaner in SQL ------------------------------------------------------
 
 
-def _number(x: str) -> str:
+def number(x: str) -> str:
     return f"(case when abs(try_cast({x} as double)) < cast('inf' as double) then try_cast({x} as double) end)"
 
 
@@ -161,9 +193,9 @@ def _edited(table: str, column: str, to_date, mapped) -> str:
         return f"coalesce({mapped(column, maps[column])}, {column})"
     if column in RULES.bounds:
         low, high = RULES.bounds[column]
-        tests = [f"{_number(column)}<{low}"] + ([f"{_number(column)}>{high}"] if high is not None else [])
+        tests = [f"{number(column)}<{low}"] + ([f"{number(column)}>{high}"] if high is not None else [])
         if column in COLUMN_BOUNDS:
-            tests.append(f"{_number(column)}>{_number(COLUMN_BOUNDS[column])}")
+            tests.append(f"{number(column)}>{number(COLUMN_BOUNDS[column])}")
         return f"case when not coalesce({' or '.join(f'coalesce({t}, false)' for t in tests)}, false) then {column} end"
     return column
 
@@ -173,7 +205,7 @@ def _final(table: str, column: str, kind: str) -> str:
     how = RULES.fill.get(table, {}).get(column)
     x = column
     if how == "median":
-        x = f"coalesce({_number(x)}, (select median({_number(x)}) from {table}_s))"
+        x = f"coalesce({number(x)}, (select median({number(x)}) from {table}_s))"
     elif how == "unknown":
         x = f"coalesce({x}, 'Unknown')"
     elif how == "zero":
@@ -184,9 +216,9 @@ def _final(table: str, column: str, kind: str) -> str:
     if kind == "date":
         return x
     if column in RULES.integer_columns:
-        return f"cast(floor({_number(x)}+0.5) as int)"
+        return f"cast(floor({number(x)}+0.5) as int)"
     if column in RULES.float_columns:
-        return f"cast({_number(x)} as decimal(15,2))" if kind.startswith("decimal") else _number(x)
+        return f"cast({number(x)} as decimal(15,2))" if kind.startswith("decimal") else number(x)
     return f"trim({x})"
 
 
