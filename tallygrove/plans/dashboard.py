@@ -26,6 +26,7 @@ from tallygrove.functions.numbers import (
     tenths,
 )
 from tallygrove.operators.dimensions import one_dimension_totals
+from tallygrove.operators.joins import grid
 from tallygrove.plans import views
 from tallygrove.plans.blocks import Tables
 
@@ -189,7 +190,7 @@ def cost_bars(cost: DataFrame) -> DataFrame:
         F.count_if(F.hash("program_name", "sector", "total_target") == 0).alias("n"),
     ).filter("n >= 0")
     portfolio = round_half_away(safe_ratio(F.col("all_spend"), F.col("all_actual")), 2)
-    return by_program.join(F.broadcast(total)).select(
+    return grid(by_program, total, "program_name").select(
         "program_name",
         "sector",
         "total_spend_inr",
