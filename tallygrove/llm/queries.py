@@ -12,6 +12,7 @@ from tallygrove.llm import (
     html_extract,
     line_dedup,
     mixing,
+    passage_dedup,
     pii,
     quality_classifier,
     quality_rules,
@@ -43,6 +44,12 @@ def op1_line_dedup(spark, sf_dir):
     return line_dedup.line_dedup(docs.select("doc_id", "text"))
 
 
+@query
+def op1_passage_dedup(spark, sf_dir):
+    docs = _table(spark, sf_dir, "documents")
+    return passage_dedup.passage_dedup(docs.select("doc_id", "text"))
+
+
 def _span_digest(found: DataFrame, kinds: tuple[str, ...]) -> DataFrame:
     """Counts per base kind, the digest of the base spans, and all spans."""
 
