@@ -44,7 +44,7 @@ _ENDS = {
     "th": {"td", "th"}, "option": {"option"},
 }
 _SCOPE = {"li": {"ul", "ol", "menu"}, "dt": {"dl"}, "dd": {"dl"}, "tr": {"table"}, "td": {"tr", "table"}, "th": {"tr", "table"}}
-_NOISE_TAGS = _RAW.union("nav footer aside form button select dialog menu search head noscript template svg".split())
+_NOISE_TAGS = _RAW.union("nav footer aside button select dialog menu search head noscript template svg".split())
 _NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dialog alert menu menubar".split())
 _NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent cookie "
@@ -52,9 +52,21 @@ _NOISE_WORDS = frozenset(
     "promotion recommended related replies respond share sharing sidebar signup social sponsor sponsored subscribe "
     "teaser toolbar topbar widget".split()
 )
-_NOISE_STARTS = (
-    "advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "newsletter", "promo", "sidebar", "sponsor",
-)
+# Compounds written as one word.
+_NOISE_WORDS |= frozenset(
+    "advertise advertorial commentarea commentbody commentbox commentform commentlist commentsection commentwrap "
+    "cookiebanner cookiebar cookieconsent cookienotice footerwrap footers navbars newsletters promobox promos sidebars "
+    "sponsors".split()
+)
+_ANYWHERE = frozenset(
+    w
+    for w in _NOISE_WORDS
+    if w.startswith(("advert", "breadcrumb", "comment", "cookie", "footer", "navbar", "newsletter", "promo", "sidebar", "sponsor"))
+)
+# These often hold more text than the article does.
+_REMARK_WORDS = frozenset("disqus replies respond".split()).union(w for w in _NOISE_WORDS if w.startswith("comment"))
+# What holds the article; these and a headline are looked for below noise.
+_LANDMARKS = frozenset("article main".split())
 # Names such as "content-with-sidebar" tell of a layout, and "post-header" of a headline.
 _LAYOUT_WORDS = frozenset("with without has no".split())
 _CONTENT_WORDS = frozenset("article content entry post story".split())
@@ -67,8 +79,12 @@ class Node:
     tag: str
     parent: int
     name: str
-    noise: bool
     link: bool
+    hidden: bool = False  # noise by tag, role or style
+    named: bool = False  # noise by name, or a form
+    remarks: bool = False
+    headline: bool = False
+    noise: bool = False
     soft: bool = False
     content: int = 0
     visible: int = 0
@@ -88,7 +104,8 @@ def _noisy_name(name: str) -> bool:
     if not words or _LAYOUT_WORDS.intersection(words) or _headline(words):
         return False
     ends = {words[0], words[-1]}
-    return bool(_NOISE_WORDS & ends) or any(w.startswith(_NOISE_STARTS) for w in words)
+    # The plain words of page furniture count anywhere in a name, the others at its ends.
+    return bool(_NOISE_WORDS & ends) or bool(_ANYWHERE.intersection(words))
 
 
 def _headline(words: list[str]) -> bool:
@@ -99,10 +116,16 @@ def _names(attributes: dict[str, str]) -> list[str]:
     return [*attributes.get("class", "").split(), attributes.get("id", "")]
 
 
-def _noisy(tag: str, attributes: dict[str, str]) -> bool:
+def _hidden(tag: str, attributes: dict[str, str]) -> bool:
     if tag in _NOISE_TAGS or "hidden" in attributes or attributes.get("aria-hidden") == "true":
         return True
-    if attributes.get("role", "") in _NOISE_ROLES or re.search(r"display\s*:\s*none", attributes.get("style", "")):
+    return attributes.get("role", "") in _NOISE_ROLES or bool(
+        re.search(r"display\s*:\s*none", attributes.get("style", ""))
+    )
+
+
+def _named(tag: str, attributes: dict[str, str]) -> bool:
+    if tag == "form":
         return True
     return tag not in ("html", "body", "main") and any(map(_noisy_name, _names(attributes)))
 
@@ -111,7 +134,7 @@ def parse(html: str) -> Page:
     """One pass over the markup; text is gathered up to the next block tag."""
     page = Page()
     nodes = page.nodes
-    nodes.append(Node("html", -1, "", False, False))
+    nodes.append(Node("html", -1, "", False))
     stack, opened = [0], defaultdict(int)
     buffer: list[str] = []
     link_chars = 0
@@ -184,19 +207,91 @@ def parse(html: str) -> Page:
         for a in _ATTRIBUTE.finditer(m[0], name.end()):
             attributes.setdefault(a[1].lower(), unescape((a[2] or "").strip("\"'")))
         label = ".".join([tag, *sorted(_NUMBERS.sub("", c).lower() for c in attributes.get("class", "").split())])
-        noise = up.noise or _noisy(tag, attributes)
         inside = any(nodes[i].tag in ("article", "main") for i in stack[-8:])
-        headline = tag == "header" or any(_headline([w.lower() for w in _WORDS.findall(x)] or [""]) for x in _names(attributes))
-        soft = up.soft or (headline and not noise)
-        if tag == "header" and not inside:
-            noise, soft = True, False
-        nodes.append(Node(tag, stack[-1], label, noise, up.link or tag == "a", soft))
+        hidden = _hidden(tag, attributes) or (tag == "header" and not inside)
+        named = not hidden and _named(tag, attributes)
+        words = [[w.lower() for w in _WORDS.findall(x)] or [""] for x in _names(attributes)]
+        remarks = named and any(_REMARK_WORDS.intersection(w) for w in words)
+        headline = tag == "header" or any(map(_headline, words))
+        nodes.append(Node(tag, stack[-1], label, up.link or tag == "a", hidden, named, remarks, headline))
         stack.append(len(nodes) - 1)
         opened[tag] += 1
     flush()
+    judge(page)
     return page
 
 
+def judge(page: Page) -> None:
+    """Set ``noise`` and ``soft``; a name, or a form, does not hide the article.
+
+    Weighed without names, an element that they call noise is kept if it holds
+    an article, main or h1 while none of its kind is in sight, or most of the
+    page's text and no article beside it is in sight.  Readers' remarks are
+    kept only if nothing else is.
+    """
+    nodes = page.nodes
+    _spread(nodes)
+    if not any(n.named for n in nodes):
+        return
+    shut = [n.hidden for n in nodes]
+    for i, n in enumerate(nodes[1:], 1):
+        shut[i] |= shut[n.parent]
+    text = [0] * len(nodes)
+    own: dict[int, int] = defaultdict(int)
+    for i, block, links, _ in page.blocks:
+        if not shut[i]:
+            own[i] += max(0, len(block) - links)
+            text[i] = own[i]
+    landmark = [n.tag in _LANDMARKS and not s for n, s in zip(nodes, shut, strict=True)]
+    title = [n.tag == "h1" and not s for n, s in zip(nodes, shut, strict=True)]
+    for i in range(len(nodes) - 1, 0, -1):
+        up = nodes[i].parent
+        text[up] += text[i]
+        # An empty landmark holds no article.
+        landmark[i] &= text[i] > 0
+        title[i] &= text[i] > 0
+        landmark[up] |= landmark[i]
+        title[up] |= title[i]
+    whole = text[0]
+    while whole:
+        clean = [i for i, n in enumerate(nodes) if n.tag in _LANDMARKS and not n.noise]
+        seen: dict[int, int] = defaultdict(int)
+        for i, _, _, _ in page.blocks:
+            if not nodes[i].noise:
+                seen[i] += own[i]
+        sight = [seen[i] for i in range(len(nodes))]
+        for i in range(len(nodes) - 1, 0, -1):
+            sight[nodes[i].parent] += sight[i]
+        clean = [i for i in clean if sight[i]]
+        titled = any(n.tag == "h1" and not n.noise and sight[i] for i, n in enumerate(nodes))
+        lifted = False
+        for i, n in enumerate(nodes):
+            if not n.named or shut[i] or nodes[n.parent].noise:
+                continue
+            large = 2 * text[i] > whole
+            if not (landmark[i] or title[i] or large) or (n.remarks and sight[0]):
+                continue
+            above, k = set(), i
+            while k >= 0:
+                above.add(k)
+                k = nodes[k].parent
+            beside = any(c not in above for c in clean)
+            if (landmark[i] and not clean) or (title[i] and not titled) or (large and not beside):
+                n.named = False
+                lifted = True
+        if not lifted:
+            return
+        _spread(nodes)
+
+
+def _spread(nodes: list[Node]) -> None:
+    """Noise and headlines reach down to all that is below."""
+    for i, n in enumerate(nodes):
+        up = nodes[n.parent] if i else Node("", -1, "", False)
+        n.noise = up.noise or n.hidden or n.named
+        n.soft = up.soft or (n.headline and not n.noise)
+
+
 def _kept(node: Node, heading: bool) -> bool:
     return not node.noise and (heading or not node.soft)
 

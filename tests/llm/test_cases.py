@@ -364,3 +364,36 @@ def test_headers_inside_the_article_keep_their_headings():
     page = '<header>Site</header><article><header><h1>Head</h1><p>By someone</p></header><p>Text of it</p><div class="ad-box">Buy</div></article><section id="comments"><article>I liked it so much that I wrote it down here</article></section>'
     assert html_extract.extract(page, None) == "Head\nText of it"
     assert html_extract.extract(page, "article") == "Head\nText of it"
+
+
+ARTICLE = "<h1>Head</h1><p>" + "Some words of the article. " * 9 + "</p>"
+ARTICLE_TEXT = "Head\n" + ("Some words of the article. " * 9).strip()
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<body><form action=/><nav>Menu</nav><div id=content>{ARTICLE}</div><div class=ad>Buy</div></form>",
+        f"<form><article>{ARTICLE}</article><div class=ad>Buy</div></form>",
+        f"<div class=elementor-widget><article>{ARTICLE}</article></div><div class=sidebar>More</div>",
+        *(
+            f"<div class={name}>{ARTICLE}</div><p><a href=/>Elsewhere</a></p>"
+            for name in (
+                "commentary", "opinion-commentary", "social-policy", "promotions-article", "menu-of-the-week",
+                "cookie-recipes", "comments",
+            )
+        ),
+        f"<main><div class=elementor-widget>{ARTICLE}</div></main>",
+        f"<article>{ARTICLE}</article><form><p>{'Leave us a word or two. ' * 30}</form>",
+        f"<article>{ARTICLE}</article><div class=ad><h2>Buy</h2><p>{'Cheap things. ' * 60}</div>",
+        f"<div class=content>{ARTICLE}</div><section id=comments><article>{'I liked it. ' * 60}</article></section>",
+    ],
+)
+def test_names_and_forms_do_not_hide_the_article(page):
+    text = html_extract.extract(page, None)
+    assert [x for x in text.split("\n") if x != "Elsewhere"] == ARTICLE_TEXT.split("\n")
+
+
+@pytest.mark.parametrize("name", ["commentary", "opinion-commentary", "promotions-article"])
+def test_longer_words_are_no_noise(name):
+    assert not html_extract._noisy_name(name)
