@@ -84,6 +84,8 @@ class Node:
     named: bool = False  # noise by name, or a form
     remarks: bool = False
     headline: bool = False
+    inside: bool = False  # below an article or main
+    heading: bool = False  # a heading or below one
     noise: bool = False
     soft: bool = False
     content: int = 0
@@ -144,8 +146,7 @@ def parse(html: str) -> Page:
         nonlocal link_chars
         text = " ".join("".join(buffer).split())
         if text:
-            heading = any(nodes[i].tag in _HEADINGS for i in stack[-3:])
-            page.blocks.append((stack[-1], text, link_chars, heading))
+            page.blocks.append((stack[-1], text, link_chars, nodes[stack[-1]].heading))
         buffer.clear()
         link_chars = 0
 
@@ -207,13 +208,14 @@ def parse(html: str) -> Page:
         for a in _ATTRIBUTE.finditer(m[0], name.end()):
             attributes.setdefault(a[1].lower(), unescape((a[2] or "").strip("\"'")))
         label = ".".join([tag, *sorted(_NUMBERS.sub("", c).lower() for c in attributes.get("class", "").split())])
-        inside = any(nodes[i].tag in ("article", "main") for i in stack[-8:])
+        inside = up.inside or up.tag in _LANDMARKS
+        heading = up.heading or tag in _HEADINGS
         hidden = _hidden(tag, attributes) or (tag == "header" and not inside)
         named = not hidden and _named(tag, attributes)
         words = [[w.lower() for w in _WORDS.findall(x)] or [""] for x in _names(attributes)]
         remarks = named and any(_REMARK_WORDS.intersection(w) for w in words)
         headline = tag == "header" or any(map(_headline, words))
-        nodes.append(Node(tag, stack[-1], label, up.link or tag == "a", hidden, named, remarks, headline))
+        nodes.append(Node(tag, stack[-1], label, up.link or tag == "a", hidden, named, remarks, headline, inside, heading))
         stack.append(len(nodes) - 1)
         opened[tag] += 1
     flush()
@@ -348,19 +350,35 @@ def text_in(page: Page, roots: set[int]) -> str:
     return "\n".join(t for i, t, _, heading in page.blocks if below[i] and _kept(page.nodes[i], heading))
 
 
+def _content(page: Page, roots: set[int]) -> int:
+    """Content below the roots; what lies below two of them counts once."""
+    below = [False] * len(page.nodes)
+    total = 0
+    for i, node in enumerate(page.nodes):
+        above = i > 0 and below[node.parent]
+        below[i] = above or i in roots
+        total += node.content if below[i] and not above else 0
+    return total
+
+
 def extract(html: str, path: str | None) -> str:
-    """The text below the elements with the path, else below the page's best container."""
+    """The text below the elements with the path, else below the page's best container.
+
+    The path must hold half of what the best container does at least: on a host
+    with several templates it may be a teaser's here.
+    """
     page = parse(html)
     weigh(page)
+    best = candidates(page, 1)
     if path is not None:
         names = [i for i, n in enumerate(page.nodes) if n.tag in _CONTAINERS and not n.noise]
         last = path.rsplit("/", 1)[-1]
         likely = [i for i in names if page.nodes[i].name == last or (not path and page.nodes[i].tag in ("html", "body"))]
         hits = {i for i, p in zip(likely, paths(page, likely), strict=True) if p == path}
-        text = text_in(page, hits) if hits else ""
+        enough = not best or 2 * _content(page, hits) >= page.nodes[best[0][1]].content
+        text = text_in(page, hits) if hits and enough else ""
         if text:
             return text
-    best = candidates(page, 1)
     return text_in(page, {best[0][1]} if best else {0})
 
 

@@ -397,3 +397,16 @@ def test_names_and_forms_do_not_hide_the_article(page):
 @pytest.mark.parametrize("name", ["commentary", "opinion-commentary", "promotions-article"])
 def test_longer_words_are_no_noise(name):
     assert not html_extract._noisy_name(name)
+
+
+def test_a_teaser_under_the_path_of_the_host_is_not_the_article():
+    page = f"<div class=body><p>Read on</p></div><div class=story>{ARTICLE}</div>"
+    assert ARTICLE_TEXT in html_extract.extract(page, "div.body")
+    assert html_extract.extract(page, "div.story") == ARTICLE_TEXT
+
+
+def test_headings_far_below_count():
+    deep = "<div>" * 12 + f"<header>{ARTICLE}</header>" + "</div>" * 12
+    assert html_extract.extract(f"<article>{deep}<p>Text of it</p></article>", None) == "Head\nText of it"
+    bold = "<article><header><h1><b><i><u>Head</u></i></b></h1><p>By someone</p></header><p>Text of it</p></article>"
+    assert html_extract.extract(bold, None) == "Head\nText of it"
