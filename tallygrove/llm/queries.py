@@ -21,7 +21,7 @@ from tallygrove.llm import (
     url_filter,
 )
 from tallygrove.llm.oracle import ORACLE
-from tallygrove.llm.shared import joined_spans
+from tallygrove.llm.shared import joined_spans, staged
 
 __all__ = ["ORACLE", "QUERIES"]
 
@@ -113,6 +113,16 @@ def op9_quality_rules(spark, sf_dir):
     return entries.withColumns({"base_failed": base, "kept": ~standard})
 
 
+@query
+def op9_policies(spark, sf_dir):
+    return quality_rules.apply_policies(quality_rules.ledger(_table(spark, sf_dir, "documents")))
+
+
+@query
+def op9_ablations(spark, sf_dir):
+    return quality_rules.ablations(staged(quality_rules.ledger(_table(spark, sf_dir, "documents")), "ledger"))
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     found = decontaminate.contamination(

@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tallygrove.llm import quality_rules
 from tallygrove.llm.queries import QUERIES
 from tests.conftest import SMALL
 from tests.llm import brute
@@ -111,6 +112,23 @@ def test_quality_rules(spark, texts):
         assert not (got[i].kept and got[i].base_failed)
 
 
+def test_policies_and_ablations(spark):
+    """Both over the whole table, against the ledger that op9 returns."""
+    rows = result(spark, "op9_quality_rules")
+    policies = result(spark, "op9_policies")
+    table = {(r.policy, r.version, r.rule): r for r in QUERIES["op9_ablations"](spark, SMALL).collect()}
+    assert len(table) == sum(len(p.rules) for p in quality_rules.POLICIES)
+    for p in quality_rules.POLICIES:
+        hits = {i: r.failed_bits & p.mask() for i, r in rows.items()}
+        assert {i: r[f"kept_{p.name}_v{p.version}"] for i, r in policies.items()} == {i: not h for i, h in hits.items()}
+        for rule in (r for r in quality_rules.RULES if r.name in p.rules):
+            bit, got = 1 << rule.bit, table[p.name, p.version, rule.name]
+            assert got.n_failed == sum(bool(h & bit) for h in hits.values())
+            assert got.n_only_this == sum(h == bit for h in hits.values())
+            assert got.n_kept == sum(not h for h in hits.values())
+            assert got.n_kept_without == sum(not h & ~bit for h in hits.values())
+
+
 def test_decontaminate(spark, tables, texts):
     items = [(r.item_id, r.text) for r in tables["benchmark"]]
     wanted = brute.contamination(list(texts.items()), items)
