@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from tallygrove.llm.decontaminate import WINDOW as ITEM_WINDOW
 from tallygrove.llm.line_dedup import MIN_WORDS
+from tallygrove.llm.phrases import FIRST, LEAST, LONGEST, NO_LANGUAGE
 from tallygrove.llm.quality_rules import MEASURES, RULES, STANDARD, WINDOW
 from tallygrove.llm.shared import SPACE, WORD
+from tallygrove.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
 ORACLE: dict[str, str] = {}
 
@@ -96,3 +98,49 @@ select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(c.n, 0) as bigint
   cast(coalesce(n.n, 0) as bigint) n_items, sha256(coalesce(listed, '')) items_sha256,
   coalesce(c.n, 0) > 0 and 20 * coalesce(c.n, 0) >= len(w) contaminated
 from docs d left join covered c on d.doc_id = c.doc_id left join named n on d.doc_id = n.doc_id"""
+
+
+ORACLE["op11_phrases"] = f"""
+with pieces as (select coalesce(lang, '{NO_LANGUAGE}') lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[.,;:!?\x0A-\x0D]')) piece from documents),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') w from pieces),
+sizes as (select lang, sum(len(w)) n from split group by lang),
+grams as (select lang, w[i:i + k - 1] w from (select lang, w, k, unnest(range(1, len(w) - k + 2)) i
+    from (select lang, w, unnest(range(1, {LONGEST} + 1)) k from split) x where len(w) >= k) y),
+f as (select lang, w, count(*) f from grams group by lang, w),
+candidates as (select * from f where len(w) >= 2 and f >= {LEAST}),
+cuts as (select lang, w, f a, unnest(range(1, len(w))) k from candidates),
+scored as (select c.*, h.f l, t.f r, n,
+    (1000 * c.a::hugeint * n::hugeint) // (h.f::hugeint * t.f::hugeint) score
+  from cuts c join f h on h.lang = c.lang and h.w = c.w[1:k] join f t on t.lang = c.lang and t.w = c.w[k+1:]
+    join sizes s on s.lang = c.lang),
+lowest as (select * from scored qualify row_number() over (partition by lang, w order by score, k) = 1),
+inner_parts as (select distinct lang, f, unnest(list_distinct(flatten(list_transform(range(2, len(w)),
+    lambda m: list_transform(range(1, len(w) - m + 2), lambda i: w[i:i+m-1]))))) w from candidates where len(w) > 2),
+kept as (select * from lowest x where not exists (select 1 from inner_parts i
+    where i.lang = x.lang and i.w = x.w and 100 * i.f >= 100 * x.a)),
+ranked as (select *, row_number() over (partition by lang order by score desc, a desc, array_to_string(w, ' ')) rank from kept)
+select lang, cast(rank as bigint) rank, array_to_string(w, ' ') phrase, cast(a as bigint) a, cast(l as bigint) l,
+  cast(r as bigint) r, cast(n as bigint) n, cast(score as bigint) score from ranked where rank <= {FIRST}"""
+
+_DISTANCE = "list_sum(list_transform(range(1, len(x.q) + 1), lambda i: (x.q[i] - b.q[i]) * (x.q[i] - b.q[i])))::bigint"
+_LEAST_OF = "arg_min(b.e, {d}::hugeint * 1000 + b.e) e, min({d}) d".format(d=_DISTANCE)
+_ROUND = """
+a{k} as (select x.vec, x.p, any_value(x.q) q, {least} from parts x join b{k} b using (p) group by x.vec, x.p),
+m{k} as (select p, e, i, sum(q[i]) s, count(*) n from (select p, e, q, unnest(range(1, len(q) + 1)) i from a{k}) x group by p, e, i),
+g{k} as (select p, e, list(((s - ((s % n) + n) % n) // n)::bigint order by i) q from m{k} group by p, e),
+b{next} as (select p, b.e, coalesce(g.q, b.q) q from b{k} b left join g{k} g using (p, e)),"""
+
+ORACLE["op12_vector_codes"] = f"""
+with kept as (select row_number() over (order by vec_id, embedding) vec, vec_id, label,
+    list_transform(embedding, lambda x: floor({SCALE} * x::double)::bigint) v from embeddings
+  where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+parts as (select vec, p, v[p * len(v) // {PARTS} + 1 : (p + 1) * len(v) // {PARTS}] q
+    from (select vec, v, unnest(range({PARTS})) p from kept) x),
+b0 as (select p, vec - 1 e, q from parts where vec <= {ENTRIES}),
+{"".join(_ROUND.format(k=k, next=k + 1, least=_LEAST_OF) for k in range(ROUNDS))}
+last as (select x.vec, x.p, {_LEAST_OF} from parts x join b{ROUNDS} b using (p) group by x.vec, x.p),
+codes as (select vec, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p) code, sum(d)::bigint error from last group by vec),
+books as (select sha256(string_agg(array_to_string(q, ','), ',' order by p, e)) h from b{ROUNDS})
+select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256
+from kept join codes using (vec), books"""

@@ -2,23 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove.llm import (
+    bpe,
     decontaminate,
     html_extract,
     line_dedup,
     mixing,
     passage_dedup,
+    phrases,
     pii,
     quality_classifier,
     quality_rules,
     secret_scan,
     simhash_dedup,
     url_filter,
+    vector_codes,
 )
 from tallygrove.llm.oracle import ORACLE
 from tallygrove.llm.shared import joined_spans, staged
@@ -132,3 +136,30 @@ def op10_decontaminate(spark, sf_dir):
         F.col("id").alias("doc_id"), "n_words", "n_hit", "n_items",
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
     )
+
+
+@query
+def op11_phrases(spark, sf_dir):
+    return phrases.phrases(_table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    coded, books = vector_codes.compress(_table(spark, sf_dir, "embeddings"))
+    digest = hashlib.sha256(",".join(map(str, books.ravel().tolist())).encode()).hexdigest()
+    return coded.select(
+        F.col("id").alias("vec_id"), vector_codes.hex_codes(F.col("code")).alias("code"),
+        "error", "label_error", F.lit(digest).alias("codebooks_sha256"),
+    )
+
+
+@query
+def op13_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents")
+    coded = bpe.round_trip(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return coded.select(
+        F.col("id").alias("doc_id"), "n_tokens",
+        F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
