@@ -570,7 +570,7 @@ def win_partition_total(spark, sf_dir):
 
 @query
 def win_dense_rank(spark, sf_dir):
-    rows = blocks.cost_rows(clean_sample(spark, sf_dir))
+    rows = blocks.cost_rows(clean_sample(spark, sf_dir), many=True)
     return rows.select("program_id", "iris_id", "fiscal_year", "efficiency_rank")
 
 

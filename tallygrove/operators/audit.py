@@ -1,14 +1,16 @@
 """The audit trail: one row per table and cleaning step.
 
-Each step leaves yes/no columns behind (see :mod:`.edits`).  One aggregate
-without grouping counts them all, and its single row is spread into step rows.
+Each step leaves yes/no columns behind (see :mod:`.edits`).  They are counted
+where every row passes once, while the table is written or by one aggregate,
+and the few counts of a table are spelt out as step rows.
 
 Fixed values: the step names.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,13 +19,14 @@ from tallygrove.functions.numbers import count_where
 from tallygrove.operators import impute, references, standardise
 from tallygrove.operators.dedup import is_tagged
 from tallygrove.operators.edits import Edit
-from tallygrove.operators.impute import as_map
 from tallygrove.rules import CleaningRules
+from tallygrove.sources.csv_dir import RESCUED
 
 DEDUP = "deduplication"
 
 TEXTS = {
     "tagged": "%d rows dropped whose key has the duplicate tag",
+    "longer": "%d rows had more fields than the header",
     "repeated": "%d rows dropped that repeat the key of an earlier one: ",
     "failed": "{c}: %d texts are no date, now NULL",
     "parsed": "{c}: %d values are dates now",
@@ -46,146 +49,143 @@ AUDIT_SCHEMA = (
 )
 
 
-def _say(measure: str, n: Column, column: str = "", *more: Column, **words) -> Column:
-    text = TEXTS[measure].format(c=column, **words)
-    return F.when(n > 0, F.format_string(text, n, *more))
+Row = tuple[str, int, str, int, int, int, str]
 
 
-def _total(counts: Sequence[Column]) -> Column:
-    total = F.lit(0).cast("bigint")
-    for n in counts:
-        total = total + n
-    return total
+class _Say(NamedTuple):
+    """A remark of a step: the text of a measure, told with the count of a flag."""
+
+    measure: str
+    flag: str
+    column: str = ""
+    words: Mapping[str, object] = {}
+    more: tuple[str, ...] = ()
+    # Told also where the count is zero.
+    always: bool = False
+
+    def told(self, n: int) -> str | None:
+        if n or self.always:
+            return TEXTS[self.measure].format(c=self.column, **self.words) % (n, *self.more)
+        return None
+
+
+class _Step(NamedTuple):
+    name: str
+    # Flags whose counts add up to the changed rows, or the number of columns that the step is about.
+    affected: list[str] | int
+    says: list[_Say | str]
 
 
 class TableAudit:
-    """Collects the steps of one table and turns them into audit rows."""
+    """Collects the steps of one table and turns their counts into audit rows."""
 
     def __init__(self, table: str, raw: DataFrame, pk: str, rules: CleaningRules):
         self.table, self.raw, self.pk, self.rules = table, raw, pk, rules
         self.flags: list[str] = []
         self.unmapped: Callable[[], DataFrame] | None = None
-        self.steps: list[tuple[str, Column, list[Column]]] = []
+        self.steps: list[_Step] = []
 
-    def _count(self, edit: Edit, measure: str) -> Column:
+    def _flag(self, edit: Edit, measure: str) -> str:
         name = edit.flag_name(measure)
         self.flags.append(name)
-        return F.col(name)
+        return name
 
     def dates(self, edits: Sequence[Edit]) -> None:
-        details = []
+        says = []
         for e in edits:
-            details.append(_say("failed", self._count(e, "failed"), e.column))
-            parsed = self._count(e, "parsed")
-            details.append(F.format_string(TEXTS["parsed"].format(c=e.column), parsed))
+            says.append(_Say("failed", self._flag(e, "failed"), e.column))
+            says.append(_Say("parsed", self._flag(e, "parsed"), e.column, always=True))
         # This step reports columns, not rows.
-        self.steps.append((standardise.DATES, F.lit(len(edits)).cast("bigint"), details))
+        self.steps.append(_Step(standardise.DATES, len(edits), says))
 
     def categories(self, edits: Sequence[Edit], unmapped: Callable[[], DataFrame]) -> None:
-        self.unmapped = unmapped
-        counts, details = [], []
+        self.unmapped = unmapped if edits else None
+        flags, says = [], []
         for e in edits:
-            n = self._count(e, "changed")
-            counts.append(n)
-            details.append(_say("changed", n, e.column))
-            found = F.try_element_at(F.col("__unmapped"), F.lit(e.column))
-            quoted = F.transform(found["sample"], lambda v: F.concat(F.lit("'"), v, F.lit("'")))
-            listed = F.concat(F.lit("["), F.concat_ws(", ", quoted), F.lit("]"))
-            details.append(_say("unmapped", found["n_unmapped"], e.column, listed))
-        self.steps.append((standardise.CATEGORIES, _total(counts), details))
+            flags.append(self._flag(e, "changed"))
+            # The unmapped texts of a column follow its count.
+            says += [_Say("changed", flags[-1], e.column), e.column]
+        self.steps.append(_Step(standardise.CATEGORIES, flags, says))
 
     def outliers(self, edits: Sequence[Edit]) -> None:
-        counts, details = [], []
+        flags, says = [], []
         for e in edits:
             low, high = self.rules.bounds[e.column]
-            n = self._count(e, "outside")
-            counts.append(n)
+            flags.append(self._flag(e, "outside"))
             words = {"low": low, "high": "inf" if high is None else high}
-            details.append(_say("outside", n, e.column, **words))
-        self.steps.append((standardise.OUTLIERS, _total(counts), details))
+            says.append(_Say("outside", flags[-1], e.column, words))
+        self.steps.append(_Step(standardise.OUTLIERS, flags, says))
 
     def fills(self, edits: Sequence[Edit]) -> None:
-        counts, details = [], []
+        flags, says = [], []
         for e in edits:
             (measure,) = e.flags
-            n = self._count(e, measure)
-            if e.note is not None:
+            if measure in ("median", "mode") and e.note is None:
                 # Nothing is filled where the column has no value to fill with.
-                n = F.when(e.note.isNotNull(), n).otherwise(0)
+                continue
+            flag = self._flag(e, measure)
             if measure != "skip":
-                counts.append(n)
-            details.append(_say(measure, n, e.column, *([] if e.note is None else [e.note])))
-        self.steps.append((impute.STEP, _total(counts), details))
+                flags.append(flag)
+            says.append(_Say(measure, flag, e.column, more=() if e.note is None else (e.note,)))
+        self.steps.append(_Step(impute.STEP, flags, says))
 
     def reference(self, column: str, flag: str) -> None:
         self.flags.append(flag)
-        n = F.col(flag)
-        self.steps.append((references.STEP, n, [_say("orphan", n, column)]))
+        self.steps.append(_Step(references.STEP, [flag], [_Say("orphan", flag, column)]))
 
     def types(self, edits: Sequence[Edit]) -> None:
-        details = []
+        texts = []
         for e in edits:
-            if e.column in self.rules.integer_columns:
-                details.append(F.lit(TEXTS["int"].format(c=e.column)))
-            elif e.column in self.rules.float_columns:
-                details.append(F.lit(TEXTS["float"].format(c=e.column)))
-        self.steps.append((standardise.TYPES, F.lit(len(details)).cast("bigint"), details))
-
-    def rows(self, traced: DataFrame) -> DataFrame:
-        """The audit rows, from the traced table before its flags are dropped."""
+            for kind, columns in (("int", self.rules.integer_columns), ("float", self.rules.float_columns)):
+                if e.column in columns:
+                    texts.append(_Say(kind, "", e.column))
+                    break
+        self.steps.append(_Step(standardise.TYPES, len(texts), texts))
+
+    def measures(self) -> list[Column]:
+        """The counts of all steps and of the rows that are left."""
+        flags = [count_where(F.col(f)).alias(f) for f in dict.fromkeys(self.flags)]
+        return [F.count(F.lit(1)).alias("__rows"), *flags]
+
+    def before(self) -> dict:
+        """What the table had before: counts of rows, and unmapped texts by column.
+
+        One row, and one for each column with a list of texts.
+        """
         tagged = count_where(is_tagged(self.pk, self.rules.duplicate_tag))
-        raw_counts = self.raw.agg(
-            F.struct(F.count("*").alias("n"), tagged.alias("tagged")).alias("c")
-        )
-        counts = traced.agg(
-            F.count("*").alias("__after"),
-            *[count_where(F.col(f)).alias(f) for f in dict.fromkeys(self.flags)],
-        ).withColumn("__raw", raw_counts.scalar())
-        if self.unmapped is not None:
-            packed = self.unmapped().select(
-                "column_name", F.struct("n_unmapped", "sample").alias("found")
-            )
-            counts = counts.withColumn("__unmapped", as_map(packed, "found"))
-
-        before, after = F.col("__raw.n"), F.col("__after")
-        n_tagged = F.col("__raw.tagged")
-        n_repeated = before - n_tagged - after
+        longer = F.count(F.col(RESCUED)) if RESCUED in self.raw.columns else F.lit(0)
+        counts = self.raw.agg(F.count("*").alias("n"), tagged.alias("tagged"), longer.alias("longer")).first()
+        texts = self.unmapped().collect() if self.unmapped else []
+        return {**counts.asDict(), "unmapped": {r.column_name: (r.n_unmapped, r.sample) for r in texts}}
+
+    def rows(self, found: Mapping[str, int], before: Mapping) -> list[Row]:
+        """The audit rows from the ``measures`` and from what was ``before``."""
+        after, repeated = found["__rows"], before["n"] - before["tagged"] - found["__rows"]
         keys = [c for c in self.rules.match_keys.get(self.table, ()) if c in self.raw.columns]
-        first = _step(
-            self.table, 1, DEDUP, before, after, before - after,
-            [
-                _say("tagged", n_tagged),
-                F.when(
-                    n_repeated > 0,
-                    F.concat(F.format_string(TEXTS["repeated"], n_repeated), F.lit(str(keys))),
-                ),
-            ],
-        )
-        others = [
-            _step(self.table, no, step, after, after, affected, details)
-            for no, (step, affected, details) in enumerate(self.steps, start=2)
+        says = [
+            _Say("longer", "").told(before["longer"]),
+            _Say("tagged", "").told(before["tagged"]),
+            TEXTS["repeated"] % repeated + str(keys) if repeated else None,
         ]
-        return counts.select(F.inline(F.array(first, *others)))
-
-
-def _step(
-    table: str,
-    number: int,
-    step: str,
-    before: Column,
-    after: Column,
-    affected: Column,
-    details: Sequence[Column],
-) -> Column:
-    return F.struct(
-        F.lit(table).alias("table_name"),
-        F.lit(number).alias("step_no"),
-        F.lit(step).alias("step"),
-        before.alias("rows_before"),
-        after.alias("rows_after"),
-        affected.cast("bigint").alias("rows_affected"),
-        F.concat_ws(" | ", *details).alias("details"),
-    )
+        out = [(self.table, 1, DEDUP, before["n"], after, before["n"] - after, _joined(says))]
+        for number, step in enumerate(self.steps, start=2):
+            affected = step.affected if isinstance(step.affected, int) else sum(found[f] for f in step.affected)
+            told = []
+            for say in step.says:
+                if isinstance(say, str):
+                    n, sample = before["unmapped"].get(say, (0, []))
+                    quoted = ", ".join(f"'{v}'" for v in sample)
+                    told.append(TEXTS["unmapped"].format(c=say) % (n, f"[{quoted}]") if n else None)
+                elif say.measure in ("int", "float"):
+                    told.append(TEXTS[say.measure].format(c=say.column))
+                else:
+                    told.append(say.told(found[say.flag]))
+            out.append((self.table, number, step.name, after, after, affected, _joined(told)))
+        return out
+
+
+def _joined(texts: Sequence[str | None]) -> str:
+    return " | ".join(t for t in texts if t is not None)
 
 
 def summarise(audit: DataFrame) -> DataFrame:

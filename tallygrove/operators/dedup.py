@@ -59,26 +59,35 @@ def deduplicate(
     return first_per_key(untagged, rules.match_keys.get(table, ()), pk, known)
 
 
+# Repeats of one row that are spelt out at once.
+_COPIES = 10_000
+
+
 def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFrame:
-    """Rows beyond the first of their key: (primary key, first key of the group).
+    """A row (primary key, first key of the group) for each one that deduplication drops.
 
-    The groups are reduced to (key, least primary key, rows) before anything
-    is joined, and only repeated keys take part in the join, which spreads the
-    rows of a hot key; no window has to hold the group.
+    Rows are reduced to counts per match key and primary key, then to groups
+    with their first primary key (NULL first, as in :func:`first_per_key`).
+    The counts of repeated groups meet these, spread over tasks where a match
+    key has many; a count is spelt out as that many rows, one less for the
+    first primary key, whose first row stays.
     """
     names = [f"__k{i}" for i, _ in enumerate(_keys(df, match_columns))]
     if not names:
         return df.select(pk, F.col(pk).alias("first_id")).filter(F.lit(False))
     keyed = df.select(pk, *[k.alias(n) for k, n in zip(_keys(df, match_columns), names)])
+    per_id = keyed.groupBy(*names, pk).agg(F.count("*").alias("__n"))
     firsts = (
-        keyed.groupBy(*names)
-        .agg(F.min(pk).alias("first_id"), F.count("*").alias("__rows"))
+        per_id.groupBy(*names)
+        .agg(F.min(F.struct(F.col(pk).isNotNull(), F.col(pk).alias("id"))).alias("__first"), F.sum("__n").alias("__rows"))
         .filter("__rows > 1")
-        .select(*[F.col(n).alias(f"{n}r") for n in names], "first_id")
+        .select(*[F.col(n).alias(f"{n}r") for n in names], F.col("__first.id").alias("first_id"))
     )
     same_key = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
-    return (
-        lookup_join(keyed, Side(firsts, small=False), same_key, pk, "inner")
-        .filter(F.col(pk) != F.col("first_id"))
-        .select(pk, "first_id")
-    )
+    met = lookup_join(per_id, Side(firsts, small=False), same_key, pk, "inner")
+    kept = F.col(pk).eqNullSafe(F.col("first_id")).cast("int")
+    dropped = met.select(pk, "first_id", (F.col("__n") - kept).alias("__n")).filter("__n > 0")
+    last = F.floor((F.col("__n") - 1) / _COPIES)
+    parts = dropped.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    here = F.least(F.lit(_COPIES), F.col("__n") - F.col("__part") * _COPIES).cast("int")
+    return parts.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).select(pk, "first_id")

@@ -21,8 +21,8 @@ class Edit:
     column: str
     value: Column
     flags: Mapping[str, Column] = field(default_factory=dict)
-    # A single value worth reporting, such as the fill; free of row references.
-    note: Column | None = None
+    # A single value worth reporting, such as the fill.
+    note: str | None = None
 
     def flag_name(self, measure: str) -> str:
         return f"{FLAG_PREFIX}{self.step}__{self.column}__{measure}"

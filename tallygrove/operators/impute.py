@@ -1,12 +1,16 @@
-"""Filling missing values: exact medians and modes without a hot task."""
+"""Filling missing values: exact medians by sketch and bracket, modes from counts; no hot task."""
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, field
+from decimal import ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallygrove.functions.numbers import count_where
 from tallygrove.operators.edits import Edit, apply_edits
 from tallygrove.operators.standardise import number_of
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
@@ -14,17 +18,10 @@ from tallygrove.rules import DEFAULT_RULES, CleaningRules
 STEP = "imputation"
 UNKNOWN = "Unknown"
 
-# Slices per e-fold of the magnitude.  A double has some 710 e-folds above 1 (all
-# below share the first) and two signs, so the number of slices is bounded; data
-# that spans six orders of magnitude fills about 14,000 of them.
-_SLICES = 1024
-# Even pieces of a middle slice.
-_PIECES = 1 << 16
-
-
-def _slice(value: Column) -> Column:
-    """Order-preserving coarse position of a number: equal numbers share one."""
-    return (F.signum(value) * F.floor(F.log1p(F.abs(value)) * _SLICES)).cast("int")
+# Distinct values that one task may order at most.
+MOST_ORDERED = 100_000
+# The relative rank error of the sketch is the inverse of this.
+ACCURACY = 10_000
 
 
 def _cells(df: DataFrame, columns: Sequence[str], number: bool) -> DataFrame:
@@ -52,93 +49,155 @@ def _value_counts(df: DataFrame, columns: Sequence[str], number: bool) -> DataFr
     )
 
 
-def _middle(per_slice: DataFrame, low_rank: Column, high_rank: Column) -> DataFrame:
-    """The slices that hold the ranks; ``before`` counts the rows below a slice.
+@dataclass
+class _Search:
+    """The middle ranks of a column that are still open, between two values of the column.
 
-    ``per_slice`` has ``of_column``, ``of_slice``, ``here`` and ``base``, the
-    rows below all slices given.
+    Both ends are values whose ranks are known, or infinite at first.  ``below``
+    counts the rows up to and including the lower end.
     """
-    in_column = Window.partitionBy("of_column")
-    upto = in_column.orderBy("of_slice").rowsBetween(Window.unboundedPreceding, 0)
-    before = F.col("base") + F.sum("here").over(upto) - F.col("here")
-    return (
-        per_slice.withColumn("before", before)
-        .withColumn("low_rank", low_rank)
-        .withColumn("high_rank", high_rank)
-        .filter("before < high_rank and before + here >= low_rank")
-    )
-
 
-def _inside(counts: DataFrame, middle: DataFrame) -> DataFrame:
-    """The counts in the middle slices, beside what is known of these.
-
-    At most two slices per column hold the middle, whatever the data.  The
-    NULL-safe comparison keeps the optimizer from adding a filter to one of
-    the two uses of the counts, and both use all their columns, so that they
-    share one shuffle.
+    column: str
+    value: Column
+    low: float = -math.inf
+    high: float = math.inf
+    below: int = 0
+    rows: int = 0
+    inside: int = 0
+    distinct: int = 0
+    has_gap: bool = False
+    open: list[int] = field(default_factory=list)
+    found: dict[int, float] = field(default_factory=dict)
+
+    def between(self) -> Column:
+        return (self.value > F.lit(self.low)) & (self.value < F.lit(self.high))
+
+    def shares(self) -> list[float]:
+        """Where the open ranks lie among the rows inside, with room for the sketch's error."""
+        room = 2.0 / ACCURACY
+        if not self.open:
+            return [0.5 - room, 0.5 + room]
+        least, most = ((k - self.below) / max(self.inside, 1) for k in (self.open[0], self.open[-1]))
+        return [max(least - room, 0.0), min(most + room, 1.0)]
+
+
+def _sketched(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Sets the ends of each search to values just around its open ranks, by one mergeable sketch each."""
+    measures = []
+    for s in searches:
+        inside = F.when(s.between(), s.value)
+        measures.append(
+            F.struct(
+                F.count(inside).alias("n"),
+                F.bool_or(F.col(s.column).isNull()).alias("has_gap"),
+                F.approx_percentile(inside, s.shares(), ACCURACY).alias("ends"),
+            ).alias(s.column)
+        )
+    row = df.agg(*measures).first()
+    for s in searches:
+        n, has_gap, ends = row[s.column]
+        if math.isinf(s.low) and math.isinf(s.high):
+            s.rows, s.inside, s.has_gap = n, n, bool(has_gap)
+            s.open = sorted({(n + 1) // 2, (n + 2) // 2}) if n else []
+        if ends:
+            s.low, s.high = ends
+
+
+def _confirmed(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Counts exactly what lies below, at and between the ends of each search.
+
+    A rank that falls on an end is found: a value that fills any share of the
+    rows costs one row of the result.  A rank outside moves the ends there, so
+    a wrong guess of the sketch costs a round, not the result.
     """
-    same = (F.col("column_name") == F.col("of_column")) & F.col("slice").eqNullSafe(
-        F.col("of_slice")
-    )
-    return counts.join(F.broadcast(middle), same)
+    measures = []
+    for s in searches:
+        low, high = F.lit(s.low), F.lit(s.high)
+        measures.append(
+            F.struct(
+                count_where(s.value < low).alias("before"),
+                count_where(s.value == low).alias("at_low"),
+                count_where(s.between()).alias("inside"),
+                count_where(s.value == high).alias("at_high"),
+                F.approx_count_distinct(F.when(s.between(), s.value)).alias("distinct"),
+            ).alias(s.column)
+        )
+    row = df.agg(*measures).first()
+    for s in searches:
+        before, at_low, inside, at_high, s.distinct = row[s.column]
+        upto, left = before + at_low, []
+        at_high = 0 if s.low == s.high else at_high
+        for k in s.open:
+            if before < k <= upto:
+                s.found[k] = s.low
+            elif upto + inside < k <= upto + inside + at_high:
+                s.found[k] = s.high
+            else:
+                left.append(k)
+        if left and left[0] <= before:
+            s.low, s.high, s.below, s.inside, s.distinct = -math.inf, s.low, 0, before, before
+        elif left and left[-1] > upto + inside:
+            s.below, s.low, s.high = upto + inside + at_high, s.high, math.inf
+            s.inside = s.distinct = s.rows - s.below
+        else:
+            s.below, s.inside = upto, inside
+        s.open = left
 
 
-def exact_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _ordered(df: DataFrame, searches: Sequence[_Search]) -> None:
+    """Orders the few distinct values between the ends, and reads the open ranks off."""
+    cells = [
+        F.struct(F.lit(s.column).alias("column_name"), F.when(s.between(), s.value).alias("value")) for s in searches
+    ]
+    counts = df.select(F.inline(F.array(*cells))).filter("value is not null").groupBy("column_name", "value").count()
+    upto = Window.partitionBy("column_name").orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = counts.withColumn("upto", F.sum("count").over(upto))
+    wanted = F.lit(False)
+    for s in searches:
+        for k in s.open:
+            here = F.lit(k - s.below).between(F.col("upto") - F.col("count") + 1, F.col("upto"))
+            wanted = wanted | ((F.col("column_name") == s.column) & here)
+    for row in ranked.filter(wanted).collect():
+        for s in searches:
+            if s.column == row.column_name:
+                last = s.below + row.upto
+                s.found |= {k: row.value for k in s.open if last - row["count"] < k <= last}
+    for s in searches:
+        s.open = []
+
+
+def exact_medians(df: DataFrame, columns: Sequence[str], most_ordered: int = MOST_ORDERED) -> DataFrame:
     """(column_name, median, has_gap) with the exact mean of the middle two values.
 
-    Rows are first reduced to (value, rows).  A count per slice of the number
-    line, whose length does not grow with the data, shows which slice holds
-    the middle; that slice is cut anew into even pieces between its least and
-    greatest value; only the distinct values of the middle piece are ordered.
+    A sketch brackets the middle, exact counts confirm the bracket, and the
+    next sketch looks inside, until the bracket holds at most ``most_ordered``
+    distinct values (give or take the error of an estimated count); one task
+    per column orders these.  Each round is one aggregate over all columns that
+    sends one row per task, and shrinks the rows of a bracket some thousandfold,
+    so a trillion rows take three.  Tables of no more rows than one task may
+    order go there at once.  The rounds run when the plan is built: ``df`` is
+    read once for each, so a costly one should have been written.
     """
-    counts = _value_counts(df, columns, number=True).withColumn("slice", _slice(F.col("value")))
-    in_column = Window.partitionBy("of_column")
-    per_slice = counts.groupBy(
-        F.col("column_name").alias("of_column"), F.col("slice").alias("of_slice")
-    ).agg(
-        F.sum("n").alias("here"),
-        F.bool_or("gap").alias("gap_here"),
-        F.min("value").alias("least"),
-        F.max("value").alias("most"),
-    )
-    totals = per_slice.withColumns(
-        {
-            "base": F.lit(0).cast("bigint"),
-            "total": F.sum("here").over(in_column),
-            "has_gap": F.bool_or("gap_here").over(in_column),
-        }
-    ).drop("gap_here")
-    slices = _middle(totals, F.expr("(total + 1) div 2"), F.expr("(total + 2) div 2"))
-
-    share = F.try_divide(F.col("value") - F.col("least"), F.col("most") - F.col("least"))
-    piece = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * _PIECES), F.lit(_PIECES - 1))
-    cut = _inside(counts, slices).select(
-        "column_name", "value", "n", "gap", "has_gap", "low_rank", "high_rank",
-        F.col("before").alias("base"),
-        (F.col("slice").cast("bigint") * _PIECES + piece).alias("slice"),
-    )
-    # The base of the lower of two middle slices counts for both.
-    per_piece = cut.groupBy(
-        F.col("column_name").alias("of_column"), F.col("slice").alias("of_slice")
-    ).agg(
-        F.sum("n").alias("here"), F.min("base").alias("base"),
-        F.min("low_rank").alias("low"), F.min("high_rank").alias("high"),
-    )
-    lowest = F.min("base").over(in_column)
-    pieces = _middle(per_piece.withColumn("base", lowest), F.col("low"), F.col("high")).select(
-        "of_column", "of_slice", "before"
-    )
-    in_piece = Window.partitionBy("column_name", "slice").orderBy("value")
-    ranked = _inside(cut, pieces).withColumn(
-        "last_rank",
-        F.col("before") + F.sum("n").over(in_piece.rowsBetween(Window.unboundedPreceding, 0)),
-    )
-    low = F.min(F.when(F.col("last_rank") >= F.col("low_rank"), F.col("value")))
-    high = F.min(F.when(F.col("last_rank") >= F.col("high_rank"), F.col("value")))
-    return ranked.groupBy("column_name").agg(
-        ((low + high) / 2.0).alias("median"),
-        F.bool_or(F.col("has_gap") | F.col("gap")).alias("has_gap"),
-    )
+    searches = [_Search(c, number_of(df, c)) for c in columns]
+    _sketched(df, searches)
+    for s in searches:
+        if s.inside <= most_ordered:
+            s.low, s.high = -math.inf, math.inf
+            s.distinct = s.inside
+    few = [s for s in searches if s.open and s.distinct and s.distinct <= most_ordered]
+    rest = [s for s in searches if s.open and s not in few]
+    while rest:
+        _confirmed(df, rest)
+        rest = [s for s in rest if s.open]
+        few += [s for s in rest if min(s.inside, s.distinct) <= most_ordered]
+        rest = [s for s in rest if s not in few]
+        if rest:
+            _sketched(df, rest)
+    if few:
+        _ordered(df, few)
+    rows = [(s.column, sum(s.found.values()) / len(s.found) if s.found else None, s.has_gap) for s in searches]
+    kept = [r for r in rows if r[1] is not None or r[2]]
+    return df.sparkSession.createDataFrame(kept, "column_name string, median double, has_gap boolean")
 
 
 def approximate_medians(
@@ -165,13 +224,11 @@ def exact_modes(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def as_map(df: DataFrame, value: str) -> Column:
-    """The few (column_name, value) rows as one map, by a scalar subquery.
-
-    One row per configured column, so its size does not depend on the data.
-    """
-    entries = F.collect_list(F.struct("column_name", value))
-    return df.agg(F.map_from_entries(entries).alias("fills")).scalar()
+def _one_decimal(value: float | None) -> str | None:
+    """As the audit shows it: halves of the shortest decimal form go up."""
+    if value is None:
+        return None
+    return str(Decimal(repr(value)).quantize(Decimal("0.1"), ROUND_HALF_UP))
 
 
 def fill_edits(
@@ -186,22 +243,22 @@ def fill_edits(
     if medians:
         find = approximate_medians if approximate else exact_medians
         # A column without a gap gets no fill, so its unreadable texts stay NULL.
-        median_of = as_map(find(df, medians).filter("has_gap"), "median")
+        median_of = {r.column_name: r.median for r in find(df, medians).filter("has_gap").collect()}
     if modes:
-        mode_of = as_map(exact_modes(df, modes), "mode")
+        # One row per column.
+        mode_of = {r.column_name: r["mode"] for r in exact_modes(df, modes).collect()}
     edits = []
     for column, strategy in present.items():
         old = F.col(column)
         counted = old.isNull()
         note = None
         if strategy == "median":
-            fill = F.try_element_at(median_of, F.lit(column))
+            fill = F.lit(median_of.get(column)).cast("double")
             value = F.coalesce(number_of(df, column), fill)
-            note = F.format_string("%.1f", fill)
+            note = _one_decimal(median_of.get(column))
         elif strategy == "mode":
-            fill = F.try_element_at(mode_of, F.lit(column)).cast(df.schema[column].dataType)
-            value = F.coalesce(old, fill)
-            note = F.try_element_at(mode_of, F.lit(column))
+            note = mode_of.get(column)
+            value = F.coalesce(old, F.lit(note).cast(df.schema[column].dataType))
         elif strategy == "unknown":
             value = F.coalesce(old, F.lit(UNKNOWN))
         elif strategy == "zero":

@@ -23,6 +23,7 @@ from tallygrove.functions.numbers import (
 )
 from tallygrove.functions.periods import period_fiscal_year, period_quarter
 from tallygrove.operators.joins import Side, join_dimension
+from tallygrove.operators.ranks import with_dense_rank
 
 Tables = Mapping[str, DataFrame]
 
@@ -67,7 +68,7 @@ def program_outcomes(outcomes: DataFrame) -> DataFrame:
     )
 
 
-def cost_rows(tables: Tables) -> DataFrame:
+def cost_rows(tables: Tables, many: bool = False) -> DataFrame:
     """Outcome rows with program, indicator and spend; unit cost and rank added.
 
     Both facts are aggregated first, so the joins see one row per program,
@@ -82,9 +83,7 @@ def cost_rows(tables: Tables) -> DataFrame:
         F.col("category").alias("indicator_category"),
     )
     unit_cost = safe_ratio(F.col("total_spend_inr"), F.col("total_actual"))
-    # A rank group holds one row per program and year of one indicator.
-    per_indicator = Window.partitionBy("iris_id").orderBy("__unit_cost")
-    return (
+    rows = (
         program_outcomes(tables["outcome_tracking"])
         .join(program_spend(tables["expenses"]), ["program_id", "fiscal_year"])
         .filter("total_spend_inr is not null")
@@ -100,10 +99,13 @@ def cost_rows(tables: Tables) -> DataFrame:
                 "me_investment_pct": rounded_percent(
                     F.col("me_spend_inr"), F.col("total_spend_inr")
                 ),
-                "efficiency_rank": F.dense_rank().over(per_indicator),
             }
         )
     )
+    if many:
+        return with_dense_rank(rows, "iris_id", "__unit_cost", "efficiency_rank")
+    per_indicator = Window.partitionBy("iris_id").orderBy("__unit_cost")
+    return rows.withColumn("efficiency_rank", F.dense_rank().over(per_indicator))
 
 
 def quarter_rows(tables: Tables) -> DataFrame:

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import Future, ThreadPoolExecutor
 from dataclasses import dataclass
-from functools import partial, reduce
+from functools import partial
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark import inheritable_thread_target
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tallygrove import model
@@ -17,52 +19,92 @@ from tallygrove.operators import standardise
 from tallygrove.operators.dedup import deduplicate
 from tallygrove.operators.edits import FLAG_PREFIX, apply_edits, drop_flags
 from tallygrove.operators.impute import fill_edits
-from tallygrove.operators.references import null_orphans, orphan_keys, orphan_side
+from tallygrove.operators.references import ParentKeys, flag_orphans, null_orphans, orphan_keys, orphan_side
 from tallygrove.operators.staging import Stage, as_is, written_stage
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
+from tallygrove.sources.csv_dir import RESCUED
+
+# Tables that are worked on at the same time; each waits for its parents.
+AT_ONCE = 6
+
 
 class CleanTable(NamedTuple):
     df: DataFrame
-    # The primary keys alone, without the work of the later steps: what the
-    # reference checks of other tables need.
+    # The primary keys that are left, for the reference checks of other tables:
+    # without the work of later steps, or read from the written table.
     keys: DataFrame
     audit: Callable[[], DataFrame]
 
 
+class _Done(NamedTuple):
+    """A clean table, its keys with what is known of their size, and its audit rows."""
+
+    df: DataFrame
+    keys: ParentKeys
+    rows: Callable[[], list[auditing.Row]]
+
+
+def _audit_table(spark: SparkSession, rows: list[auditing.Row]) -> DataFrame:
+    return spark.createDataFrame(rows, auditing.AUDIT_SCHEMA).coalesce(1)
+
+
 @dataclass(frozen=True)
 class CleanResult:
-    """Clean tables, and the audit as a plan that is built when asked for."""
+    """Clean tables and the audit."""
 
     tables: dict[str, DataFrame]
-    audits: list[Callable[[], DataFrame]]
+    audit_of: Callable[[], DataFrame]
 
     @property
     def audit(self) -> DataFrame:
-        """One row per table and step."""
-        return reduce(DataFrame.unionByName, [rows() for rows in self.audits])
+        """One row per table and step; counted when asked for, unless the run was staged."""
+        return self.audit_of()
 
 
 def clean_table(
     table: str,
     raw: DataFrame,
-    parents: Mapping[str, DataFrame],
+    parents: Mapping[str, DataFrame | ParentKeys],
     rules: CleaningRules = DEFAULT_RULES,
     stage: Stage = as_is,
     approximate: bool = False,
     arrival: Sequence[str] = (),
+    copy_raw: bool = False,
 ) -> CleanTable:
     """Run all steps on one table; ``parents`` give the keys of clean parents.
 
     ``arrival`` columns, where present, order the rows of a duplicate group and
     are dropped then.
     """
+    done = _clean_table(table, raw, parents.get, rules, stage, approximate, arrival, copy_raw)
+    return CleanTable(done.df, done.keys.df, lambda: _audit_table(raw.sparkSession, done.rows()))
+
+
+def _clean_table(
+    table: str,
+    raw: DataFrame,
+    keys_of: Callable[[str], DataFrame | ParentKeys | None],
+    rules: CleaningRules,
+    stage: Stage,
+    approximate: bool,
+    arrival: Sequence[str],
+    copy_raw: bool,
+    beside: Callable[[Callable[[], dict]], Callable[[], dict]] = lambda work: work,
+) -> _Done:
+    """Run all steps on one table.
+
+    ``keys_of`` gives the keys of a parent, or nothing where it is not there;
+    it is asked as late as possible, because it may have to wait for them.
+    ``beside`` may start work whose result is needed only at the end.
+    """
     pk = model.PRIMARY_KEY[table]
-    # Raw text is parsed once; the audit counts and the references read what was written.
-    raw = stage(raw, f"{table}/raw")
+    written = stage is not as_is
+    if copy_raw:
+        raw = stage(raw, f"{table}/raw")
     types = {f.name: f.dataType for f in model.clean_schema(table)}
     log = auditing.TableAudit(table, raw, pk, rules)
 
-    df = deduplicate(raw, table, pk, rules, arrival).drop(*arrival)
+    df = deduplicate(raw.drop(RESCUED), table, pk, rules, arrival).drop(*arrival)
 
     edits = standardise.date_edits(df, rules.date_columns.get(table, ()))
     df = apply_edits(df, edits, keep_flags=True)
@@ -73,11 +115,12 @@ def clean_table(
     outliers = standardise.outlier_edits(df, rules)
     df = apply_edits(df, outliers, keep_flags=True)
     strategies = rules.fill.get(table, {})
-    if table in rules.match_keys or {"median", "mode"} & set(strategies.values()):
-        # What comes next would otherwise repeat a shuffle.
+    if table in rules.match_keys and {"median", "mode"} & set(strategies.values()):
+        # The search for medians and modes would repeat the shuffle of the repeated keys.
         df = stage(df, f"{table}/standardised")
     log.categories(categories, partial(standardise.unmapped_values, df, table, rules))
     log.outliers(outliers)
+    before = beside(log.before)
     keys = df.select(strip(F.col(pk)).alias(pk))
 
     fills = fill_edits(df, strategies, approximate)
@@ -85,22 +128,34 @@ def clean_table(
     log.fills(fills)
 
     for ref in model.references_of(table):
-        if ref.parent not in parents or ref.column not in raw.columns:
+        found = keys_of(ref.parent) if ref.column in raw.columns else None
+        if found is None:
             continue
-        # The raw table has every value the cleaned one has, at the cost of one column of it.
-        orphans = orphan_keys(
-            raw, ref.column, parents[ref.parent], model.PRIMARY_KEY[ref.parent]
-        )
-        side = orphan_side(orphans, stage, f"{table}/orphans_{ref.column}")
+        parent = ParentKeys.of(found, model.PRIMARY_KEY[ref.parent])
         flag = f"{FLAG_PREFIX}orphan__{ref.column}"
-        df = null_orphans(df, ref.column, side, pk, flag)
+        if parent.small:
+            df = flag_orphans(df, ref.column, parent, flag)
+        else:
+            # The raw table has every value the cleaned one has, at the cost of one column of it.
+            name = f"{table}/orphans_{ref.column}"
+            broken = orphan_keys(raw, ref.column, parent.df, parent.pk, stage, name)
+            side = orphan_side(broken, stage, f"{name}/broken")
+            df = null_orphans(df, ref.column, side, pk, flag)
         log.reference(ref.column, flag)
 
     casts = standardise.cast_edits(df, rules, types)
-    # Rows and audit come from the same files.
-    df = stage(apply_edits(df, casts), f"{table}/traced")
+    df = apply_edits(df, casts)
     log.types(casts)
-    return CleanTable(drop_flags(df), keys, partial(log.rows, df))
+    if not written:
+        return _Done(drop_flags(df), ParentKeys(keys, pk), lambda: log.rows(df.agg(*log.measures()).first(), before()))
+
+    # Nothing is shuffled between here and the files, and the tasks that write
+    # count once however often they are tried.
+    counts = Observation(f"{table} audit")
+    seen = df.observe(counts, *log.measures(), ParentKeys.size(pk).alias("__bytes"))
+    df = stage(drop_flags(seen), f"{table}/clean")
+    found = counts.get
+    return _Done(df, ParentKeys.counted(df.select(pk), pk, found), lambda: log.rows(found, before()))
 
 
 def clean(
@@ -109,27 +164,60 @@ def clean(
     stage_dir: str | None = None,
     approximate: bool = False,
     arrival: Sequence[str] = (),
+    copy_raw: bool = False,
 ) -> CleanResult:
     """Clean every known table that is there, parents before children.
 
-    Without ``stage_dir`` everything stays one lazy plan.  With it (a folder
-    every executor can reach) each table is written as it came, where medians
-    and modes need it after its row-wise steps, and with its flags at the end:
-    every input is read once, and rows and audit come from the same files.
+    Without ``stage_dir`` rows stay a lazy plan, but for the few numbers that
+    medians are found by.  With it (a folder every executor can reach) each
+    table is written once, clean, and its audit is counted while it is written.
+    Where repeated keys and medians meet, the table is also written after its
+    row-wise steps, so that the keys are shuffled once.  Tables that do not
+    depend on each other are cleaned at the same time.  ``copy_raw`` writes the
+    input first: use it for CSV or costly views, whose rows would otherwise be
+    parsed again for the audit's raw counts and unmapped texts.
     ``arrival`` names columns that hold the order in which rows came (see
     ``load_csv_tables(arrival=True)``); without, the primary key decides.
     """
-    stage = written_stage(stage_dir) if stage_dir else as_is
-    done: dict[str, CleanTable] = {}
-    for table in model.CLEANING_ORDER:
-        if table in tables:
-            parents = {name: parent.keys for name, parent in done.items()}
-            done[table] = clean_table(
-                table, tables[table], parents, rules, stage, approximate, arrival
-            )
-    if not done:
+    present = [t for t in model.CLEANING_ORDER if t in tables]
+    if not present:
         raise ValueError("none of the known tables is present")
-    cleaned = {name: result.df for name, result in done.items()}
+    stage = written_stage(stage_dir) if stage_dir else as_is
+    spark = tables[present[0]].sparkSession
+    settings = (rules, stage, approximate, arrival, copy_raw)
+    done: dict[str, _Done] = {}
+    if stage_dir:
+        # Parents are submitted first, so whoever waits for one waits for a running table.
+        started: dict[str, Future[_Done]] = {}
+
+        def wait_for(table: str) -> ParentKeys | None:
+            return started[table].result().keys if table in started else None
+
+        threaded = inheritable_thread_target(spark)
+        with ThreadPoolExecutor(AT_ONCE) as side, ThreadPoolExecutor(AT_ONCE) as pool:
+
+            def beside(work: Callable[[], dict]) -> Callable[[], dict]:
+                return side.submit(threaded(work)).result
+
+            for table in present:
+                work = partial(_clean_table, table, tables[table], wait_for, *settings, beside)
+                started[table] = pool.submit(threaded(work))
+            done = {table: future.result() for table, future in started.items()}
+            rows = [row for table in done.values() for row in table.rows()]
+        written = stage(_audit_table(spark, rows), "audit")
+
+        def audit_of() -> DataFrame:
+            return written
+
+    else:
+        for table in present:
+            known = {name: one.keys for name, one in done.items()}
+            done[table] = _clean_table(table, tables[table], known.get, *settings)
+
+        def audit_of() -> DataFrame:
+            return _audit_table(spark, [row for table in done.values() for row in table.rows()])
+
+    cleaned = {name: one.df for name, one in done.items()}
     if model.PASS_THROUGH in tables:
         cleaned[model.PASS_THROUGH] = tables[model.PASS_THROUGH]
-    return CleanResult(cleaned, [result.audit for result in done.values()])
+    return CleanResult(cleaned, audit_of)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import functions as F
 
 PARTITION_COLUMN = "fiscal_year"
 AUDIT_NAME = "cleaning_audit_report"
+MANIFEST = "manifest"
 
 
 def write_csv_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
@@ -37,11 +41,53 @@ def _writer(df: DataFrame) -> DataFrameWriter:
 
 
 def write_tables(tables: Mapping[str, DataFrame], folder: str) -> None:
-    """Each table as Parquet; those with a fiscal year are partitioned by it."""
+    """Each table as Parquet, in place; those with a fiscal year are partitioned by it.
+
+    A failure leaves the tables before it new and the others old; see
+    ``publish_tables`` for replacing a set as a whole.
+    """
     for name, df in tables.items():
         _writer(df).parquet(f"{folder.rstrip('/')}/{name}")
 
 
+def publish_tables(tables: Mapping[str, DataFrame], folder: str) -> int:
+    """Replace the whole set of tables at once, or not at all; returns its version.
+
+    Every table goes to a new folder first.  Only when all are there does one
+    row of the manifest name them: it is written as one file, so readers see
+    all new tables or all old ones.  A failure before leaves the old set in
+    place.  Old versions are kept: whoever reads them is not disturbed.  Of two
+    runs that publish at the same time, the one with the greater token counts.
+    """
+    base, token = folder.rstrip("/"), uuid.uuid4().hex
+    paths = {name: f"{base}/{name}/{token}" for name in tables}
+    for name, df in tables.items():
+        _writer(df).parquet(paths[name])
+    spark = next(iter(tables.values())).sparkSession
+    latest = _latest(spark, folder)
+    version = latest.version + 1 if latest else 1
+    schema = "version bigint, token string, paths map<string,string>"
+    row = spark.createDataFrame([(version, token, paths)], schema)
+    row.coalesce(1).write.mode("append").parquet(f"{base}/{MANIFEST}")
+    return version
+
+
+def _latest(spark: SparkSession, folder: str):
+    try:
+        manifest = spark.read.parquet(f"{folder.rstrip('/')}/{MANIFEST}")
+    except AnalysisException:
+        return None
+    return manifest.orderBy(F.col("version").desc(), F.col("token").desc()).first()
+
+
+def published_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
+    """The tables of the last set that was published whole."""
+    latest = _latest(spark, folder)
+    if latest is None:
+        raise FileNotFoundError(f"No tables published in: {folder}")
+    return {name: spark.read.parquet(path) for name, path in sorted(latest.paths.items())}
+
+
 def save_tables(tables: Mapping[str, DataFrame], database: str) -> None:
     """Each table as a managed table of ``database``, replacing what is there."""
     for name, df in tables.items():
