@@ -241,11 +241,11 @@ def contamination(
     an item; an item of fewer words is one window.  ``items`` lists the items
     found, sorted as strings.  A document is contaminated if a word is hit and
     at least a twentieth of its words are.  Null and empty texts have no
-    words; items without words or with a null id are found nowhere (an id is
-    what is reported).  Equal rows return equal results.
+    words; items without words are found nowhere.  An item with a null id hits
+    words like any other, but has no place in the list of ids.  Equal rows
+    return equal results.
     """
     items = benchmark.select(benchmark[item_col].cast("string").alias("item"), text_of(benchmark, item_text_col).alias("text"))
-    items = items.filter("item is not null")
     wanted = staged(_item_windows(items, window), "item_windows")
     sizes = wanted.select((F.length("window") - F.length(F.replace("window", F.lit(" "))) + 1).alias("m")).distinct()
     plan = plan_of([r.m for r in sizes.collect()], window, gram)  # at most ``window`` lengths

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.llm.shared import WORD, look_up, row_key, staged, text_of
@@ -11,6 +11,8 @@ from tallygrove.operators.joins import join_dimension, measured
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
 SEED = 17
+# Equal rows that are spelt out at once.
+COPIES = 10_000
 
 
 def _prefix_sums(rows: DataFrame, group: str, bucket: str, order: list[str], values: list[str]) -> DataFrame:
@@ -35,6 +37,15 @@ def _prefix_sums(rows: DataFrame, group: str, bucket: str, order: list[str], val
     )
 
 
+def _dealt(rows: DataFrame, n: str) -> DataFrame:
+    """Each row ``n`` times, numbered from 0 in ``copy``; no array holds more than ``COPIES`` numbers."""
+    last = F.floor((F.col(n) - 1) / COPIES)
+    parts = rows.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    start = F.col("__part") * COPIES
+    numbers = F.sequence(start, F.least(start + COPIES, F.col(n)) - 1)
+    return parts.withColumn("copy", F.explode(numbers)).drop("__part")
+
+
 def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_EPOCHS) -> DataFrame:
     """``source``, ``source_size``, ``n_rows`` with the words to take, ``target``.
 
@@ -81,7 +92,7 @@ def mix(
     words of that order are taken as many whole times as the target holds the
     source, then once more up to the budget; the document at the cut is taken
     in part, so each source gives exactly its target, rounded to words.  Equal
-    documents keep one place each and are interchangeable.  Empty and null
+    documents of a source stand together, each in a place of its own.  Empty and null
     texts have size 0; null is a source of its own.  Results depend on ids and
     texts alone, not on partitions.  A source's rows are dealt to as many
     buckets as the root of its rows, in the order of the hash.
@@ -97,17 +108,22 @@ def mix(
     random = F.xxhash64(F.lit(seed), F.col("key"))
     rows = sized.withColumns({"group": F.xxhash64("source", F.col("source").isNull()), "random": random})
     rows = look_up(rows, plan.select("group", "source_size", "n_rows", "target"), ["group"], "key", "left")
+    # Rows equal in id, text and source are interchangeable: they are counted, ordered as one and dealt out again.
+    equal = rows.groupBy("key", "id", "source", "group", "random", "size", "source_size", "n_rows", "target").agg(F.count("*").alias("copies"))
+    equal = equal.withColumn("words", F.col("size") * F.col("copies"))
     n_buckets = F.ceil(F.sqrt("n_rows"))
     share = F.shiftrightunsigned("random", 1).cast("double") / F.lit(float(1 << 63))
     # The hash is ordered as unsigned by its upper 63 bits; equal ones by the whole key.
-    rows = rows.withColumn("bucket", F.least(F.floor(share * n_buckets), n_buckets - 1))
-    rows = rows.withColumn("place", F.shiftrightunsigned("random", 1))
-    summed = _prefix_sums(rows, "group", "bucket", ["place", "key"], ["size"])
+    equal = equal.withColumn("bucket", F.least(F.floor(share * n_buckets), n_buckets - 1))
+    equal = equal.withColumn("place", F.shiftrightunsigned("random", 1))
+    summed = _prefix_sums(equal, "group", "bucket", ["place", "key"], ["words"])
+    each = _dealt(summed, "copies")
     budget = F.round("target").cast("bigint")
     whole = F.when(F.col("source_size") > 0, F.expr("least(cast(round(target) as bigint) div source_size, %d)" % most)).otherwise(0)
-    rest = F.least(F.greatest(budget - whole * F.col("source_size") - F.col("before_size"), F.lit(0)), F.col("size"))
+    before = F.col("before_words") + F.col("copy") * F.col("size")
+    rest = F.least(F.greatest(budget - whole * F.col("source_size") - before, F.lit(0)), F.col("size"))
     taken = whole * F.col("size") + F.when(whole < most, rest).otherwise(0)
-    return summed.select(
+    return each.select(
         "key", "id", "source", "size", "source_size", "target", taken.cast("bigint").alias("taken")
     )
 
@@ -121,10 +137,15 @@ def mix_documents(
     Columns of those four names are replaced.
     """
     made = ("size", "source_size", "target", "taken")
-    mixed = staged(mix(docs, id_col, text_col, source_col, **options).select("key", *made), "mixed")
+
+    def keyed(key: Column, source: Column) -> Column:
+        return F.concat_ws(":", key, F.coalesce(F.concat(F.lit("s"), source.cast("string")), F.lit("n")))
+
+    mixed = mix(docs, id_col, text_col, source_col, **options)
+    mixed = staged(mixed.select(keyed(F.col("key"), F.col("source")).alias("key"), *made), "mixed")
     whole = F.struct(*(docs[c] for c in docs.columns if c not in made))
-    rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
-    # Rows equal in id and text are interchangeable: one of them stands for every place they hold.
+    rows = docs.select(keyed(row_key(docs, id_col, text_col), docs[source_col]).alias("__key"), whole.alias("__row"))
+    # Rows equal in id, text and source are interchangeable: one of them stands for every place they hold.
     repeated = staged(mixed.groupBy("key").count().filter("count > 1").select("key"), "repeated")
     if not repeated.isEmpty():
         side = measured({"repeated": repeated}, at_once=True)["repeated"]

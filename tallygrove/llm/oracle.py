@@ -83,7 +83,7 @@ def _words(text: str) -> str:
 
 ORACLE["op10_decontaminate"] = f"""
 with docs as (select doc_id, {_words("text")} w from documents),
-items as (select cast(item_id as varchar) item, {_words("text")} w from benchmark where item_id is not null),
+items as (select cast(item_id as varchar) item, {_words("text")} w from benchmark),
 item_windows as (select distinct item, m, array_to_string(w[i:i+m-1], ' ') g
     from (select item, w, m, unnest(range(1, len(w) - m + 2)) i
       from (select *, least({ITEM_WINDOW}, len(w)) m from items where len(w) > 0) x) y),
@@ -92,7 +92,7 @@ doc_windows as (select doc_id, m, i, array_to_string(w[i:i+m-1], ' ') g
     from (select doc_id, w, m, unnest(range(1, len(w) - m + 2)) i from docs, sizes where len(w) >= m) x),
 hits as (select doc_id, m, i, item from doc_windows join item_windows using (m, g)),
 covered as (select doc_id, count(distinct p) n from (select doc_id, unnest(range(i, i + m)) p from hits) x group by doc_id),
-named as (select doc_id, count(*) n, string_agg(item, ',' order by item) listed
+named as (select doc_id, count(item) n, string_agg(item, ',' order by item) listed
     from (select distinct doc_id, item from hits) x group by doc_id)
 select d.doc_id, cast(len(w) as bigint) n_words, cast(coalesce(c.n, 0) as bigint) n_hit,
   cast(coalesce(n.n, 0) as bigint) n_items, sha256(coalesce(listed, '')) items_sha256,

@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_left
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from tallygrove.llm.shared import Span, merged, scan, touches
+from tallygrove.llm.shared import Span, merged, scan
 
 KINDS = ("assign", "access", "hex", "entropy")
 
@@ -26,6 +28,7 @@ THRESHOLDS = {"hexadecimal": 3.0, "lower": 3.4, "mixed": 3.6}
 
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 _DIGIT = re.compile(r"[0-9]")
+_LETTER = re.compile(r"[A-Za-z]")
 _HEX_RUN = b"h" * LEAST_HEX
 _TO_HEX = bytes(ord("h") if chr(b) in "0123456789abcdef" else 32 for b in range(256))
 # Candidates that look random but are no secrets.
@@ -34,9 +37,14 @@ ALLOWED = (
     re.compile(r"(?:[A-Za-z]{2,}|[0-9]{1,8})(?:[-_/](?:[A-Za-z]{2,}|[0-9]{1,8}))+[-_/=]*"),  # slug, path, date
     re.compile(r"[A-Za-z]+[0-9]{1,6}"),  # word with a number
     re.compile(r"[0-9+/_=-]+"),  # numbers and rulers
-    re.compile(r".*(?:EXAMPLE|example|0123456789|abcdefgh|ABCDEFGH|xxxx|XXXX).*"),  # placeholders
 )
-_BEFORE_ALLOWED = re.compile(r"(?:https?://\S*|sha(?:1|256|512)[-: ]\s*)\Z")
+_PLACEHOLDER = re.compile(r"EXAMPLE|example|0123456789|abcdefgh|ABCDEFGH|xxxx|XXXX")
+# A run between separators that holds a placeholder.
+_PIECE = re.compile(r"[^/=]+")
+# Where host and path of an address begin and end; what follows a user's name or key; a digest's name.
+_MARK = re.compile(r"https?://|[\s?#@]")
+_USER = re.compile(r"(?::[^\s/?#@:]*)?@")
+_DIGEST = re.compile(r"sha(?:1|256|512)[-: ]\s{0,9}\Z")
 
 
 def _base(text: str) -> list[Span]:
@@ -93,31 +101,61 @@ def entropy_spans(candidate: str, window: int = WINDOW) -> list[tuple[int, int]]
     return out
 
 
-def _allowed(text: str, start: int, end: int) -> bool:
-    candidate = text[start:end]
-    if any(p.fullmatch(candidate) for p in ALLOWED):
-        return True
-    return bool(_BEFORE_ALLOWED.search(text[max(0, start - 200) : start]))
+def _stretches(word: str) -> list[tuple[int, int]]:
+    """The parts of a run without the pieces that hold a placeholder."""
+    out, start = [], 0
+    for piece in _PIECE.finditer(word):
+        if _PLACEHOLDER.search(piece[0]):
+            out.append((start, piece.start()))
+            start = piece.end()
+    out.append((start, len(word)))
+    return [(a, b) for a, b in out if b - a >= WINDOW]
+
+
+def _without(start: int, end: int, taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """What the ordered spans ``taken`` leave of a span, as far as it fills a window."""
+    out = []
+    for a, b in taken[max(bisect_left(taken, (start,)) - 1, 0) : bisect_left(taken, (end,))]:
+        if b > start:
+            out.append((start, a))
+            start = max(start, b)
+    out.append((start, end))
+    return [(a, b) for a, b in out if b - a >= WINDOW]
+
+
+def _entropy(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Windows of high entropy beside the base spans ``taken``, merged."""
+    plain = False  # whether the place ``seen`` is in the host or path of an address
+    seen = 0
+    for m in _CANDIDATE.finditer(text):
+        word, at = m[0], m.start()
+        # A run that begins with the slashes of an address is inside it.
+        inner = at + len(word) - len(word.lstrip("/"))
+        for mark in _MARK.finditer(text, seen, inner):
+            plain = mark[0].endswith("://")
+        seen = inner
+        if not _DIGIT.search(word) or not _LETTER.search(word) or any(p.fullmatch(word) for p in ALLOWED):
+            continue
+        if (plain and not _USER.match(text, m.end())) or _DIGEST.search(text, max(at - 20, 0), at):
+            continue
+        for first, last in _stretches(word):
+            for a, b in entropy_spans(word[first:last]):
+                yield from _without(a + first + at, b + first + at, taken)
 
 
 def secret_spans(text: str | None) -> list[Span]:
     """Spans by start, then kind in the order of ``KINDS``.
 
     Entropy spans are added where a run of 20 or more key characters holds
-    letters and digits, is not on the allow list, and touches no base span.
+    letters and digits and is not on the allow list.  Host and plain path of an
+    address are on it, what stands for a user, a query or a fragment is not; a
+    placeholder hides its own piece of a run.  Base spans are cut out.
     """
     text = text or ""
     found = _base(text)
     if _DIGIT.search(text):
         taken = merged((s, e) for _, s, e, _ in found)
-        for m in _CANDIDATE.finditer(text):
-            word = m[0]
-            if not _DIGIT.search(word) or not re.search("[A-Za-z]", word) or _allowed(text, *m.span()):
-                continue
-            for a, b in entropy_spans(word):
-                a, b = a + m.start(), b + m.start()
-                if not touches(taken, a, b):
-                    found.append(("entropy", a, b, False))
+        found += [("entropy", a, b, False) for a, b in _entropy(text, taken)]
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 

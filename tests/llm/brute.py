@@ -124,7 +124,7 @@ def contamination(docs, items, size=13):
         w = ALNUM.findall(ascii_lower(text))
         m = min(size, len(w))
         for i in range(len(w) - m + 1 if w else 0):
-            where[tuple(w[i : i + m])].add(str(item))
+            where[tuple(w[i : i + m])].add(None if item is None else str(item))
     lengths = sorted({len(x) for x in where})
     out = {}
     for i, text in docs:
@@ -134,7 +134,7 @@ def contamination(docs, items, size=13):
             for k in range(len(w) - m + 1):
                 if names := where.get(tuple(w[k : k + m])):
                     hit.update(range(k, k + m))
-                    found |= names
+                    found |= names - {None}
         out[i] = (len(w), len(hit), len(found), sha(",".join(sorted(found))), bool(hit) and 20 * len(hit) >= len(w))
     return out
 
