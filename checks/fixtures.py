@@ -139,6 +139,12 @@ VIEWS: dict[str, str] = {
             'BEN-'||cast(c_custkey as string)||'-DUP', c_name
           from {{customer}} c where c_custkey%99=0
           union all
+          select c.*, {_YEAR}, {_MONTH}, {_DAY}, 'BEN-'||cast(c_custkey as string), c_name
+          from {{customer}} c where c_custkey%70=5
+          union all
+          select c.*, {_YEAR}, {_MONTH}, {_DAY}, 'BEN-'||cast(c_custkey as string), c_name
+          from {{customer}} c where c_custkey%140=5
+          union all
           select c.*, {_YEAR}, {_MONTH}, {_DAY},
             'BEN-'||cast(c_custkey+1000000 as string), ' '||upper(c_name)
           from {{customer}} c where c_custkey%50=4) x""",

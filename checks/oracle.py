@@ -711,7 +711,34 @@ def deduped(name: str, table: str, pk: str, keys: tuple[str, ...]) -> str:
       from {table} where not contains({pk}, '-DUP')) x where rn=1)"""
 
 
-ORACLE["src_csv_dir"] = with_views("beneficiaries_dirty", "select * from beneficiaries_dirty")
+_CSV_CELLS = {
+    "beneficiaries": "beneficiary_id full_name age gender phone region_id registration_date household_size education_level",
+    "service_delivery": "delivery_id beneficiary_id status dosage",
+    "assessments": "assessment_id beneficiary_id assessment_type score max_score",
+    "regions": "region_id state district",
+}
+
+
+def _csv_cells(table: str, source: str, columns: list[str], rescued: str, where: str) -> str:
+    return " union all ".join(
+        f"select '{table}' table_name, {columns[0]} record_id, {rescued} rescued, '{c}' column_name, {c} \"value\" "
+        f"from {source} where {where}"
+        for c in columns
+    )
+
+
+ORACLE["src_csv_dir"] = with_views(
+    "beneficiaries_dirty service_delivery_dirty assessments_dirty regions_dirty",
+    " union all ".join(
+        [_csv_cells(t, f"{t}_dirty", c.split(), "cast(null as varchar)", "true") for t, c in _CSV_CELLS.items()]
+        + [
+            _csv_cells(
+                "longer", "regions_dirty", _CSV_CELLS["regions"].split(),
+                "region_id||','||state||','||district||',surplus'", "cast(region_id as int) % 2 = 0",
+            )
+        ]
+    ),
+)
 ORACLE["sink_csv"] = with_views(
     "funding beneficiaries",
     f"""select fiscal_year grp, count(*) n_rows, {money('amount_inr')} total from funding group by 1
@@ -719,9 +746,11 @@ ORACLE["sink_csv"] = with_views(
     from beneficiaries group by 1""",
 )
 ORACLE["sink_tables"] = with_views(
-    "expenses",
-    f"""select fiscal_year, category, count(*) n_rows, {money('amount_inr')} total
-    from expenses group by fiscal_year, category""",
+    "expenses funding regions beneficiaries",
+    f"""select 'expenses' table_name, fiscal_year grp, count(*) n_rows, {money('amount_inr')} total from expenses group by 2
+    union all select 'funding', fiscal_year, count(*), {money('amount_inr')} from funding group by 2
+    union all select 'regions', region_type, count(*), cast(sum(region_id) as double) from regions group by 2
+    union all select 'beneficiaries', gender, count(*), cast(sum(household_size) as double) from beneficiaries group by 2""",
 )
 
 _DIRTY = "beneficiaries_dirty service_delivery_dirty assessments_dirty regions_dirty"
@@ -1094,7 +1123,7 @@ _AUDIT_SQL = " union all ".join(
 ORACLE["clean_audit"] = with_views(_DIRTY, _AUDIT_SQL, *_STEPS)
 ORACLE["sink_audit"] = with_views(
     _DIRTY,
-    f"select table_name, step_no, step, rows_before, rows_after, rows_affected from ({_AUDIT_SQL}) x",
+    f"select table_name, step_no, step, rows_before, rows_after, rows_affected, coalesce(details, '') details from ({_AUDIT_SQL}) x",
     *_STEPS,
 )
 ORACLE["clean_summary"] = with_views(
@@ -1155,13 +1184,15 @@ _OUTLIER = " union all ".join(
 
 def duplicates(table: str, pk: str, keys: tuple[str, ...]) -> str:
     norm = ", ".join(f"lower(trim({k}))" for k in keys)
-    firsts = f"""(select {pk}, first_value({pk}) over (partition by {norm} order by {pk}) f
+    # Rows that are equal in all columns are repeats too.
+    firsts = f"""(select {pk}, first_value({pk}) over (partition by {norm} order by {pk}) f,
+        row_number() over (partition by {norm} order by {pk}) rn
       from {table}_dirty where not contains({pk}, '-DUP')) x"""
     return (
         issue(table, None, pk, "duplicate_entry", "'Key carries the duplicate tag'", f"{table}_dirty",
               f"contains({pk}, '-DUP')")
         + " union all "
-        + issue(table, None, pk, "duplicate_entry", "'Repeats '''||f||''''", firsts, f"{pk}<>f")
+        + issue(table, None, pk, "duplicate_entry", "'Repeats '''||f||''''", firsts, "rn>1")
     )
 
 
@@ -1223,3 +1254,52 @@ ORACLE["dq_log"] = with_views(
     _NAMES,
     _PEOPLE_D,
 )
+
+_TWO = ("service_delivery", "assessments")
+_RUN = " union all ".join(
+    (
+        *(
+            issue(t, c, model.PRIMARY_KEY[t], "missing_value", f"'NULL in ''{c}'''", f"{t}_dirty", f"{c} is null")
+            for t in _TWO
+            for c in _PRESENT[t]
+        ),
+        *(
+            issue(
+                t, c, pk, "inconsistent_casing",
+                f"''''||{c}||''' stands for '''||{mapped(c, m)}||''''", f"{t}_dirty", f"{mapped(c, m)}<>{c}",
+            )
+            for t, pk, c, m in _CATS
+            if t in _TWO
+        ),
+        *(
+            issue(t, c, model.PRIMARY_KEY[t], "outlier", f"'Value out of range: '||{c}", f"{t}_dirty", w)
+            for t, c, w in _RANGES
+            if t in _TWO
+        ),
+        duplicates("service_delivery", "delivery_id", ("beneficiary_id",)),
+        duplicates("assessments", "assessment_id", ("beneficiary_id", "assessment_type")),
+    )
+)
+
+
+def _log_of(issues: str, day: str) -> str:
+    return f"""select 'DQL-'||sha256(concat_ws('|', table_name, coalesce(column_name,''),
+        coalesce(record_id,''), issue_type, description, cast(row_number() over (partition by
+        table_name, column_name, record_id, issue_type, description) as varchar))) log_id,
+      table_name, column_name, record_id, issue_type, description, date '{day}' detected_date from ({issues}) x"""
+
+
+ORACLE["dq_log_rerun"] = with_views(
+    "service_delivery_dirty assessments_dirty",
+    """select coalesce(a.log_id, b.log_id) log_id, coalesce(a.table_name, b.table_name) table_name,
+      coalesce(a.column_name, b.column_name) column_name, coalesce(a.record_id, b.record_id) record_id,
+      coalesce(a.issue_type, b.issue_type) issue_type, coalesce(a.description, b.description) description,
+      coalesce(a.detected_date, b.detected_date) detected_date,
+      cast(case when b.log_id is null then 1 else 0 end as int) resolved
+    from run_1 a full join run_2 b on a.log_id = b.log_id""",
+    f"run_1 as ({_log_of(_RUN, '2025-06-12')})",
+    "service_delivery_dirty2 as (select * from service_delivery_dirty where cast(delivery_id as bigint) % 4 <> 0)",
+    """assessments_dirty2 as (select * replace (case when cast(assessment_id as bigint) % 50 <> 1 then score end as score)
+      from assessments_dirty)""",
+    f"run_2 as ({_log_of(_RUN.replace('_dirty', '_dirty2'), '2025-06-19')})",
+)

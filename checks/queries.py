@@ -52,9 +52,25 @@ def union_all(parts) -> DataFrame:
 
 @query
 def src_csv_dir(spark, sf_dir):
+    """Every cell of a folder, one table of which has rows that are longer than its header."""
     folder = scratch_path(spark, "src_csv_dir")
-    sinks.write_csv_tables(dirty_sample(spark, sf_dir).all(), folder)
-    return csv_dir.load_csv_tables(spark, folder)["beneficiaries"]
+    tables = dirty_sample(spark, sf_dir).all()
+    sinks.write_csv_tables(tables, folder)
+    longer = tables["regions"].filter("region_id % 2 = 0")
+    lines = longer.select(F.concat_ws(",", "region_id", "state", "district", F.lit("surplus")).alias("value"))
+    header = spark.range(1).select(F.lit("region_id,state,district").alias("value"))
+    header.unionAll(lines).coalesce(1).write.text(f"{folder}/longer.csv")
+    back = csv_dir.load_csv_tables(spark, folder, rescue=True)
+
+    def cells(name: str) -> DataFrame:
+        columns = [c for c in back[name].columns if c != csv_dir.RESCUED]
+        pairs = [F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in columns]
+        return back[name].select(
+            F.lit(name).alias("table_name"), F.col(columns[0]).alias("record_id"),
+            F.col(csv_dir.RESCUED).alias("rescued"), F.inline(F.array(*pairs)),
+        )
+
+    return union_all(cells(name) for name in sorted(back))
 
 
 @query
@@ -75,13 +91,21 @@ def sink_csv(spark, sf_dir):
 
 @query
 def sink_tables(spark, sf_dir):
+    """A set that is published twice; every table of the second is read back."""
     folder = scratch_path(spark, "sink_tables")
     tables = clean_sample(spark, sf_dir)
-    sinks.write_tables({n: tables[n] for n in ("expenses", "regions")}, folder)
-    expenses = spark.read.parquet(f"{folder}/expenses")
-    return expenses.groupBy("fiscal_year", "category").agg(
-        F.count("*").alias("n_rows"), sum_money(F.col("amount_inr")).alias("total")
-    )
+    names = ("expenses", "funding", "regions", "beneficiaries")
+    sinks.publish_tables({"regions": tables["regions"]}, folder)
+    sinks.publish_tables({n: tables[n] for n in names}, folder)
+    back = sinks.published_tables(spark, folder)
+    totals = [(n, "fiscal_year", sum_money(F.col("amount_inr"))) for n in names[:2]]
+    totals.append(("regions", "region_type", F.sum("region_id").cast("double")))
+    totals.append(("beneficiaries", "gender", F.sum("household_size").cast("double")))
+    return union_all(
+        back[n].groupBy(F.col(key).alias("grp")).agg(F.count("*").alias("n_rows"), total.alias("total"))
+        .select(F.lit(n).alias("table_name"), "grp", "n_rows", "total")
+        for n, key, total in totals
+    )
 
 
 def _cleaned(spark, sf_dir) -> clean.CleanResult:
@@ -99,7 +123,7 @@ def sink_audit(spark, sf_dir):
     back = csv_dir.load_csv_tables(spark, folder)[sinks.AUDIT_NAME]
     numbers = {c: F.col(c).cast("bigint") for c in ("rows_before", "rows_after", "rows_affected")}
     return back.withColumns({"step_no": F.col("step_no").cast("int"), **numbers}).select(
-        *_AUDIT_COUNTS
+        *_AUDIT_COUNTS, F.coalesce("details", F.lit("")).alias("details")
     )
 
 
@@ -984,3 +1008,20 @@ def dq_name_variant(spark, sf_dir):
 def dq_log(spark, sf_dir):
     stage = written_stage(scratch_path(spark, "dq_log"))
     return quality.issue_log(dirty_sample(spark, sf_dir).all(), dt.date(2025, 6, 12), stage=stage)
+
+
+@query
+def dq_log_rerun(spark, sf_dir):
+    """The log of a second run over changed tables: mended rows, dropped rows, new gaps."""
+    stage = written_stage(scratch_path(spark, "dq_log_rerun"))
+    first = {n: dirty_sample(spark, sf_dir)[n] for n in ("service_delivery", "assessments")}
+    score = F.when(F.col("assessment_id").cast("bigint") % 50 != 1, F.col("score"))
+    second = {
+        "service_delivery": first["service_delivery"].filter("cast(delivery_id as bigint) % 4 <> 0"),
+        "assessments": first["assessments"].withColumn("score", score),
+    }
+    logs = [
+        stage(quality.issue_log(tables, dt.date(2025, 6, day)), f"run_{day}")
+        for day, tables in ((12, first), (19, second))
+    ]
+    return quality.merge_log(*logs)

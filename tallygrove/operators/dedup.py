@@ -63,6 +63,19 @@ def deduplicate(
 _COPIES = 10_000
 
 
+def spread(rows: DataFrame, n: str, copy: str) -> DataFrame:
+    """Each row as many times as its count says, numbered from 1 in ``copy``.
+
+    Counts are cut into parts first, so that no task holds a list as long as a
+    hot count.
+    """
+    last = F.floor((F.col(n) - 1) / _COPIES)
+    parts = rows.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
+    start = F.col("__part") * _COPIES
+    numbers = F.sequence(start + 1, F.least(start + _COPIES, F.col(n)))
+    return parts.withColumn(copy, F.explode(numbers)).drop("__part")
+
+
 def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFrame:
     """A row (primary key, first key of the group) for each one that deduplication drops.
 
@@ -87,7 +100,4 @@ def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFra
     met = lookup_join(per_id, Side(firsts, small=False), same_key, pk, "inner")
     kept = F.col(pk).eqNullSafe(F.col("first_id")).cast("int")
     dropped = met.select(pk, "first_id", (F.col("__n") - kept).alias("__n")).filter("__n > 0")
-    last = F.floor((F.col("__n") - 1) / _COPIES)
-    parts = dropped.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("bigint"), last)))
-    here = F.least(F.lit(_COPIES), F.col("__n") - F.col("__part") * _COPIES).cast("int")
-    return parts.withColumn("__copy", F.explode(F.sequence(F.lit(1), here))).select(pk, "first_id")
+    return spread(dropped, "__n", "__copy").select(pk, "first_id")

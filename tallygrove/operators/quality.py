@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tallygrove import model
 from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date, strip
-from tallygrove.operators.dedup import deduplicate, drop_tagged, is_tagged, key_repeats
+from tallygrove.operators.dedup import deduplicate, drop_tagged, is_tagged, key_repeats, spread
 from tallygrove.operators.joins import Side, lookup_join
 from tallygrove.operators.references import orphan_keys
 from tallygrove.operators.staging import Stage, as_is
@@ -361,7 +361,7 @@ def issue_log(
         F.col("copy"),
     )
     counted = all_issues(tables, rules, stage).groupBy(*columns).agg(F.count("*").alias("n"))
-    each = counted.select(*columns, F.explode(F.sequence(F.lit(1).cast("bigint"), "n")).alias("copy"))
+    each = spread(counted, "n", "copy")
     return each.select(
         F.concat(F.lit("DQL-"), F.sha2(place, 256)).alias("log_id"),
         "table_name",
@@ -372,3 +372,26 @@ def issue_log(
         F.lit(detected).alias("detected_date"),
         F.lit(0).alias("resolved"),
     )
+
+
+def merge_log(previous: DataFrame, current: DataFrame) -> DataFrame:
+    """The log after a further run: what is new is added, what is gone is resolved.
+
+    Both are logs of :func:`issue_log`, ``previous`` perhaps the result of an
+    earlier merge.  An issue that is still there keeps the date on which it was
+    first found; one that had been resolved and is back gets the new date.
+    Issues that are gone stay, with ``resolved`` 1.  The id says what an issue
+    is about, so the two meet on it in one join, and no row is compared with
+    any other; merging the same run twice changes nothing.
+    """
+    names = previous.columns
+    old = previous.select(F.col("log_id").alias("__old_id"), F.struct(*names).alias("__old"))
+    new = current.select(F.col("log_id").alias("__new_id"), F.struct(*names).alias("__new"))
+    met = new.join(old, F.col("__new_id") == F.col("__old_id"), "full")
+    open_before = F.col("__old.resolved") == 0
+    merged = (
+        F.when(F.col("__new_id").isNull(), F.col("__old").withField("resolved", F.lit(1)))
+        .when(open_before, F.col("__old"))
+        .otherwise(F.col("__new"))
+    )
+    return met.select(merged.alias("__row")).select("__row.*")
