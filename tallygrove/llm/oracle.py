@@ -9,7 +9,7 @@ from __future__ import annotations
 from tallygrove.llm.decontaminate import WINDOW as ITEM_WINDOW
 from tallygrove.llm.line_dedup import MIN_WORDS
 from tallygrove.llm.phrases import FIRST, LEAST, LONGEST, NO_LANGUAGE
-from tallygrove.llm.quality_rules import MEASURES, RULES, STANDARD, WINDOW
+from tallygrove.llm.quality_rules import MEASURES, POLICIES, RULES, STANDARD, WINDOW
 from tallygrove.llm.shared import SPACE, WORD
 from tallygrove.llm.vector_codes import ENTRIES, PARTS, ROUNDS, SCALE
 
@@ -144,3 +144,24 @@ codes as (select vec, string_agg(lpad(lower(to_hex(e)), 2, '0'), '' order by p)
 books as (select sha256(string_agg(array_to_string(q, ','), ',' order by p, e)) h from b{ROUNDS})
 select vec_id, code, error, (sum(error) over (partition by label))::bigint label_error, h codebooks_sha256
 from kept join codes using (vec), books"""
+
+_KEPT = ", ".join(f"failed_bits & {p.mask()} = 0 kept_{p.name}_v{p.version}" for p in POLICIES)
+ORACLE["op9_policies"] = (
+    f"select doc_id, {', '.join(MEASURES)}, failed_bits, {_KEPT} from ({ORACLE['op9_quality_rules']}) ledger"
+)
+
+
+def _count(condition: str, name: str) -> str:
+    return f"count(*) filter (where {condition}) {name}"
+
+
+ORACLE["op9_ablations"] = f"with ledger as ({ORACLE['op9_quality_rules']})\n" + " union all ".join(
+    f"select '{p.name}' \"policy\", cast({p.version} as int) \"version\", '{r.name}' \"rule\", "
+    + _count(f"failed_bits & {1 << r.bit} <> 0", "n_failed") + ", "
+    + _count(f"failed_bits & {p.mask()} = {1 << r.bit}", "n_only_this") + ", "
+    + _count(f"failed_bits & {p.mask()} = 0", "n_kept") + ", "
+    + _count(f"failed_bits & {p.mask() & ~(1 << r.bit)} = 0", "n_kept_without") + " from ledger"
+    for p in POLICIES
+    for r in RULES
+    if r.name in p.rules
+)
