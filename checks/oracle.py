@@ -956,6 +956,7 @@ _CELLS, _CELL_STEPS = whole.clean_sql(deduped, to_date, mapped)
 ORACLE["clean_whole_schema"] = with_views(
     _WHOLE, _CELLS, *_CELL_STEPS
 )
+ORACLE["clean_audit_whole"] = with_views(_WHOLE, whole.audit_sql(to_date, mapped), *_CELL_STEPS)
 
 
 def n_if(p: str, table: str) -> str:

@@ -364,6 +364,13 @@ def clean_whole_schema(spark, sf_dir):
     return union_all(cells(name) for name in model.CLEANING_ORDER)
 
 
+@query
+def clean_audit_whole(spark, sf_dir):
+    """The audit of all twelve tables."""
+    stage_dir = scratch_path(spark, "clean_audit_whole")
+    return clean.clean(raw_sample(spark, sf_dir).all(), stage_dir=stage_dir).audit.select(*_AUDIT_COUNTS)
+
+
 # -- relational constructs ---------------------------------------------------
 
 

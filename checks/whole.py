@@ -240,3 +240,55 @@ def clean_sql(deduped, to_date, mapped) -> tuple[str, list[str]]:
                 f"select '{table}' table_name, trim({pk}) record_id, '{c}' column_name, {value} \"value\" from {table}_s"
             )
     return " union all ".join(cells), steps
+
+
+def _affected(table: str, columns: list[str], to_date, mapped) -> list[tuple[str, str]]:
+    """The steps after deduplication with the SQL of what they count."""
+
+    def n(condition: str, source: str) -> str:
+        return f"(select count(*) from {source} where {condition})"
+
+    d, s = f"{table}_d", f"{table}_s"
+    maps = [n(f"{mapped(c, m)} <> {c}", d) for c, m in RULES.value_maps(table).items() if c in columns]
+    outside = []
+    for c in (c for c in RULES.bounds if c in columns):
+        low, high = RULES.bounds[c]
+        tests = [f"{number(c)}<{low}"] + ([f"{number(c)}>{high}"] if high is not None else [])
+        if COLUMN_BOUNDS.get(c) in columns:
+            tests.append(f"{number(c)}>{number(COLUMN_BOUNDS[c])}")
+        outside.append(n(" or ".join(f"coalesce({t}, false)" for t in tests), d))
+    fills = [
+        n(f"{c} is null" if how != "median" else f"{c} is null and (select median({number(c)}) from {s}) is not null", s)
+        for c, how in RULES.fill.get(table, {}).items()
+        if c in columns and how != "skip"
+    ]
+    broken = [
+        n(f"{r.column} is not null and {r.column} not in (select trim({model.PRIMARY_KEY[r.parent]}) from {r.parent}_d)", s)
+        for r in model.references_of(table)
+    ]
+    typed = sum(c in RULES.integer_columns or c in RULES.float_columns for c in columns)
+    dates = sum(c in columns for c in RULES.date_columns.get(table, ()))
+    return [
+        ("date_normalisation", str(dates)),
+        ("categorical_standardisation", " + ".join(maps) or "0"),
+        ("outlier_treatment", " + ".join(outside) or "0"),
+        ("imputation", " + ".join(fills) or "0"),
+        *(("referential_integrity", b) for b in broken),
+        ("type_casting", str(typed)),
+    ]
+
+
+def audit_sql(to_date, mapped) -> str:
+    """The audit of all twelve tables, over the steps of :func:`clean_sql`."""
+    rows = []
+    for table in model.CLEANING_ORDER:
+        columns = [f.name for f in model.clean_schema(table)]
+        before, after = f"(select count(*) from {table}_raw)", f"(select count(*) from {table}_d)"
+        steps = [("deduplication", before, f"{before} - {after}")]
+        steps += [(name, after, found) for name, found in _affected(table, columns, to_date, mapped)]
+        rows += [
+            f"select '{table}' table_name, cast({i} as int) step_no, '{name}' step, {had} rows_before, "
+            f"{after} rows_after, cast({found} as bigint) rows_affected"
+            for i, (name, had, found) in enumerate(steps, 1)
+        ]
+    return " union all ".join(rows)
