@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from tallygrove import model
 from tallygrove.functions.text import ISO_DATE, canonical, match_key, parse_date, strip
 from tallygrove.operators.dedup import deduplicate, drop_tagged, is_tagged, key_repeats, spread
-from tallygrove.operators.joins import Side, lookup_join
-from tallygrove.operators.references import orphan_keys
+from tallygrove.operators.joins import Side, lookup_join, measured
+from tallygrove.operators.references import ParentKeys, orphan_keys, orphan_side, parent_keys
 from tallygrove.operators.staging import Stage, as_is
 from tallygrove.operators.standardise import outside_bounds
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
@@ -135,18 +135,30 @@ def duplicate_issues(
 
 
 def orphan_issues(
-    child: DataFrame, table: str, column: str, parent: DataFrame, parent_pk: str
+    child: DataFrame,
+    table: str,
+    column: str,
+    parent: DataFrame | ParentKeys,
+    parent_pk: str,
+    stage: Stage = as_is,
 ) -> DataFrame:
     """Rows whose reference has no parent among those that cleaning leaves.
 
-    ``parent`` holds these keys (see :func:`surviving_keys`).  The broken values are found on distinct values first; the rows then meet
-    only those.
+    ``parent`` holds these keys (see :func:`surviving_keys`).  Keys that are
+    known to be few are broadcast.  Otherwise the broken values are found first,
+    with ``stage`` by bitmaps of numbered keys, else among distinct values; the
+    rows then meet only those.
     """
-    pk = model.PRIMARY_KEY[table]
-    orphans = orphan_keys(child, column, parent, parent_pk)
-    rows = child.select(F.col(pk), F.col(column).cast("string").alias("value"))
-    same = [F.col("value") == F.col("orphan_key")]
-    broken = lookup_join(rows, Side(orphans, small=False), same, pk, "inner")
+    pk, keys = model.PRIMARY_KEY[table], ParentKeys.of(parent, parent_pk)
+    rows = child.select(F.col(pk), F.col(column).cast("string").alias("value")).filter("value is not null")
+    if keys.small:
+        known = F.broadcast(parent_keys(keys.df, parent_pk))
+        broken = rows.join(known, F.col("value") == F.col("parent_key"), "left_anti")
+    else:
+        name = f"issues/{table}_{column}"
+        orphans = orphan_keys(child, column, keys.df, parent_pk, stage, name)
+        side = orphan_side(orphans, stage, f"{name}/broken")
+        broken = lookup_join(rows, side, [F.col("value") == F.col("orphan_key")], pk, "inner")
     text = F.concat(F.lit("No parent for '"), F.col("value"), F.lit("'"))
     return _issue_rows(broken, table, F.lit(column), ORPHAN, F.col(pk), text)
 
@@ -307,19 +319,28 @@ def surviving_keys(
 
 
 def all_issues(
-    tables: Mapping[str, DataFrame], rules: CleaningRules = DEFAULT_RULES, stage: Stage = as_is
+    tables: Mapping[str, DataFrame],
+    rules: CleaningRules = DEFAULT_RULES,
+    stage: Stage = as_is,
+    copy_raw: bool = False,
 ) -> DataFrame:
     """Issues of every kind in every table, without log columns.
 
-    ``stage`` may write each table once, so that the detectors do not read a
-    raw text file again and again.
+    With ``stage`` the keys of parents are written and counted, which tells
+    how references are best compared.  ``copy_raw`` writes each table first,
+    so that the detectors do not parse a raw text file again and again;
+    columnar input is read by each with the columns that it needs.
     """
-    tables = {
-        name: stage(df, f"issues/{name}")
-        for name, df in tables.items()
-        if name in model.CLEANING_ORDER
+    known = {n: df for n, df in tables.items() if n in model.CLEANING_ORDER}
+    tables = {n: stage(df, f"issues/{n}") for n, df in known.items()} if copy_raw else known
+    parents = {r.parent for t in tables for r in model.references_of(t) if r.parent in tables}
+    keys = {
+        name: ParentKeys(stage(surviving_keys(tables[name], name, rules), f"issues/{name}_keys"), model.PRIMARY_KEY[name])
+        for name in sorted(parents)
     }
-    keys = {name: surviving_keys(df, name, rules) for name, df in tables.items()}
+    if stage is not as_is:
+        sides = measured({name: k.df for name, k in keys.items()}, at_once=True)
+        keys = {name: k._replace(small=sides[name].small) for name, k in keys.items()}
     parts: list[DataFrame] = []
     for table in model.CLEANING_ORDER:
         if table not in tables:
@@ -331,7 +352,7 @@ def all_issues(
         for ref in model.references_of(table):
             if ref.parent in tables and ref.column in df.columns:
                 parent_pk = model.PRIMARY_KEY[ref.parent]
-                parts.append(orphan_issues(df, table, ref.column, keys[ref.parent], parent_pk))
+                parts.append(orphan_issues(df, table, ref.column, keys[ref.parent], parent_pk, stage))
         if set(rules.name_columns.get(table, ("\0",))) <= set(df.columns):
             parts.append(name_issues(df, table, rules))
     return reduce(DataFrame.unionByName, parts)
@@ -342,6 +363,7 @@ def issue_log(
     detected: dt.date,
     rules: CleaningRules = DEFAULT_RULES,
     stage: Stage = as_is,
+    copy_raw: bool = False,
 ) -> DataFrame:
     """All issues as log rows, each with an id of its own.
 
@@ -360,7 +382,7 @@ def issue_log(
         F.col("description"),
         F.col("copy"),
     )
-    counted = all_issues(tables, rules, stage).groupBy(*columns).agg(F.count("*").alias("n"))
+    counted = all_issues(tables, rules, stage, copy_raw).groupBy(*columns).agg(F.count("*").alias("n"))
     each = spread(counted, "n", "copy")
     return each.select(
         F.concat(F.lit("DQL-"), F.sha2(place, 256)).alias("log_id"),
