@@ -20,7 +20,7 @@ SHORTEST, LONGEST, LEAST, FIRST = 2, 5, 100, 2000
 NO_LANGUAGE = "und"
 
 # Words from which a shard is closed.
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 # Hashes of frequent pairs that go to every worker at once; more of them are joined to the shards.
 MOST_SENT = 1_000_000
 # A row holds a whole index: the writer looks at sizes after each row.
