@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from tallygrove.llm.shared import in_pieces, map_texts, text_of, type_of
 
 # Bounds of the memory of encoded words in a Python worker.
-MOST_WORDS, LONGEST_WORD = 1 << 18, 48
+MOST_WORDS, LONGEST_WORD = 1 << 19, 48
 # Code points of a text that are worked on at once.
 AT_ONCE = 1 << 20
 
@@ -175,14 +175,22 @@ class Encoder(dict):
 def _sent(docs: DataFrame, path: str):
     """The tokenizer file for the workers; only the driver needs to reach the path."""
     with open(path, "rb") as file:
-        return docs.sparkSession.sparkContext.broadcast(file.read())
+        return docs.sparkSession.sparkContext.broadcast([file.read()])
+
+
+def _encoder(sent) -> Encoder:
+    """The worker's encoder: kept beside the file for the tasks that follow in the same process."""
+    held = sent.value
+    if len(held) == 1:
+        held.append(Encoder(held[0]))
+    return held[1]
 
 
 def _encoded(docs: DataFrame, path: str, id_col: str, text_col: str, packed: bool, back: bool) -> DataFrame:
     sent = _sent(docs, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = _encoder(sent)
         for piece in in_pieces(batches, 1):
             found = [encoder.encode(t) for t in piece.column(1).to_pylist()]
             counts = np.array([len(ids) for ids in found], dtype=np.int64)
@@ -232,7 +240,7 @@ def decode(rows: DataFrame, path: str, id_col: str = "id", ids_col: str = "ids")
     packed = type_of(rows, ids_col) == "binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(sent.value)
+        encoder = _encoder(sent)
         for batch in batches:
             ids = batch.column(1).to_pylist()
             if packed:
