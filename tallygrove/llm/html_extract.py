@@ -2,9 +2,10 @@
 
 Each page's containers are scored by how much of the page's content they hold
 and how little else.  A container is named by its path of tags and classes
-without numbers.  Spark adds up the scores per host and path; the winning path
-of the host then says where the text of each page is, and a page that lacks it
-uses its own best container.
+without numbers.  Every container with content votes: Spark adds up the scores
+per host and path; the winning path of the host then says where the text of
+each page is, and a page that lacks it uses its own best container.  Work and
+memory are linear in the page, however deep its elements lie.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ import re
 from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from hashlib import blake2b
 from html import unescape
 
 import pyarrow as pa
@@ -72,9 +74,11 @@ _LAYOUT_WORDS = frozenset("with without has no".split())
 _CONTENT_WORDS = frozenset("article content entry post story".split())
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 _NUMBERS = re.compile(r"[0-9]+")
+# Characters of a path; the front of a longer one is named by its hash.
+PATH_CHARS = 240
 
 
-@dataclass
+@dataclass(slots=True)
 class Node:
     tag: str
     parent: int
@@ -137,7 +141,9 @@ def parse(html: str) -> Page:
     page = Page()
     nodes = page.nodes
     nodes.append(Node("html", -1, "", False))
-    stack, opened = [0], defaultdict(int)
+    stack = [0]
+    # Places on the stack of the open elements of each tag.
+    opened: dict[str, list[int]] = defaultdict(list)
     buffer: list[str] = []
     link_chars = 0
     at = 0
@@ -153,7 +159,7 @@ def parse(html: str) -> Page:
     def pop_to(tag: str) -> None:
         while True:
             gone = nodes[stack.pop()].tag
-            opened[gone] -= 1
+            opened[gone].pop()
             if gone == tag:
                 return
 
@@ -195,29 +201,32 @@ def parse(html: str) -> Page:
             if opened["p"]:
                 pop_to("p")
         ends, scope = _ENDS.get(tag, ()), _SCOPE.get(tag, ())
-        for i in reversed(stack) if ends else ():
-            if nodes[i].tag in ends:
-                pop_to(nodes[i].tag)
-                break
-            if nodes[i].tag in scope:
-                break
+        inner = max((opened[t][-1] for t in ends if opened[t]), default=-1)
+        if inner > max((opened[t][-1] for t in scope if opened[t]), default=-1):
+            pop_to(nodes[stack[inner]].tag)
         if tag in ("html", "body") and opened[tag]:
             continue
         up = nodes[stack[-1]]
         attributes = {}
         for a in _ATTRIBUTE.finditer(m[0], name.end()):
             attributes.setdefault(a[1].lower(), unescape((a[2] or "").strip("\"'")))
-        label = ".".join([tag, *sorted(_NUMBERS.sub("", c).lower() for c in attributes.get("class", "").split())])
         inside = up.inside or up.tag in _LANDMARKS
         heading = up.heading or tag in _HEADINGS
-        hidden = _hidden(tag, attributes) or (tag == "header" and not inside)
-        named = not hidden and _named(tag, attributes)
-        words = [[w.lower() for w in _WORDS.findall(x)] or [""] for x in _names(attributes)]
-        remarks = named and any(_REMARK_WORDS.intersection(w) for w in words)
-        headline = tag == "header" or any(map(_headline, words))
+        outer = tag == "header" and not inside
+        label, remarks, headline = tag, False, tag == "header"
+        if attributes:
+            label = ".".join([tag, *sorted(_NUMBERS.sub("", c).lower() for c in attributes.get("class", "").split())])
+            hidden = outer or _hidden(tag, attributes)
+            named = not hidden and _named(tag, attributes)
+            words = [[w.lower() for w in _WORDS.findall(x)] or [""] for x in _names(attributes)]
+            remarks = named and any(_REMARK_WORDS.intersection(w) for w in words)
+            headline = headline or any(map(_headline, words))
+        else:
+            hidden = outer or tag in _NOISE_TAGS
+            named = tag == "form"
         nodes.append(Node(tag, stack[-1], label, up.link or tag == "a", hidden, named, remarks, headline, inside, heading))
+        opened[tag].append(len(stack))
         stack.append(len(nodes) - 1)
-        opened[tag] += 1
     flush()
     judge(page)
     return page
@@ -254,36 +263,69 @@ def judge(page: Page) -> None:
         title[i] &= text[i] > 0
         landmark[up] |= landmark[i]
         title[up] |= title[i]
-    whole = text[0]
-    while whole:
-        clean = [i for i, n in enumerate(nodes) if n.tag in _LANDMARKS and not n.noise]
-        seen: dict[int, int] = defaultdict(int)
-        for i, _, _, _ in page.blocks:
-            if not nodes[i].noise:
-                seen[i] += own[i]
-        sight = [seen[i] for i in range(len(nodes))]
-        for i in range(len(nodes) - 1, 0, -1):
-            sight[nodes[i].parent] += sight[i]
-        clean = [i for i in clean if sight[i]]
-        titled = any(n.tag == "h1" and not n.noise and sight[i] for i, n in enumerate(nodes))
-        lifted = False
-        for i, n in enumerate(nodes):
-            if not n.named or shut[i] or nodes[n.parent].noise:
+    if text[0]:
+        _lift(nodes, own, text, landmark, title)
+        _spread(nodes)
+
+
+def _lift(nodes: list[Node], own: dict[int, int], text: list[int], landmark: list[bool], title: list[bool]) -> None:
+    """Clear ``named`` where it hides the article, from the outer elements to the inner.
+
+    What is in sight only grows, and each rule only gets stricter with it, so
+    an element that stays noise once does so for good: each is looked at once,
+    when all around it is in sight.
+    """
+    below: list[list[int]] = [[] for _ in nodes]
+    for i, n in enumerate(nodes[1:], 1):
+        below[n.parent].append(i)
+    sight = [False] * len(nodes)
+    # Ancestors of the largest element looked at so far, and articles in sight among them.
+    above = [False] * len(nodes)
+    clean = clean_above = 0
+    titled = False
+
+    def show(root: int) -> list[int]:
+        """Bring an element into sight; what is noise by name below it."""
+        nonlocal clean, clean_above, titled
+        edge, todo = [], [root]
+        while todo:
+            i = todo.pop()
+            n = nodes[i]
+            if n.hidden:
                 continue
-            large = 2 * text[i] > whole
-            if not (landmark[i] or title[i] or large) or (n.remarks and sight[0]):
+            if n.named:
+                edge.append(i)
                 continue
-            above, k = set(), i
-            while k >= 0:
-                above.add(k)
+            k = i if own.get(i) else -1
+            while k >= 0 and not sight[k]:
+                sight[k] = True
+                titled |= nodes[k].tag == "h1"
+                if nodes[k].tag in _LANDMARKS:
+                    clean += 1
+                    clean_above += above[k]
                 k = nodes[k].parent
-            beside = any(c not in above for c in clean)
-            if (landmark[i] and not clean) or (title[i] and not titled) or (large and not beside):
-                n.named = False
-                lifted = True
-        if not lifted:
-            return
-        _spread(nodes)
+            todo.extend(below[i])
+        return edge
+
+    edge = show(0)
+    while edge:
+        lifted = []
+        # Elements that do not hold each other: one at most holds over half of the text.
+        for i in edge:
+            n, large = nodes[i], 2 * text[i] > text[0]
+            if large:
+                k = n.parent
+                while k >= 0 and not above[k]:
+                    above[k] = True
+                    clean_above += sight[k] and nodes[k].tag in _LANDMARKS
+                    k = nodes[k].parent
+            if n.remarks and sight[0]:
+                continue
+            if (landmark[i] and not clean) or (title[i] and not titled) or (large and clean == clean_above):
+                lifted.append(i)
+        for i in lifted:
+            nodes[i].named = False
+        edge = [j for i in lifted for j in show(i)]
 
 
 def _spread(nodes: list[Node]) -> None:
@@ -311,35 +353,44 @@ def weigh(page: Page) -> None:
         up.visible += node.visible
 
 
-def paths(page: Page, wanted: list[int]) -> list[str]:
+def _path(up: str, name: str) -> str:
+    """The path one element further down."""
+    path = f"{up}/{name}" if up else name
+    if len(path) <= PATH_CHARS:
+        return path
+    return "#" + blake2b(path.encode("utf-8", "surrogatepass"), digest_size=16).hexdigest()
+
+
+def paths(page: Page) -> list[str]:
     """Generalised path of each element; html and body are left out."""
-    out = []
-    for i in wanted:
-        names = []
-        while i > 0:
-            if page.nodes[i].tag not in ("html", "body"):
-                names.append(page.nodes[i].name)
-            i = page.nodes[i].parent
-        out.append("/".join(reversed(names)))
+    out: list[str] = []
+    # Elements of equal path share one text.
+    known: dict[tuple[str, str], str] = {}
+    for i, node in enumerate(page.nodes):
+        up = out[node.parent] if i else ""
+        if node.tag in ("html", "body"):
+            out.append(up)
+            continue
+        path = known.get((up, node.name))
+        if path is None:
+            path = known[up, node.name] = _path(up, node.name)
+        out.append(path)
     return out
 
 
-def candidates(page: Page, most: int = 5) -> list[tuple[float, int]]:
-    """The best containers of a weighed page: (score, element), best first.
+def candidates(page: Page) -> list[tuple[float, int]]:
+    """All containers of a weighed page that hold content: (score, element), in page order.
 
     The score is the harmonic mean of the share of the page's content that the
-    container holds and the share of content in what it shows.  Of equal ones
-    the inner counts.
+    container holds and the share of content in what it shows.
     """
     whole = page.nodes[0].content
-    if not whole:
-        return []
     found = []
     for i, node in enumerate(page.nodes):
-        if node.tag in _CONTAINERS and not node.noise and node.content * 4 >= whole:
+        if node.content and node.tag in _CONTAINERS and not node.noise:
             share, purity = node.content / whole, node.content / node.visible
             found.append((2 * share * purity / (share + purity), i))
-    return sorted(found, key=lambda x: (-x[0], -x[1]))[:most]
+    return found
 
 
 def text_in(page: Page, roots: set[int]) -> str:
@@ -369,17 +420,17 @@ def extract(html: str, path: str | None) -> str:
     """
     page = parse(html)
     weigh(page)
-    best = candidates(page, 1)
+    # The page's own best holds a quarter of its content at least; of equal ones the inner counts.
+    large = (c for c in candidates(page) if 4 * page.nodes[c[1]].content >= page.nodes[0].content)
+    best = max(large, default=None)
     if path is not None:
-        names = [i for i, n in enumerate(page.nodes) if n.tag in _CONTAINERS and not n.noise]
-        last = path.rsplit("/", 1)[-1]
-        likely = [i for i in names if page.nodes[i].name == last or (not path and page.nodes[i].tag in ("html", "body"))]
-        hits = {i for i, p in zip(likely, paths(page, likely), strict=True) if p == path}
-        enough = not best or 2 * _content(page, hits) >= page.nodes[best[0][1]].content
+        named = paths(page)
+        hits = {i for i, n in enumerate(page.nodes) if named[i] == path and n.tag in _CONTAINERS and not n.noise}
+        enough = best is None or 2 * _content(page, hits) >= page.nodes[best[1]].content
         text = text_in(page, hits) if hits and enough else ""
         if text:
             return text
-    return text_in(page, {best[0][1]} if best else {0})
+    return text_in(page, {best[1]} if best else {0})
 
 
 def host_paths(pages: DataFrame) -> DataFrame:
@@ -395,11 +446,10 @@ def host_paths(pages: DataFrame) -> DataFrame:
             for host, html in zip(piece.column(0).to_pylist(), piece.column(1).to_pylist(), strict=True):
                 page = parse(html)
                 weigh(page)
-                found = candidates(page)
-                named = paths(page, [i for _, i in found])
-                best: dict[str, float] = {}
-                for (score, _), path in zip(found, named, strict=True):
-                    best.setdefault(path, score)
+                named = paths(page)
+                best: dict[str, float] = defaultdict(float)
+                for score, i in candidates(page):
+                    best[named[i]] = max(best[named[i]], score)
                 for path, score in best.items():
                     votes[host, path] += score
             hosts, names = [k[0] for k in votes], [k[1] for k in votes]

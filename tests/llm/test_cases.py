@@ -481,3 +481,52 @@ def test_headings_far_below_count():
     assert html_extract.extract(f"<article>{deep}<p>Text of it</p></article>", None) == "Head\nText of it"
     bold = "<article><header><h1><b><i><u>Head</u></i></b></h1><p>By someone</p></header><p>Text of it</p></article>"
     assert html_extract.extract(bold, None) == "Head\nText of it"
+
+
+@pytest.mark.parametrize("tag", ["<form>", "<div>", "<div class=widget>", "<ul><li><div>", "<div class=ad><article>"])
+def test_deep_pages_take_linear_time(tag):
+    import time
+
+    page = tag * (250_000 // len(tag)) + "some text here"
+    start = time.perf_counter()
+    assert html_extract.extract(page, None) == "some text here"
+    assert time.perf_counter() - start < 10
+
+
+def test_stray_items_below_deep_elements_take_linear_time():
+    import time
+
+    page = "<li><ul>" + "<div>" * 20_000 + "<li></li>" * 20_000 + "some text here"
+    start = time.perf_counter()
+    assert html_extract.extract(page, None) == "some text here"
+    assert time.perf_counter() - start < 10
+
+
+def test_every_container_with_content_votes(spark):
+    """A path that is the sixth best container of each page, or holds under a quarter of it, still counts."""
+    side = "".join(f"<div class=part{c}><p>{'Words of a part. ' * 9}</div>" for c in "abcdefgh")
+    page = html_extract.parse(f"<div class=all>{side}<div class=small><p>Few words</div></div>")
+    html_extract.weigh(page)
+    named = html_extract.paths(page)
+    voters = {named[i] for _, i in html_extract.candidates(page)}
+    assert voters == {"", "div.all", "div.all/div.small", *(f"div.all/div.part{c}" for c in "abcdefgh")}
+    # Ten pages that agree on a small container outvote one each of large ones that differ.
+    rows = [
+        (k, "http://v.org/", f"<div class=x{'abcdefghij'[k]}><p>{'Other words. ' * 3}</div><section class=same><p>Same words</section><footer>F</footer>")
+        for k in range(10)
+    ]
+    votes = html_extract.host_paths(pages_of(spark, rows).select(F.lit("h").alias("host"), "html")).first()
+    assert votes.path in ("", "section.same")
+
+
+def test_long_paths_are_told_apart():
+    deep = "<div class=level>" * 40
+    page = f"{deep}<div class=one><p>First part</p></div><div class=two><p>Second part</p></div>"
+    parsed = html_extract.parse(page)
+    named = html_extract.paths(parsed)
+    assert max(map(len, named)) <= html_extract.PATH_CHARS and len(set(named)) == 43 + 2
+    for i, node in enumerate(parsed.nodes):
+        if node.tag == "div" and node.name == "div.two":
+            html_extract.weigh(parsed)
+            assert html_extract.text_in(parsed, {i}) == "Second part"
+            assert html_extract.extract(page, named[i]) == "Second part"
