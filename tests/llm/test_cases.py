@@ -349,6 +349,73 @@ def test_field_fits_and_decodes_by_the_best_path():
     assert total(field.decode([short])[0]) == pytest.approx(total(best))
 
 
+# Personal data in brackets after its kind; none of these lines is in the labelled table.
+HELD_OUT = (
+    "please call [phone:(555) 867-5309] tonight", "phone [phone:020 7946 0991] for details", 
+    "write to [email:nina at site dot com] first",
+    "server [ip:198 . 51 . 100 . 7] was slow", "card [card:6011.0009.9013.9424] was lost",
+    "Rufen Sie [phone:0176 5554433] an", "Mail an [email:otto at firma punkt de] bitte",
+    "Karte [card:5555.5555.5555.4444] weg", "Rechner [ip:10 . 20 . 30 . 40] steht", 
+    "mon numéro [phone:06.22.33.44.55] merci", "écrivez à [email:paul arobase exemple point fr] demain", "le serveur [ip:192 . 0 . 2 . 44] marche",
+    "carte [card:4242.4242.4242.4242] volée", "Llame al [phone:93 765 43 21] mañana", "Teléfono [phone:699 887 766] siempre",
+    "servidor [ip:203 . 0 . 113 . 9] lento", "tarjeta [card:3782.822463.10005] perdida",
+    "In 1999 we had 365 days and 1,200 guests", "Chapter 7.3 of 2011 has 48 pages", "Die 24 Orte hatten 1950 rund 3.400 Leute",
+    "Rechnung 2021/08-1123 vom 11.02.2021", "En 1848, 12 villages et 900 maisons", "Facture 2020-77 du 03/04/2020, total 12,50",
+    "En 1812 hubo 40 barcos y 700 hombres", "Factura 2019/31 de 21-05-2019", "look at page 12 and at table 4", "Order 99812345677 of lot 20240101 came",
+    "fax [phone:0211-5566778] geht nicht", "ring [phone:555.867.2211] later", "le [phone:01-40-20-50-50] est occupé",
+    "marque el [phone:914 556 677] ya", "ask [email:sam at uni dot edu] soon", "Mail [email:jan at verein punkt de] heute",
+    "contact [email:marc arobase ecole point fr] svp", "escribe a [email:pilar arroba museo punto es] hoy",
+)
+
+
+def test_field_on_held_out_lines():
+    """Recall and precision of whole spans, per kind; figures in the README."""
+    assert not set(HELD_OUT) & set(pii.LABELLED)
+    field = pii.train(sorted(pii.LABELLED))
+    wanted, got = [], []
+    for k, line in enumerate(HELD_OUT):
+        plain, at = "", 0
+        for m in pii._MARKUP.finditer(line):
+            plain += line[at : m.start()]
+            wanted.append((k, m[1], len(plain), len(plain) + len(m[2])))
+            plain, at = plain + m[2], m.end()
+        plain += line[at:]
+        got += [(k, kind.removeprefix("crf_"), s, e) for kind, s, e, _ in pii.find_all([plain], field)[0]]
+    figures = {}
+    for kind in ("email", "ip", "card", "phone"):
+        w, g = ({x for x in xs if x[1] == kind} for xs in (wanted, got))
+        figures[kind] = (len(w & g), len(w), len(g))
+    print(figures)
+    hits, want, found = map(sum, zip(*figures.values(), strict=True))
+    assert hits >= 0.7 * want and hits >= 0.7 * found, figures
+
+
+def test_a_long_line_goes_block_by_block():
+    rng = np.random.default_rng(6)
+    pieces = ["call (555) 867-5309 now", "word", "in 1999", "mail bob at example dot com", "10 . 0 . 0 . 1", "@", "x_y"]
+    line = " ".join(rng.choice(pieces, 9000))
+    field = pii.train(pii.LABELLED)
+    tokens = pii.tokens_of(line)
+    rows, places = zip(*pii.encoded_blocks(line, 0, len(line), 1000), strict=True)
+    assert (np.concatenate(rows) == pii.encode(tokens)).all()
+    assert [tuple(p) for p in np.concatenate(places)] == [t[1:] for t in tokens]
+    wide = pii.Field(field.emit.astype(np.float64), field.move.astype(np.float64))
+    assert (wide.decode_blocks(rows) == wide.decode([pii.encode(tokens)])[0]).all()
+    assert len(wide.decode_blocks([])) == 0
+    found = pii.find_all([line], field)[0]
+    assert sum(kind == "crf_phone" for kind, *_ in found) >= line.count("(555)") * 0.9
+    short = pii.find_all(["call (555) 867-5309 now"], field)[0]
+    assert [(k, e - s) for k, s, e, _ in short] == [("crf_phone", 14)]
+
+
+def test_the_labelled_table_is_read_in_order(spark, odd):
+    """Which lines count does not depend on how the table is dealt."""
+    table = pii.labelled_table(spark)
+    one = pii.find_personal_data(odd, table.repartition(7), most_labelled=30).collect()
+    assert one == pii.find_personal_data(odd, table.coalesce(1), most_labelled=30).collect()
+    assert len(pii.find_personal_data(odd, table.unionAll(spark.createDataFrame([(None,), ("",)], "line string"))).collect()) == len(ODD)
+
+
 def test_base_patterns_on_hard_texts():
     for text in ("a" * 50_000 + "@", "1" * 50_000, "1." * 20_000, "+" * 20_000 + "1", "a@b.c@d.e..f@g", "1.2.3.4.5.6.7.8 256.1.1.1"):
         spans = pii.base_spans(text)
