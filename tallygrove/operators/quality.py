@@ -12,7 +12,7 @@ import datetime as dt
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove import model
@@ -166,26 +166,103 @@ def orphan_issues(
 # -- names -------------------------------------------------------------------
 
 
-def _without_one(texts: Column) -> Column:
-    """All texts with one character left out, for an array of texts."""
-    def drop_each(text: Column) -> Column:
-        positions = F.sequence(F.lit(1), F.greatest(F.length(text), F.lit(1)))
-        return F.transform(
-            positions,
-            lambda i: F.concat(F.substr(text, F.lit(1), i - 1), F.substr(text, i + 1)),
-        )
+def _common_length(one: Column, other: Column) -> Column:
+    """The number of characters with which both texts begin."""
+    upto = F.sequence(F.lit(0), F.length(one))
+    return F.size(F.filter(upto, lambda i: F.left(one, i) == F.left(other, i))) - 1
 
-    return F.array_distinct(F.flatten(F.transform(texts, drop_each)))
 
+def _cores(spellings: DataFrame) -> DataFrame:
+    """Spellings with their ``core``: without what all texts of their block begin and end with.
 
-def _deletions(text: Column, distance: int) -> Column:
-    """The text with up to ``distance`` characters left out."""
-    level = F.array(text)
-    levels = level
+    Texts are as many edits apart as their cores.  ``lengths`` are those of the
+    cores of the block.
+    """
+    text = F.col("spelling")
+    back = F.reverse(text)
+    ends = spellings.groupBy("block").agg(
+        _common_length(F.min(text), F.max(text)).alias("front"),
+        _common_length(F.min(back), F.max(back)).alias("back"),
+        F.min(F.length(text)).alias("least"),
+        F.collect_set(F.length(text)).alias("lengths"),
+    )
+    back = F.least("back", F.col("least") - F.col("front"))
+    lengths = F.transform("lengths", lambda n: n - F.col("front") - back)
+    ends = ends.select(
+        F.col("block").alias("of_block"), "front", back.alias("back"), lengths.alias("lengths")
+    )
+    met = lookup_join(
+        spellings, Side(ends, small=False), [F.col("block") == F.col("of_block")], "spelling", "inner"
+    )
+    core = F.substr(text, F.col("front") + 1, F.length(text) - F.col("front") - F.col("back"))
+    return met.select("block", "spelling", "first_id", core.alias("core"), "lengths")
+
+
+def _edited(spellings: DataFrame, distance: int) -> DataFrame:
+    """A row per spelling and way to mask and leave out up to ``distance`` characters.
+
+    ``form`` is what is left, with the places of its masks before it; ``masked``
+    and ``left_out`` are numbers of characters.  Ways that no other length of
+    the block can meet are left out.
+    """
+    df = spellings.select(
+        "*", F.lit("").alias("done"), F.col("core").alias("rest"), F.lit("").alias("places"),
+        F.lit(0).alias("masked"), F.lit(0).alias("left_out"),
+    )
+    rest, at = F.col("rest"), F.col("at")
     for _ in range(distance):
-        level = _without_one(level)
-        levels = F.array_union(levels, level)
-    return levels
+        # Positive: mask that character; negative: leave it out; zero: no further edit.
+        # Of equal characters in a row only the first is left out.
+        again = (at < -1) & (F.substr(rest, -at, F.lit(1)) == F.substr(rest, -at - 1, F.lit(1)))
+        df = df.withColumn("at", F.explode(F.sequence(-F.length(rest), F.length(rest)))).filter(~again)
+        done = F.concat("done", F.when(at == 0, rest).otherwise(F.left(rest, F.abs(at) - 1)))
+        df = df.withColumns({
+            "done": done,
+            "rest": F.when(at == 0, "").otherwise(F.substr(rest, F.abs(at) + 1)),
+            "places": F.when(at > 0, F.concat("places", F.length(done).cast("string"), F.lit(","))).otherwise(F.col("places")),
+            "masked": F.col("masked") + (at > 0).cast("int"),
+            "left_out": F.col("left_out") + (at < 0).cast("int"),
+        })
+    used = F.col("masked") + F.col("left_out")
+    # The length of a text that meets this one with ``i`` characters left out itself.
+    length = F.length("core") - F.col("left_out")
+    meets = [
+        (used + i <= distance) & (used + i > 0) & F.array_contains("lengths", length + i)
+        for i in range(distance + 1)
+    ]
+    return df.filter(reduce(Column.__or__, meets)).select(
+        "block", "spelling", "first_id", "masked", "left_out",
+        F.concat("places", F.lit(":"), "done", "rest").alias("form"),
+    )
+
+
+def _nearest_earlier(spellings: DataFrame, distance: int) -> DataFrame:
+    """Per spelling and way to edit it, the earliest text of the block that is met so.
+
+    Two texts are ``n`` edits apart if and only if masking the characters that
+    are replaced, and leaving out those that only one of them has, makes them
+    equal with ``n`` masks and left-out characters in all.  Of the texts with
+    one form only the earliest per number of left-out characters can be the
+    answer for any other, so none are paired: the rows grow with the spellings,
+    however many of them are near each other.  A row may name a text that is
+    nearer than its ``edits``; that text then has a row with fewer, which wins.
+    """
+    tasks = int(spellings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Every spelling grows to many forms, so they are dealt out evenly first;
+    # adaptive coalescing would pack them by their small size.
+    forms = _edited(_cores(spellings).repartition(tasks, "spelling"), distance)
+    alike = Window.partitionBy("key", "form", "block")
+    one = F.struct(F.col("first_id").alias("near_id"), F.col("spelling").alias("near_spelling"))
+    firsts = {f"__first_{i}": F.min(F.when(F.col("left_out") == i, one)).over(alike) for i in range(distance + 1)}
+    met = forms.withColumn("key", F.xxhash64("block", "form")).withColumns(firsts)
+
+    def found(i: int) -> Column:
+        first, edits = F.col(f"__first_{i}"), F.col("masked") + F.col("left_out") + i
+        earlier = (first["near_id"] < F.col("first_id")) & edits.between(1, distance)
+        return F.when(earlier, F.struct(edits.alias("edits"), first["near_id"].alias("near_id"), first["near_spelling"].alias("near_spelling")))
+
+    best = F.least(*map(found, range(distance + 1)))
+    return met.select("block", "spelling", best.alias("best")).filter("best is not null")
 
 
 def _piece(text: Column, length: Column, i: Column, pieces: int, shift: Column) -> Column:
@@ -220,40 +297,29 @@ def _pieces_looked_for(text: Column, distance: int) -> Column:
 FORMS_UP_TO = 128
 
 
-def _candidates(spellings: DataFrame, distance: int, forms_up_to: int) -> DataFrame:
-    """Pairs of a spelling and an earlier one that may be near, within a block.
+def _long_candidates(spellings: DataFrame, distance: int, forms_up_to: int) -> DataFrame:
+    """Pairs of an over-long spelling and an earlier one that may be near, within a block.
 
-    Up to the declared width, two texts within ``distance`` edits share a form
-    with at most that many characters left out.  How many spellings share a
-    form depends on the alphabet and the length of the name, not on how often
-    a name occurs.  The number of forms grows with the square of the length,
-    so over-long texts are cut in ``distance + 1`` pieces instead, one of which
-    must be untouched.  Both keys are hashes: they only propose a pair.
+    The number of forms grows with the square of the length, so over-long texts
+    are cut in ``distance + 1`` pieces, one of which must be untouched.  The
+    keys are hashes: they only propose a pair.
     """
     def keyed(df: DataFrame, keys: Column) -> DataFrame:
-        # Every spelling grows to many keys, so the (few) spellings are dealt out
-        # evenly first; adaptive coalescing would pack them by their small size.
+        # Dealt out evenly first, as in :func:`_nearest_earlier`.
         tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
         return df.repartition(tasks, "spelling").select(
             F.explode(keys).alias("key"), "block", "spelling", "first_id"
         ).withColumn("key", F.xxhash64("block", "key"))
 
-    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-        # Catalyst does not see how far the keys multiply; the hint keeps it from
-        # broadcasting them.
-        earlier = right.toDF("near_key", "near_block", "near_spelling", "near_id").hint("merge")
-        return left.join(earlier, F.col("key") == F.col("near_key")).filter(
-            "block = near_block and near_id < first_id"
-        )
-
     text = F.col("spelling")
-    short = spellings.filter(F.length(text) <= forms_up_to)
-    forms = keyed(short, _deletions(text, distance))
     # Shorter ones by up to ``distance`` may be near to one that is over-long.
     long = spellings.filter(F.length(text) > forms_up_to - distance)
     looked_for = keyed(long, _pieces_looked_for(text, distance))
-    return paired(forms, forms).unionByName(
-        paired(looked_for, keyed(long, _own_pieces(text, distance)))
+    # Catalyst does not see how far the keys multiply; the hint keeps it from
+    # broadcasting them.
+    earlier = keyed(long, _own_pieces(text, distance)).toDF("near_key", "near_block", "near_spelling", "near_id")
+    return looked_for.join(earlier.hint("merge"), F.col("key") == F.col("near_key")).filter(
+        "block = near_block and near_id < first_id"
     )
 
 
@@ -270,7 +336,9 @@ def name_variants(
     "Earlier" is by the least primary key that carries a spelling; a name is
     reported once per record with its nearest earlier spelling (ties to the
     earliest), never once per pair of records.  Equal names are reduced to one
-    row per (block, spelling) before anything is compared.
+    row per (block, spelling) before anything is compared.  Names up to the
+    declared width meet by their forms (see :func:`_nearest_earlier`), longer
+    ones in pairs that share a piece.
     """
     keyed = df.select(
         F.col(pk).cast("string").alias("record_id"),
@@ -279,13 +347,14 @@ def name_variants(
     ).filter("spelling is not null")
     spellings = keyed.groupBy("block", "spelling").agg(F.min("record_id").alias("first_id"))
     near = F.levenshtein(F.col("spelling"), F.col("near_spelling"), distance)
-    best = (
-        _candidates(spellings, distance, forms_up_to)
+    long = (
+        _long_candidates(spellings, distance, forms_up_to)
         .withColumn("edits", near)
         .filter(F.col("edits").between(1, distance))
-        .groupBy("block", "spelling")
-        .agg(F.min(F.struct("edits", "near_id", "near_spelling")).alias("best"))
+        .select("block", "spelling", F.struct("edits", "near_id", "near_spelling").alias("best"))
     )
+    short = _nearest_earlier(spellings.filter(F.length("spelling") <= forms_up_to), distance)
+    best = short.unionByName(long).groupBy("block", "spelling").agg(F.min("best").alias("best"))
     found = best.toDF("near_block", "near_of", "best")
     same = [F.col("block") == F.col("near_block"), F.col("spelling") == F.col("near_of")]
     return lookup_join(keyed, Side(found, small=False), same, "record_id", "inner").select(

@@ -170,6 +170,29 @@ def test_hot_name_does_not_multiply(spark):
     assert found.count() == 1000
 
 
+def _join_rows(plan):
+    """Rows that each join of a finished plan has given."""
+    name = plan.nodeName().split(" ")[0]
+    if name == "AdaptiveSparkPlan":
+        below = [plan.executedPlan()]
+    elif name.endswith("QueryStage"):
+        below = [plan.plan()]
+    else:
+        below = [plan.children().apply(i) for i in range(plan.children().size())]
+    own = [plan.metrics().apply("numOutputRows").value()] if "Join" in name else []
+    return own + [n for one in below for n in _join_rows(one)]
+
+
+def test_dense_names_are_not_paired(spark):
+    n = 2000
+    df = spark.range(n).select(
+        F.format_string("%05d", "id").alias("id"), F.format_string("name %05d", "id").alias("name"), F.lit("1").alias("region")
+    )
+    found = quality.name_variants(df, "id", "name", "region")
+    assert len(found.collect()) == n - 1
+    assert max(_join_rows(found._jdf.queryExecution().executedPlan())) <= 20 * n
+
+
 def test_issue_ids_are_unique(dirty):
     import datetime as dt
 
