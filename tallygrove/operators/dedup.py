@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.functions.text import match_key
-from tallygrove.operators.joins import Side, lookup_join
+from tallygrove.operators.joins import LOOKUP_SALTS, slots_of
 from tallygrove.rules import DEFAULT_RULES, CleaningRules
 
 
@@ -59,6 +59,9 @@ def deduplicate(
     return first_per_key(untagged, rules.match_keys.get(table, ()), pk, known)
 
 
+# Slots that fit the bits of a number.
+_MOST_SLOTS = 62
+
 # Repeats of one row that are spelt out at once.
 _COPIES = 10_000
 
@@ -79,25 +82,33 @@ def spread(rows: DataFrame, n: str, copy: str) -> DataFrame:
 def key_repeats(df: DataFrame, match_columns: Sequence[str], pk: str) -> DataFrame:
     """A row (primary key, first key of the group) for each one that deduplication drops.
 
-    Rows are reduced to counts per match key and primary key, then to groups
-    with their first primary key (NULL first, as in :func:`first_per_key`).
-    The counts of repeated groups meet these, spread over tasks where a match
-    key has many; a count is spelt out as that many rows, one less for the
-    first primary key, whose first row stays.
+    Groups with their first primary key (NULL first, as in :func:`first_per_key`)
+    are found by one aggregate that leaves each task with a row per match key.
+    The rows meet the repeated groups, dealt to slots by primary key; a group is
+    copied only to the slots its rows are in.  Rows with equal keys meet in one
+    slot, so they are counted where they are; a count is spelt out as that many
+    rows, one less for the first primary key, whose first row stays.
     """
-    names = [f"__k{i}" for i, _ in enumerate(_keys(df, match_columns))]
-    if not names:
+    keys = _keys(df, match_columns)
+    if not keys:
         return df.select(pk, F.col(pk).alias("first_id")).filter(F.lit(False))
-    keyed = df.select(pk, *[k.alias(n) for k, n in zip(_keys(df, match_columns), names)])
-    per_id = keyed.groupBy(*names, pk).agg(F.count("*").alias("__n"))
+    salts = min(slots_of(df, LOOKUP_SALTS, 16), _MOST_SLOTS)
+    slot = F.pmod(F.xxhash64(pk), F.lit(salts)).cast("int")
+    # Within a struct NULLs equal each other.
+    keyed = df.select(pk, F.struct(*keys).alias("__key"), slot.alias("__slot"))
     firsts = (
-        per_id.groupBy(*names)
-        .agg(F.min(F.struct(F.col(pk).isNotNull(), F.col(pk).alias("id"))).alias("__first"), F.sum("__n").alias("__rows"))
+        keyed.groupBy(F.col("__key").alias("__repeated"))
+        .agg(
+            F.min(F.struct(F.col(pk).isNotNull(), F.col(pk).alias("id"))).alias("__first"),
+            F.bit_or(F.expr("shiftleft(1L, __slot)")).alias("__slots"),
+            F.count("*").alias("__rows"),
+        )
         .filter("__rows > 1")
-        .select(*[F.col(n).alias(f"{n}r") for n in names], F.col("__first.id").alias("first_id"))
     )
-    same_key = [F.col(n).eqNullSafe(F.col(f"{n}r")) for n in names]
-    met = lookup_join(per_id, Side(firsts, small=False), same_key, pk, "inner")
+    used = F.filter(F.sequence(F.lit(0), F.lit(salts - 1)), lambda i: F.getbit("__slots", i) == 1)
+    copied = firsts.select("__repeated", F.col("__first.id").alias("first_id"), F.explode(used).alias("__copy"))
+    met = keyed.join(copied, (F.col("__key") == F.col("__repeated")) & (F.col("__slot") == F.col("__copy")))
+    counted = met.groupBy("__key", "__slot", pk, "first_id").agg(F.count("*").alias("__all"))
     kept = F.col(pk).eqNullSafe(F.col("first_id")).cast("int")
-    dropped = met.select(pk, "first_id", (F.col("__n") - kept).alias("__n")).filter("__n > 0")
+    dropped = counted.select(pk, "first_id", (F.col("__all") - kept).alias("__n")).filter("__n > 0")
     return spread(dropped, "__n", "__copy").select(pk, "first_id")

@@ -18,7 +18,7 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 LOOKUP_SALTS = 16
 
 
-def _slots(df: DataFrame, least: int, share: int) -> int:
+def slots_of(df: DataFrame, least: int, share: int) -> int:
     """Slots for dealing rows: one for every ``share`` shuffle partitions, ``least`` at least."""
     partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, partitions // share)
@@ -105,7 +105,7 @@ def lookup_join(
     """
     if side.small:
         return rows.join(F.broadcast(side.df), list(same), how)
-    salts = salts or _slots(rows, LOOKUP_SALTS, 16)
+    salts = salts or slots_of(rows, LOOKUP_SALTS, 16)
     slot = F.pmod(F.xxhash64(row_key), F.lit(salts)).cast("int")
     copies = F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))
     meet = [*same, F.col("__slot") == F.col("__copy")]
@@ -122,7 +122,7 @@ def grid(
     every slot, and the two meet on the slot.  The work is spread over the
     slots and neither side passes through the driver or one task.
     """
-    slots = slots or _slots(left, 64, 1)
+    slots = slots or slots_of(left, 64, 1)
     dealt = left.withColumn("__slot", F.pmod(F.xxhash64(left_key), F.lit(slots)).cast("int"))
     copies = F.explode(F.sequence(F.lit(0), F.lit(slots - 1)))
     copied = right.withColumn("__slot", copies)

@@ -9,6 +9,7 @@ from tallygrove import model
 from tallygrove.operators import quality
 from tallygrove.plans.clean import clean
 from tallygrove.sources import csv_dir, sinks
+from tests.conftest import plan_of
 
 DAY = dt.date(2025, 1, 1)
 
@@ -97,6 +98,18 @@ def test_log_remembers(spark):
     assert nothing.count() == 0
 
 
+def test_rows_are_shuffled_once_for_repeated_keys(spark):
+    from tallygrove.operators import dedup
+    from tests.test_skew import settings
+
+    table = spark.range(100).select(F.col("id").alias("beneficiary_id"), (F.col("id") % 60).cast("string").alias("full_name"))
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        repeats = dedup.key_repeats(table, ("full_name",), "beneficiary_id")
+        # Groups, rows and the groups' copies.
+        assert plan_of(repeats).count("Exchange hashpartitioning") == 3
+        assert sorted(map(tuple, repeats.collect())) == [(i, i - 60) for i in range(60, 100)]
+
+
 def test_audit_of_all_twelve_tables(spark, tmp_path):
     """Counted while the tables are written, and by an aggregate of the lazy plan: the same."""
     from checks.fixtures import raw_sample
