@@ -476,13 +476,24 @@ def merge_log(previous: DataFrame, current: DataFrame) -> DataFrame:
     any other; merging the same run twice changes nothing.
     """
     names = previous.columns
-    old = previous.select(F.col("log_id").alias("__old_id"), F.struct(*names).alias("__old"))
-    new = current.select(F.col("log_id").alias("__new_id"), F.struct(*names).alias("__new"))
-    met = new.join(old, F.col("__new_id") == F.col("__old_id"), "full")
-    open_before = F.col("__old.resolved") == 0
+    # The hash of an id takes half the room as bytes; ids of another form stay texts.
+    ours = F.col("log_id").rlike("^DQL-[0-9a-f]{64}$")
+    digest = F.when(ours, F.unhex(F.substr("log_id", F.lit(5)))).otherwise(F.lit(b""))
+    other = F.when(ours, "").otherwise(F.col("log_id"))
+    rest = F.struct(*(c for c in names if c != "log_id"))
+
+    def packed(log: DataFrame, side: str) -> DataFrame:
+        return log.select(digest.alias(f"{side}_hash"), other.alias(f"{side}_other"), rest.alias(side))
+
+    old, new = packed(previous, "__old"), packed(current.select(*names), "__new")
+    same = [F.col(f"__new_{part}") == F.col(f"__old_{part}") for part in ("hash", "other")]
+    met = new.join(old, same, "full")
+    gone, open_before = F.col("__new").isNull(), F.col("__old.resolved") == 0
     merged = (
-        F.when(F.col("__new_id").isNull(), F.col("__old").withField("resolved", F.lit(1)))
+        F.when(gone, F.col("__old").withField("resolved", F.lit(1)))
         .when(open_before, F.col("__old"))
         .otherwise(F.col("__new"))
     )
-    return met.select(merged.alias("__row")).select("__row.*")
+    hashed, plain = (F.when(gone, F.col(f"__old_{part}")).otherwise(F.col(f"__new_{part}")) for part in ("hash", "other"))
+    log_id = F.when(F.length(hashed) > 0, F.concat(F.lit("DQL-"), F.lower(F.hex(hashed)))).otherwise(plain)
+    return met.select(log_id.alias("log_id"), merged.alias("__row")).select("log_id", "__row.*").select(*names)

@@ -98,6 +98,21 @@ def test_log_remembers(spark):
     assert nothing.count() == 0
 
 
+def test_ids_are_compared_as_bytes(spark):
+    """Those of another form, and none, stay as they are."""
+    from tests.test_skew import settings
+
+    form = "log_id string, description string, resolved int"
+    ours = "DQL-" + "0f" * 32
+    old = spark.createDataFrame([(ours, "a", 0), ("DQL-1", "b", 0), ("by hand", "c", 1), (None, "d", 0)], form)
+    new = spark.createDataFrame([(ours, "a2", 0), ("by hand", "c2", 0), (ours.upper(), "e", 0), (None, "f", 0)], form)
+    with settings(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        merged = quality.merge_log(old, new)
+        assert "hashpartitioning(__old_hash" in plan_of(merged)
+        want = [(ours, "a", 0), ("DQL-1", "b", 1), ("by hand", "c2", 0), (None, "d", 1), (ours.upper(), "e", 0), (None, "f", 0)]
+        assert sorted(map(repr, map(tuple, merged.collect()))) == sorted(map(repr, want))
+
+
 def test_rows_are_shuffled_once_for_repeated_keys(spark):
     from tallygrove.operators import dedup
     from tests.test_skew import settings
