@@ -31,9 +31,9 @@ class ParentKeys(NamedTuple):
         return cls(parent, pk) if isinstance(parent, DataFrame) else parent
 
     @staticmethod
-    def size(pk: str) -> Column:
+    def size(key: Column) -> Column:
         """The bytes of a parent's keys, to be counted while it is written."""
-        return F.coalesce(F.sum(F.coalesce(F.octet_length(F.col(pk).cast("string")), F.lit(0)) + 8), F.lit(0))
+        return F.coalesce(F.sum(F.coalesce(F.octet_length(key.cast("string")), F.lit(0)) + 8), F.lit(0))
 
     @classmethod
     def counted(cls, df: DataFrame, pk: str, found: Mapping[str, int]) -> ParentKeys:

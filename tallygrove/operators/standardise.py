@@ -180,8 +180,7 @@ def cast_edits(
     for column in df.columns:
         if column in rules.integer_columns:
             # Through double, so that "34.0" is read; halves round up.
-            whole = F.floor(number_of(df, column) + 0.5)
-            value = F.when(whole.between(-(2**31), 2**31 - 1), whole.cast("int"))
+            value = F.floor(number_of(df, column) + 0.5).try_cast("int")
         elif column in rules.float_columns:
             value = number_of(df, column)
             if column in types:

@@ -115,9 +115,12 @@ def _clean_table(
     outliers = standardise.outlier_edits(df, rules)
     df = apply_edits(df, outliers, keep_flags=True)
     strategies = rules.fill.get(table, {})
-    if table in rules.match_keys and {"median", "mode"} & set(strategies.values()):
-        # The search for medians and modes would repeat the shuffle of the repeated keys.
+    # Has every value of a reference that the cleaned table has, at the cost of one column.
+    values = raw
+    if table in rules.match_keys and (categories or {"median", "mode"} & set(strategies.values())):
+        # The search for medians, modes and unmapped texts would repeat the shuffle of the repeated keys.
         df = stage(df, f"{table}/standardised")
+        values = df if written else raw
     log.categories(categories, partial(standardise.unmapped_values, df, table, rules))
     log.outliers(outliers)
     before = beside(log.before)
@@ -136,24 +139,25 @@ def _clean_table(
         if parent.small:
             df = flag_orphans(df, ref.column, parent, flag)
         else:
-            # The raw table has every value the cleaned one has, at the cost of one column of it.
             name = f"{table}/orphans_{ref.column}"
-            broken = orphan_keys(raw, ref.column, parent.df, parent.pk, stage, name)
+            broken = orphan_keys(values, ref.column, parent.df, parent.pk, stage, name)
             side = orphan_side(broken, stage, f"{name}/broken")
             df = null_orphans(df, ref.column, side, pk, flag)
         log.reference(ref.column, flag)
 
     casts = standardise.cast_edits(df, rules, types)
-    df = apply_edits(df, casts)
     log.types(casts)
     if not written:
+        df = apply_edits(df, casts)
         return _Done(drop_flags(df), ParentKeys(keys, pk), lambda: log.rows(df.agg(*log.measures()).first(), before()))
 
     # Nothing is shuffled between here and the files, and the tasks that write
-    # count once however often they are tried.
+    # count once however often they are tried.  Rows are counted before their
+    # types are cast, so that Spark compiles the two halves of the steps apart:
+    # the JVM leaves methods of more than 8,000 bytes uncompiled.
     counts = Observation(f"{table} audit")
-    seen = df.observe(counts, *log.measures(), ParentKeys.size(pk).alias("__bytes"))
-    df = stage(drop_flags(seen), f"{table}/clean")
+    seen = df.observe(counts, *log.measures(), ParentKeys.size(strip(F.col(pk))).alias("__bytes"))
+    df = stage(drop_flags(apply_edits(seen, casts)), f"{table}/clean")
     found = counts.get
     return _Done(df, ParentKeys.counted(df.select(pk), pk, found), lambda: log.rows(found, before()))
 
@@ -171,8 +175,8 @@ def clean(
     Without ``stage_dir`` rows stay a lazy plan, but for the few numbers that
     medians are found by.  With it (a folder every executor can reach) each
     table is written once, clean, and its audit is counted while it is written.
-    Where repeated keys and medians meet, the table is also written after its
-    row-wise steps, so that the keys are shuffled once.  Tables that do not
+    Where repeated keys meet medians or categories, the table is also written
+    after its row-wise steps, so that the keys are shuffled once.  Tables that do not
     depend on each other are cleaned at the same time.  ``copy_raw`` writes the
     input first: use it for CSV or costly views, whose rows would otherwise be
     parsed again for the audit's raw counts and unmapped texts.
