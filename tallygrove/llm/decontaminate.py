@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, staged, text_of, type_of, without
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, side_of, staged, text_of, type_of, without
+from tallygrove.operators.joins import join_dimension
 
 WINDOW = 13
 GRAM = 5
@@ -261,8 +261,7 @@ def contamination(
     met = look_up(_flat(prints), known, ["print"], "key", "left_semi")
     hits = met.groupBy(F.col("key").alias("at")).agg(F.collect_set(F.struct("place", "length")).alias("hits"))
     hits = staged(hits, "hits")
-    side = measured({"hits": hits}, at_once=True)["hits"]
-    nominated = join_dimension(texts.select("key", "text"), side, "key", "at", "inner")
+    nominated = join_dimension(texts.select("key", "text"), side_of(hits), "key", "at", "inner")
     around = staged(_windows_around(nominated.select("key", "text", "hits"), gram).distinct(), "windows")
     found = staged(around.join(wanted.withColumnRenamed("window", "of"), F.col("window") == F.col("of")).select("key", "start", "length", "item"), "found")
     listed = found.groupBy("key").agg(F.sort_array(F.collect_set("item")).alias("items"))

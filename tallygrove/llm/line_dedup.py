@@ -14,8 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import WORD, let, look_up, row_key, staged, text_of
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import WORD, let, look_up, row_key, side_of, staged, text_of
+from tallygrove.operators.joins import join_dimension
 
 MIN_WORDS = 50
 
@@ -138,8 +138,7 @@ def line_dedup(
     )
     whole = F.struct(*(docs[c] for c in docs.columns))
     rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
-    side = measured({"ranges": staged(cut, "ranges")}, at_once=True)["ranges"]
-    met = join_dimension(rows, side, "__key", "__of", "left")
+    met = join_dimension(rows, side_of(staged(cut, "ranges")), "__key", "__of", "left")
     made = {
         text_col: _without(F.col("__row")[text_col], F.col("__ranges")),
         "n_removed_lines": F.coalesce("__lines_cut", F.lit(0)).cast("bigint"),

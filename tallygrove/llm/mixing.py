@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import WORD, look_up, row_key, staged, text_of
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import WORD, look_up, row_key, side_of, staged, text_of
+from tallygrove.operators.joins import join_dimension
 
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
@@ -148,9 +148,8 @@ def mix_documents(
     # Rows equal in id, text and source are interchangeable: one of them stands for every place they hold.
     repeated = staged(mixed.groupBy("key").count().filter("count > 1").select("key"), "repeated")
     if not repeated.isEmpty():
-        side = measured({"repeated": repeated}, at_once=True)["repeated"]
+        side = side_of(repeated)
         once = join_dimension(rows, side, "__key", "key", "left_semi")
         once = once.groupBy("__key").agg(F.first("__row").alias("__row"))
         rows = join_dimension(rows, side, "__key", "key", "left_anti").unionAll(once)
-    side = measured({"mixed": mixed.filter("taken > 0")}, at_once=True)["mixed"]
-    return join_dimension(rows, side, "__key", "key", "inner").select("__row.*", *made)
+    return join_dimension(rows, side_of(mixed.filter("taken > 0")), "__key", "key", "inner").select("__row.*", *made)

@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallygrove.llm.line_dedup import MIN_WORDS
-from tallygrove.llm.shared import SPACE, WORD, let, look_up, row_key, staged, text_of
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import SPACE, WORD, let, look_up, row_key, side_of, staged, text_of
+from tallygrove.operators.joins import join_dimension
 
 GRAM = 8
 
@@ -85,8 +85,7 @@ def repeated_passages(
     met = staged(met.filter("a != b or own").select("f"), "passage_met")
     candidates = look_up(runs, met, ["f"], "key", "left_semi")
     by_text = candidates.groupBy(F.col("key").alias("of")).agg(F.collect_list(F.struct("f", "from", "to")).alias("runs"))
-    side = measured({"runs": staged(by_text, "passage_candidates")}, at_once=True)["runs"]
-    hit = join_dimension(texts, side, "key", "of", "inner")
+    hit = join_dimension(texts, side_of(staged(by_text, "passage_candidates")), "key", "of", "inner")
     hashed = hit.select("id", "key", _word_hashes(F.col("text")).alias("words"), "runs")
     cut = hashed.select(
         "id", "key",
@@ -154,8 +153,7 @@ def passage_dedup(
     )
     whole = F.struct(*(docs[c] for c in docs.columns))
     rows = docs.select(F.xxhash64(row_key(docs, id_col, text_col)).alias("__key"), whole.alias("__row"))
-    side = measured({"ranges": staged(cut, "passage_ranges")}, at_once=True)["ranges"]
-    met = join_dimension(rows, side, "__key", "__of", "left")
+    met = join_dimension(rows, side_of(staged(cut, "passage_ranges")), "__key", "__of", "left")
     made = {
         text_col: _without(F.col("__row")[text_col].cast("string"), F.col("__ranges")),
         "n_removed_words": F.coalesce("__cut", F.lit(0)).cast("bigint"),

@@ -11,7 +11,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallygrove.operators.joins import join_dimension, lookup_join, measured
+from tallygrove.operators.joins import Side, join_dimension, lookup_join, measured
 from tallygrove.session import scratch_path
 
 # Fixed by the contract: what separates words.
@@ -23,6 +23,9 @@ PIECE_BYTES = 2 << 20
 # Rows with whole texts that Spark sends to a Python worker at once.
 TEXT_ROWS = 1000
 BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# Text widths of a table that is broadcast: while the driver builds and sends it, its heap
+# takes about ten times the bytes of the rows.
+MOST_BROADCAST = 8 << 20
 
 
 def text_of(df: DataFrame, column: str) -> Column:
@@ -55,6 +58,16 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def side_of(table: DataFrame) -> Side:
+    """A written table as the one-side of a join: broadcast if it is small, else never.
+
+    Without the hint Spark would go by the size of the files, which says
+    little about the rows, and nothing about their copies in ``lookup_join``.
+    """
+    small = measured({"table": table}, at_once=True, most_bytes=MOST_BROADCAST)["table"].small
+    return Side(table if small else table.hint("merge"), small)
+
+
 def look_up(rows: DataFrame, keys: DataFrame, on: list[str], spread_by: str, how: str) -> DataFrame:
     """Join rows to a table that has each key once.
 
@@ -62,19 +75,17 @@ def look_up(rows: DataFrame, keys: DataFrame, on: list[str], spread_by: str, how
     where it is small; otherwise hot keys of the rows are salted.
     """
     renamed = keys.select(*(F.col(c).alias(f"__k_{c}") if c in on else F.col(c) for c in keys.columns))
-    side = measured({"keys": renamed}, at_once=True)["keys"]
     same = [F.col(c) == F.col(f"__k_{c}") for c in on]
-    joined = lookup_join(rows, side, same, spread_by, how)
+    joined = lookup_join(rows, side_of(renamed), same, spread_by, how)
     return joined.drop(*(f"__k_{c}" for c in on))
 
 
 def without(docs: DataFrame, keys: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """The documents whose ``row_key`` is not among the ``key`` column of ``keys``."""
     dropped = staged(keys.select(F.col("key").alias("__of")).distinct(), "dropped")
-    side = measured({"dropped": dropped}, at_once=True)["dropped"]
     whole = F.struct(*(docs[c] for c in docs.columns))
     rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
-    return join_dimension(rows, side, "__key", "__of", "left_anti").select("__row.*")
+    return join_dimension(rows, side_of(dropped), "__key", "__of", "left_anti").select("__row.*")
 
 
 def map_texts(

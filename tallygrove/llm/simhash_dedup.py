@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallygrove.llm.components import components
-from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, staged, text_of, type_of, without
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import in_pieces, look_up, map_texts, row_key, side_of, staged, text_of, type_of, without
+from tallygrove.operators.joins import join_dimension
 
 SEED = 42
 RADIUS = 3
@@ -208,9 +208,8 @@ def keep_first(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     equal = staged(beside.filter("key = kept").groupBy("key").count().filter("count > 1").select("key"), "equal")
     if equal.isEmpty():
         return rest
-    side = measured({"equal": equal}, at_once=True)["equal"]
     whole = F.struct(*(docs[c] for c in docs.columns))
     rows = docs.select(row_key(docs, id_col, text_col).alias("__key"), whole.alias("__row"))
-    once = join_dimension(rows, side, "__key", "key", "left_semi")
+    once = join_dimension(rows, side_of(equal), "__key", "key", "left_semi")
     once = once.groupBy("__key").agg(F.first("__row").alias("__row"))
     return without(rest, equal, id_col, text_col).unionAll(once.select("__row.*"))

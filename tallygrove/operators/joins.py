@@ -53,7 +53,9 @@ class Side(NamedTuple):
     small: bool
 
 
-def measured(dims: Mapping[str, DataFrame], at_once: bool = False) -> dict[str, Side]:
+def measured(
+    dims: Mapping[str, DataFrame], at_once: bool = False, most_bytes: int = MAX_BROADCAST_BYTES
+) -> dict[str, Side]:
     """Measure which dimensions are small enough to broadcast.
 
     Rows are counted first, which reads no columns; bytes are summed only
@@ -67,7 +69,7 @@ def measured(dims: Mapping[str, DataFrame], at_once: bool = False) -> dict[str,
     small = {
         name
         for name, (n, size) in _sizes(short, bytes_too=True).items()
-        if n <= MAX_BROADCAST_ROWS and size <= MAX_BROADCAST_BYTES
+        if n <= MAX_BROADCAST_ROWS and size <= most_bytes
     }
     return {name: Side(df, name in small) for name, df in dims.items()}
 
