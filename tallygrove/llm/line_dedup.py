@@ -89,7 +89,7 @@ def repeated_runs(
     position = F.struct("id", "key", "first")
     equal = candidates.groupBy("r1", "r2").agg(F.min(position).alias("origin"), F.count("*").alias("times"))
     earliest = staged(equal.filter("times > 1").drop("times"), "earliest")
-    later = look_up(candidates, earliest, ["r1", "r2"], "key", "inner")
+    later = look_up(candidates, earliest, ["r1", "r2"], "key", "inner", grows=True)
     later = later.filter(~position.eqNullSafe(F.col("origin")))
     by_place = Window.partitionBy("key").orderBy("first", "last")
     reach = F.max("last").over(by_place.rowsBetween(Window.unboundedPreceding, -1))

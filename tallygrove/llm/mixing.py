@@ -152,4 +152,4 @@ def mix_documents(
         once = join_dimension(rows, side, "__key", "key", "left_semi")
         once = once.groupBy("__key").agg(F.first("__row").alias("__row"))
         rows = join_dimension(rows, side, "__key", "key", "left_anti").unionAll(once)
-    return join_dimension(rows, side_of(mixed.filter("taken > 0")), "__key", "key", "inner").select("__row.*", *made)
+    return join_dimension(rows, side_of(mixed.filter("taken > 0"), grows=True), "__key", "key", "inner").select("__row.*", *made)

@@ -58,25 +58,28 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def side_of(table: DataFrame) -> Side:
+def side_of(table: DataFrame, grows: bool = False) -> Side:
     """A written table as the one-side of a join: broadcast if it is small, else never.
 
     Without the hint Spark would go by the size of the files, which says
     little about the rows, and nothing about their copies in ``lookup_join``.
+    A table that ``grows`` as the documents do is shuffled at every size.
     """
-    small = measured({"table": table}, at_once=True, most_bytes=MOST_BROADCAST)["table"].small
+    small = not grows and measured({"table": table}, at_once=True, most_bytes=MOST_BROADCAST)["table"].small
     return Side(table if small else table.hint("merge"), small)
 
 
-def look_up(rows: DataFrame, keys: DataFrame, on: list[str], spread_by: str, how: str) -> DataFrame:
+def look_up(
+    rows: DataFrame, keys: DataFrame, on: list[str], spread_by: str, how: str, grows: bool = False
+) -> DataFrame:
     """Join rows to a table that has each key once.
 
     The table must be written already: it is measured, and broadcast only
-    where it is small; otherwise hot keys of the rows are salted.
+    where it is small (see ``side_of``); otherwise hot keys of the rows are salted.
     """
     renamed = keys.select(*(F.col(c).alias(f"__k_{c}") if c in on else F.col(c) for c in keys.columns))
     same = [F.col(c) == F.col(f"__k_{c}") for c in on]
-    joined = lookup_join(rows, side_of(renamed), same, spread_by, how)
+    joined = lookup_join(rows, side_of(renamed, grows), same, spread_by, how)
     return joined.drop(*(f"__k_{c}" for c in on))
 
 
