@@ -12,8 +12,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallygrove.llm.shared import in_pieces, look_up, map_texts, scratch_path, staged, text_of
-from tallygrove.operators.joins import join_dimension, measured
+from tallygrove.llm.shared import in_pieces, look_up, map_texts, scratch_path, side_of, staged, text_of
+from tallygrove.operators.joins import join_dimension
 
 # Fixed by the contract.
 SHORTEST, LONGEST, LEAST, FIRST = 2, 5, 100, 2000
@@ -297,7 +297,8 @@ def frequent_grams(
     # Hashes only nominate: a pair that shares its hash with another is counted as text below.
     nominated = staged(total.filter(F.col("n") >= least).select("pair"), "pairs")
     if nominated.count() <= most_sent:
-        sent = np.array([r.pair for r in nominated.collect()], dtype=np.int64)
+        # Eight bytes each on the way through the driver, where a million rows took 200 MB.
+        sent = nominated.toArrow().column("pair").to_numpy()
         counts = counted_grams(index, sent)
     else:
         per_shard = look_up(pairs.select("pair", "shard"), nominated, ["pair"], "shard", "left_semi")
@@ -323,11 +324,12 @@ def _cut_scores(grams: DataFrame, words: DataFrame) -> DataFrame:
     )
     for part, name in (("head", "l"), ("tail", "r")):
         side = grams.select(F.col("lang").alias("__lang"), F.col("phrase").alias("__part"), F.col("f").alias(name))
+        # Grams grow with the corpus; the driver must not build them because their files are small.
+        side = side.hint("merge")
         met = (F.col("lang") == F.col("__lang")) & (F.col(part) == F.col("__part"))
         cut = cut.join(side, met).drop("__lang", "__part")
     sums = words.select(F.col("lang").alias("__lang"), "n")
-    small = measured({"words": sums}, at_once=True)["words"]
-    cut = join_dimension(cut, small, "lang", "__lang", "inner").drop("__lang")
+    cut = join_dimension(cut, side_of(sums), "lang", "__lang", "inner").drop("__lang")
     whole = {c: F.col(c).cast("decimal(18,0)") for c in ("a", "l", "r", "n")}
     # Products take up to 38 digits; `div` of decimals is exact and goes down.
     cut = cut.withColumns({f"__{c}": x for c, x in whole.items()})
@@ -376,7 +378,7 @@ def phrases(
     scored = _cut_scores(grams, words)
     around = _contained(grams).select(F.col("lang").alias("__lang"), "inner", "most")
     inside = (F.col("lang") == F.col("__lang")) & (F.col("phrase") == F.col("inner")) & (F.col("most") >= F.col("a"))
-    left = scored.join(around, inside, "left_anti")
+    left = scored.join(around.hint("merge"), inside, "left_anti")
     order = Window.partitionBy("lang").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
     ranked = left.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= first)
     return ranked.select("lang", F.col("rank").cast("bigint").alias("rank"), "phrase", "a", "l", "r", "n", "score")

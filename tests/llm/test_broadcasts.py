@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tallygrove.llm import phrases
 from tallygrove.llm.shared import look_up, row_key, staged, without
 from tests.conftest import plan_of
 
@@ -50,3 +51,35 @@ def test_many_dropped_documents_are_shuffled(spark, threshold):
 def test_few_keys_are_broadcast(spark):
     keys = staged(spark.range(100).select(F.col("id").alias("k")), "few")
     assert "BroadcastHashJoin" in plan_of(look_up(spark.range(1000).select(F.col("id").alias("k")), keys, ["k"], "k", "left_semi"))
+
+
+def test_growing_keys_are_shuffled_at_every_size(spark, threshold):
+    keys = staged(spark.range(100).select(F.col("id").alias("k")), "growing")
+    rows = spark.range(0, 200, 10).select(F.col("id").alias("k"))
+    got = joined_without_broadcast(look_up(rows, keys, ["k"], "k", "left_semi", grows=True))
+    assert sorted(r.k for r in got) == list(range(0, 100, 10))
+
+
+def _documents(spark):
+    return spark.range(200).select(F.lit("en").alias("lang"), F.expr("concat_ws(' ', 'a', id, id + 1, id % 7, id % 5)").alias("text"))
+
+
+def test_pair_hashes_do_not_reach_the_driver_as_rows(spark, monkeypatch):
+    docs, longest = _documents(spark), []
+
+    def collect(self, whole=type(docs).collect):
+        longest.append(len(rows := whole(self)))
+        return rows
+
+    monkeypatch.setattr(type(docs), "collect", collect)
+    grams, _ = phrases.frequent_grams(docs, least=1)
+    assert max(longest, default=0) < 50
+    monkeypatch.undo()
+    assert grams.filter("length = 2").count() > 200
+
+
+def test_grams_are_never_broadcast(spark, threshold):
+    out = phrases.phrases(_documents(spark), least=2)
+    assert plan_of(out).count("BroadcastHashJoin") <= 1  # the words of each language
+    assert out.collect()
+    assert plan_of(out).split("== Initial Plan ==")[0].count("BroadcastHashJoin") <= 1
