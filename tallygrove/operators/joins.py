@@ -54,7 +54,7 @@ class Side(NamedTuple):
 
 
 def measured(
-    dims: Mapping[str, DataFrame], at_once: bool = False, most_bytes: int = MAX_BROADCAST_BYTES
+    dims: Mapping[str, DataFrame], at_once: bool = False, most_bytes: int | None = None
 ) -> dict[str, Side]:
     """Measure which dimensions are small enough to broadcast.
 
@@ -62,6 +62,7 @@ def measured(
     where there are few rows.  ``at_once`` takes both from one job, for narrow
     tables that have been written.
     """
+    most_bytes = MAX_BROADCAST_BYTES if most_bytes is None else most_bytes
     short = dims
     if not at_once:
         rows = _sizes(dims, bytes_too=False)
